@@ -7,17 +7,52 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import suffix
+from . import decontaminate, media, packing, suffix, urlrules
 from .ship import ship
 from .tables import table
 
 
+#: The directory rules of the url query: verdict and host/path.
+DIRECTORIES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+#: Its pattern rules, for urls that no directory rule fits.
+PATTERNS = ["||cheap-pills.", "||spam-farm.", "/casino/", "/adserver/", "&utm_campaign=spam^", "||tracker.*/pixel/", "@@||example.net/help/"]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urlrules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), PATTERNS, DIRECTORIES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 100)
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def token_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = packing.pack_documents(docs, public_tokenizers.path(vocabulary), public_tokenizers.PATTERN, 1024, 2, token_digest)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = media.sniff_column(media.store_texts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    size = F.octet_length("payload").cast("long")
+    return media.corrected(out).select("doc_id", "n_bytes", size.alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -32)")).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", "type")
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    hits = F.size("hit_words").cast("long")
+    return out.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +65,41 @@ def _shipped(query):
 QUERIES = {
     q.__name__: _shipped(q)
     for q in (
+        op1_url_filter,
         op2_suffix_array_dedup,
+        op4_best_fit_packing,
+        op8_media_columns,
+        op10_benchmark_decontamination,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_RULE = "CASE " + " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{h}/{p}'" for h, p in sorted((r.split("/", 1) for _, r in DIRECTORIES), key=lambda x: -len("/".join(x)))
+) + " END"
+_BLOCKED = r"^[^:]*://(?:[^/?#]*\.)?(?:cheap-pills|spam-farm)\.|/casino/|/adserver/|&utm_campaign=spam(?:[^a-z0-9_.%-]|$)|^[^:]*://(?:[^/?#]*\.)?tracker\..*/pixel/"
+_ALLOWED = r"^[^:]*://(?:[^/?#]*\.)?example\.net/help/"
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": f"""
+WITH u AS (SELECT page_id, lower(coalesce(url, '')) AS url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), {_CAPITALS}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, {_RULE} AS rule FROM h)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ({", ".join(f"'{r}'" for v, r in DIRECTORIES if v == "allow")}) THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(url, '{_BLOCKED}') AND NOT regexp_matches(url, '{_ALLOWED}') THEN 'block' ELSE 'allow' END AS verdict
+FROM r""",
+    "op10_benchmark_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS gram
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM p),
+g AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS gram
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT g.doc_id, g.i, g.n, p.item_id FROM g JOIN p USING (n, gram)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM m) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+}
