@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, media, packing, suffix, urlrules
+from . import decontaminate, jaccard, labelled, media, packing, quality, suffix, toxicity, urlrules
 from .ship import ship
 from .tables import table
 
@@ -41,12 +41,28 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "by
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
+def _judged(out: DataFrame, least: float) -> DataFrame:
+    return out.select("doc_id", (labelled.fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")), 0.7)
+
+
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media.sniff_column(media.store_texts(table(spark, sf_dir, "documents").select("doc_id", "text")))
     size = F.octet_length("payload").cast("long")
     return media.corrected(out).select("doc_id", "n_bytes", size.alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -32)")).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", "type")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")), 0.3)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     hits = F.size("hit_words").cast("long")
@@ -68,7 +84,10 @@ QUERIES = {
         op1_url_filter,
         op2_suffix_array_dedup,
         op4_best_fit_packing,
+        op5_ngram_jaccard_join,
+        op7_quality_classifier,
         op8_media_columns,
+        op9_toxicity,
         op10_benchmark_decontamination,
     )
 }
