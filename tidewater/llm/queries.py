@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, labelled, media, packing, quality, suffix, toxicity, urlrules
+from . import decontaminate, jaccard, labelled, lm, media, packing, quality, suffix, toxicity, urlrules
 from .ship import ship
 from .tables import table
 
@@ -45,6 +45,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), labelled.fold("doc_id", 10) == 0)
+
+
 def _judged(out: DataFrame, least: float) -> DataFrame:
     return out.select("doc_id", (labelled.fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
 
@@ -85,6 +89,7 @@ QUERIES = {
         op2_suffix_array_dedup,
         op4_best_fit_packing,
         op5_ngram_jaccard_join,
+        op6_lm_scoring,
         op7_quality_classifier,
         op8_media_columns,
         op9_toxicity,
