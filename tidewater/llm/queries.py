@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, labelled, lm, media, packing, quality, suffix, toxicity, urlrules
+from . import decontaminate, html, jaccard, labelled, lm, media, packing, quality, suffix, toxicity, urlrules
 from .ship import ship
 from .tables import table
 
@@ -29,6 +29,11 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 def token_digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
 
@@ -87,6 +92,7 @@ QUERIES = {
     for q in (
         op1_url_filter,
         op2_suffix_array_dedup,
+        op3_html_extraction,
         op4_best_fit_packing,
         op5_ngram_jaccard_join,
         op6_lm_scoring,
