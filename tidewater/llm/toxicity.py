@@ -8,7 +8,7 @@ logistic regression turns the highest and the mean logits of a document's window
 into its score.
 
 The network is trained on windows of a bounded sample of labelled documents
-(labelled.PER_CLASS rows of each class).  The log-odds that a training document
+(PER_CLASS rows of each class).  The log-odds that a training document
 sees come from the other training documents (four parts in turn), so that the
 network learns how far to trust them on new texts.  Which windows of a toxic
 document are toxic isn't known: the highest are taken, first by their words, then
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,8 @@ WINDOW, STRIDE = 32, 16
 BITS = 18
 GRAMS = (3, 4, 5, 6)
 PARTS = 4
+#: At most so many labelled documents of each class train the network.
+PER_CLASS = 800
 F32 = np.float32
 
 
@@ -48,8 +50,8 @@ class Words:
     row: np.ndarray
     hashes: np.ndarray  # of each distinct word
     length: np.ndarray
-    gram: np.ndarray  # hashed character n-grams of the distinct words
-    gram_word: np.ndarray
+    gram: np.ndarray  # hashed character n-grams of the distinct words, word by word
+    gram_at: np.ndarray  # where each word's begin, and the end
 
 
 def read_words(column: pa.Array) -> Words:
@@ -57,44 +59,54 @@ def read_words(column: pa.Array) -> Words:
     low = LOWER[buf]
     starts, ends, rows, hashes = chunk_word_hashes(low, offs, WORD_BYTE)
     distinct, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    s, e = starts[first], ends[first]
+    s, length = starts[first], ends[first] - starts[first]
     # the distinct words, each between two border bytes, in a buffer of their own
-    length = e - s
     at = np.cumsum(length + 2) - length - 2
     text = np.full(int((length + 2).sum()), 1, np.uint8)
     within = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
     text[np.repeat(at + 1, length) + within] = low[np.repeat(s, length) + within]
+    del within
     value = BYTE_VALUE[text]
-    word_of = np.repeat(np.arange(len(distinct)), length + 2)
-    left = np.repeat(at + length + 2, length + 2) - np.arange(len(text))  # bytes to the word's end
-    grams, owners = [], []
-    for n in GRAMS:
+    word_of = np.repeat(np.arange(len(distinct), dtype=np.int32), length + 2)
+    left = (np.repeat(at + length + 2, length + 2) - np.arange(len(text))).astype(np.int32)  # bytes to the word's end
+    each = [np.maximum(length + 2 - n + 1, 0) for n in GRAMS]
+    gram_at = np.r_[0, np.cumsum(np.sum(each, axis=0))] if len(distinct) else np.zeros(1, np.int64)
+    gram = np.empty(int(gram_at[-1]), np.int32)
+    base = gram_at[:-1].copy()
+    for n, count in zip(GRAMS, each, strict=True):
         if len(text) < n:
             continue
         h = np.zeros(len(text) - n + 1, np.uint64)
         for i in range(n):
             h = h * U64(BASE) + value[i : len(text) - n + 1 + i]
         ok = left[: len(h)] >= n
-        grams.append((mix64(h[ok] + U64(n)) >> U64(64 - BITS)).astype(np.int32))
-        owners.append(word_of[: len(h)][ok])
-    gram = np.concatenate(grams) if grams else np.zeros(0, np.int32)
-    owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-    order = np.argsort(owner, kind="stable")
-    return Words(number, rows, distinct, length, gram[order], owner[order])
-
-
-def _odds(rows: np.ndarray, bucket: np.ndarray, y: np.ndarray, weight: np.ndarray, use: np.ndarray, strength: float) -> np.ndarray:
-    """Smoothed log-odds of each bucket, by the documents it occurs in."""
-    pair = np.unique(rows.astype(np.int64) << BITS | bucket)
-    row, b = pair >> BITS, pair & ((1 << BITS) - 1)
-    ok = use[row]
-    row, b = row[ok], b[ok]
-    total = [max(1e-9, float((weight * (y == k) * use).sum())) for k in (0, 1)]
-    mean = [float(weight[(y == k) & use].mean()) if ((y == k) & use).any() else 1.0 for k in (0, 1)]
-    count = [np.bincount(b, (weight * (y == k))[row] / mean[k], 1 << BITS) for k in (0, 1)]
-    docs = [total[k] / mean[k] for k in (0, 1)]
-    share = [d / (docs[0] + docs[1]) for d in docs]
-    return (np.log((count[1] + strength * share[1]) / docs[1]) - np.log((count[0] + strength * share[0]) / docs[0])).astype(F32)
+        owner = word_of[: len(h)][ok]
+        gram[base[owner] + np.arange(len(owner)) - (np.cumsum(count) - count)[owner]] = mix64(h[ok] + U64(n)) >> U64(64 - BITS)
+        base += count
+    return Words(number.astype(np.int32), rows.astype(np.int32), distinct, length, gram, gram_at)
+
+
+class Odds:
+    """Weights of the documents with each hashed feature, by part and class."""
+
+    def __init__(self, part: np.ndarray, y: np.ndarray, weight: np.ndarray):
+        mean = [weight[y == k].mean() for k in (0, 1)]
+        self.cell, self.weight = part * 2 + y, weight / np.where(y == 1, mean[1], mean[0])
+        self.docs = np.bincount(self.cell, self.weight, 2 * PARTS).reshape(PARTS, 2)
+        self.count = np.zeros((2 * PARTS, 1 << BITS), F32)
+
+    def add(self, rows: np.ndarray, bucket: np.ndarray) -> None:
+        """Features of some documents; no document is in two calls."""
+        pair = np.unique(rows.astype(np.int64) << BITS | bucket)
+        np.add.at(self.count, (self.cell[pair >> BITS], pair & ((1 << BITS) - 1)), self.weight[pair >> BITS].astype(F32))
+
+    def table(self, without: int | None, strength: float) -> np.ndarray:
+        """Smoothed log-odds of each feature, from all parts but one."""
+        use = [k for k in range(PARTS) if k != without]
+        count = self.count.reshape(PARTS, 2, -1)[use].sum(axis=0)
+        docs = np.maximum(self.docs[use].sum(axis=0), 1e-9)
+        share = docs / docs.sum()
+        return (np.log((count[1] + strength * share[1]) / docs[1]) - np.log((count[0] + strength * share[0]) / docs[0])).astype(F32)
 
 
 def _features(words: Words, word_odds: np.ndarray, gram_odds: np.ndarray) -> np.ndarray:
@@ -102,13 +114,12 @@ def _features(words: Words, word_odds: np.ndarray, gram_odds: np.ndarray) -> np.
     n = len(words.hashes)
     out = np.zeros((n + 1, 7), F32)
     out[:n, 0] = word_odds[(words.hashes >> U64(64 - BITS)).astype(np.int64)]
-    if len(words.gram):
+    if n:  # every word has one n-gram at least, with its borders
         o = gram_odds[words.gram]
-        at = np.flatnonzero(np.r_[True, words.gram_word[1:] != words.gram_word[:-1]])
-        own = words.gram_word[at]
-        out[own, 1] = np.maximum.reduceat(o, at)
-        out[own, 2] = np.add.reduceat(o, at) / np.diff(np.r_[at, len(o)])
-        out[own, 3] = np.minimum.reduceat(o, at)
+        at = words.gram_at[:-1]
+        out[:n, 1] = np.maximum.reduceat(o, at)
+        out[:n, 2] = np.add.reduceat(o, at) / np.diff(words.gram_at)
+        out[:n, 3] = np.minimum.reduceat(o, at)
     out[:n, 4] = np.minimum(words.length, 30) / F32(10)
     out[:n, 5] = 1
     out[n, 6] = 1
@@ -125,7 +136,7 @@ def windows(words: Words, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     place = (base[owner] + nth * STRIDE)[:, None] + np.arange(WINDOW)
     real = place < (base + count)[owner][:, None]
     filled = np.where(real, words.number[np.minimum(place, max(0, len(words.number) - 1))] if len(words.number) else 0, len(words.hashes))
-    return filled, real, owner
+    return filled.astype(np.int32), real, owner
 
 
 def _summary(logits: np.ndarray, owner: np.ndarray, rows: int, lowest: float) -> np.ndarray:
@@ -153,7 +164,6 @@ class Model:
     net: recurrent.Network | None = None
     final: np.ndarray | None = None
     lowest: float = -12.0
-    extra: dict = field(default_factory=dict)
 
     def logits(self, words: Words, filled: np.ndarray, real: np.ndarray) -> np.ndarray:
         table = self.net.table(_features(words, self.word_odds, self.gram_odds))
@@ -177,26 +187,26 @@ def train(data: Sample, rounds: int = 3, epochs: int = 3, seed: int = 0) -> Mode
     column = pa.array(data.texts, pa.large_string())
     words = read_words(column)
     filled, real, owner = windows(words, len(y))
-    word_bucket = (words.hashes >> U64(64 - BITS)).astype(np.int64)
-    # documents of each distinct word, for the n-grams in it
-    pairs = np.unique(words.row.astype(np.int64) * len(words.hashes) + words.number)
-    doc_of, word_of = pairs // len(words.hashes), pairs % len(words.hashes)
-    gram_at = np.searchsorted(words.gram_word, np.arange(len(words.hashes) + 1))
-    reps = np.diff(gram_at)[word_of]
-    gram_doc = np.repeat(doc_of, reps)
-    gram_bucket = words.gram[np.repeat(gram_at[:-1][word_of], reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)]
     # equal texts share a part, so that a copy never tells on its twin
     texts = {t: i for i, t in enumerate(dict.fromkeys(data.texts))}
     part = np.array([texts[t] for t in data.texts]) % PARTS
-
-    def tables(use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return _odds(doc_of, word_bucket[word_of], y, weight, use, 2.0), _odds(gram_doc, gram_bucket, y, weight, use, 4.0)
-
-    inputs = [_features(words, *tables(part != k)) for k in range(PARTS)]
-    pile = np.concatenate(inputs)
-    shifted = filled + (part[owner] * (len(words.hashes) + 1))[:, None]
+    word_odds, gram_odds = Odds(part, y, weight), Odds(part, y, weight)
+    bounds = np.searchsorted(words.row, np.arange(0, len(y) + 64, 64))
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        pairs = np.unique(words.row[lo:hi].astype(np.int64) * len(words.hashes) + words.number[lo:hi])
+        doc, word = pairs // len(words.hashes), pairs % len(words.hashes)
+        word_odds.add(doc, (words.hashes[word] >> U64(64 - BITS)).astype(np.int64))
+        reps = np.diff(words.gram_at)[word]
+        gram_odds.add(np.repeat(doc, reps), words.gram[np.repeat(words.gram_at[:-1][word], reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)])
+
+    def tables(without: int | None) -> tuple[np.ndarray, np.ndarray]:
+        return word_odds.table(without, 2.0), gram_odds.table(without, 4.0)
+
+    pile = np.concatenate([_features(words, *tables(k)) for k in range(PARTS)])
+    shifted = filled + (part[owner] * (len(words.hashes) + 1))[:, None].astype(np.int32)
     net = recurrent.Network(pile.shape[1], seed=seed)
-    guess = np.where(real, np.maximum(pile[shifted][:, :, 0], 0) + np.maximum(pile[shifted][:, :, 1], 0), 0).sum(axis=1)
+    hint = np.maximum(pile[:, 0], 0) + np.maximum(pile[:, 1], 0)
+    guess = (hint[shifted] * real).sum(axis=1)
     adam = recurrent.Adam(net.p, 0.02)
     for turn in range(rounds):
         order = np.lexsort((-guess, owner))
@@ -217,7 +227,7 @@ def train(data: Sample, rounds: int = 3, epochs: int = 3, seed: int = 0) -> Mode
                 adam.step({k: x * F32(min(1.0, 1 / max(norm, 1e-9))) for k, x in g.items()})
         table = net.table(pile)
         guess = np.concatenate([net.logits(table, shifted[i : i + 2048], real[i : i + 2048]) for i in range(0, len(shifted), 2048)])
-    out = Model(float((y * weight).sum() / weight.sum()), *tables(np.ones(len(y), bool)), net)
+    out = Model(float((y * weight).sum() / weight.sum()), *tables(None), net)
     x = _summary(guess, owner, len(y), out.lowest)
     out.final = recurrent.logistic(x, y, weight, ridge=1e-2)
     return out
@@ -240,6 +250,6 @@ def score_with(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(_score(sent), f"{kinds}, score double")
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
     """Train on labelled documents outside the held-out fold, and score all of ``docs`` (doc_id, text, ...)."""
-    return score_with(docs, train(sample(docs, labels, label)))
+    return score_with(docs, train(sample(docs, labels, label, per_class=per_class)))
