@@ -1,5 +1,88 @@
-"""The corpus pipeline (written at the end of the build)."""
-STAGES = []
+"""From raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir), works on all that the stage before it kept,
+and returns a DataFrame; all but the last return the columns of ``documents``.
+Stages that change a text set ``n_chars`` to its new length.  Rows without a
+doc_id pass all filters; a text that loses everything stays as an empty one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.llm import decontaminate, jaccard, packing, suffix, toxicity
+from tidewater.llm.queries import token_digest
+from tidewater.llm.ship import ship
+from tidewater.llm.stages import written
+from tidewater.llm.tables import table
+
+#: Documents with at least this toxicity go.
+TOXIC = 0.3
+
+
+def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``docs`` with the length of the text brought up to date, in the order of ``columns``."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*columns) if "n_chars" in columns else docs.select(*columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject."""
+    ship(spark)
+    scored = docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs
+    out = toxicity.score(scored, table(spark, sf_dir, "labels")).where(F.col("score") < TOXIC)
+    return out.select(*[F.col(c).alias(d) for c, d in zip(scored.columns, docs.columns, strict=True)])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each group that links of similarity 0.8 or more connect; of repeated rows, one."""
+    ship(spark)
+    linked = jaccard.link_documents(docs)
+    first = linked.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    kept = docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the characters of any 100 bytes that also start earlier in the corpus."""
+    ship(spark)
+    out = suffix.remove_repeats(docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]), 100, characters=True)
+    return _with_text(out.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))), docs.columns)
+
+
+def drop_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the spans of words that are inside an occurrence of a benchmark window."""
+    ship(spark)
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns, "spans")
+    return _with_text(decontaminate.remove_spans(found), docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    """Pieces of all documents, packed into sequences of at most 1024 tokens."""
+    import public_tokenizers
+
+    ship(spark)
+    out = packing.pack_documents(docs, public_tokenizers.path(vocabulary), public_tokenizers.PATTERN, 1024, 2, token_digest)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("suffix_array_dedup", drop_repeats),
+    ("benchmark_decontamination", drop_contamination),
+    ("best_fit_packing", pack_sequences),
+]
+
+#: SQL can't express the first stage (a trained network); tests hold every stage against a plain version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``, each written before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = written(docs)
+    return docs

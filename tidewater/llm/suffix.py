@@ -318,7 +318,7 @@ def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = N
     return whole.unionByName(sorted_out)
 
 
-def _cut(threshold: int, text_at: int, runs_at: int):
+def _cut(threshold: int, text_at: int, runs_at: int, characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", SEGMENT * 2):
             buf, offs = flat(block.column(text_at))
@@ -334,6 +334,9 @@ def _cut(threshold: int, text_at: int, runs_at: int):
                 np.add.at(steps, lo, 1)
                 np.add.at(steps, hi, -1)
             gone = np.cumsum(steps[:-1]) > 0
+            if characters and len(buf):
+                first = np.flatnonzero((buf & 0xC0) != 0x80)
+                gone = np.repeat(np.minimum.reduceat(gone, first), np.diff(np.r_[first, len(buf)]))
             kept = buf[~gone]
             keep_at = np.r_[0, np.cumsum(~gone)][offs]
             # maximal runs of removed bytes, cut where a row ends
@@ -357,11 +360,13 @@ def _cut(threshold: int, text_at: int, runs_at: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, threshold: int = 100, **options) -> DataFrame:
+def remove_repeats(docs: DataFrame, threshold: int = 100, characters: bool = False, **options) -> DataFrame:
     """``docs`` with ``n_bytes``, ``kept`` (binary: the bytes left) and ``removed`` (array of start and end, in bytes, of maximal removed runs).
 
     ``docs`` has doc_id and text; all its other columns come back unchanged,
     unless they bear one of the three new names.  A null text counts as empty.
+    With ``characters``, a character of several bytes goes only if all of them do,
+    so that what is kept is valid UTF-8.
     """
     rest = [c for c in docs.columns if c not in ("n_bytes", "kept", "removed", "_runs")]
     docs = docs.select(*rest)
@@ -369,4 +374,4 @@ def remove_repeats(docs: DataFrame, threshold: int = 100, **options) -> DataFram
     per_doc = runs.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("lo", "hi")).alias("_runs"))
     both = docs.join(per_doc.hint("shuffle_hash"), docs["doc_id"] == per_doc["_doc"], "left").select(*rest, "_runs")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return both.mapInArrow(_cut(threshold, rest.index("text"), len(rest)), f"{kinds}, n_bytes long, kept binary, removed array<struct<start: long, end: long>>")
+    return both.mapInArrow(_cut(threshold, rest.index("text"), len(rest), characters), f"{kinds}, n_bytes long, kept binary, removed array<struct<start: long, end: long>>")
