@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import more_queries
 from .plans import dashboards as d
 from .plans import gold, shapes, silver  # noqa: F401  (they register datasets)
 from .plans.bronze import spark_source
 from .plans.oracle import text
 from .plans.registry import Context
+from .shipping import ship
 
 AS_OF, NOW = dt.date(2001, 8, 1), dt.datetime(2024, 1, 31)
 
@@ -32,6 +34,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def _register(name: str, build: Callable[[Context], DataFrame], sql: str | None) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
         return _plain(build(context(spark, sf_dir)))
 
     QUERIES[name] = run
@@ -93,3 +96,5 @@ REPORTS: dict[str, Callable[[Context], DataFrame]] = {
 }
 for _name, _build in REPORTS.items():
     _register(_name, _build, text(_name))
+for _name, _build in more_queries.BUILDS.items():
+    _register(_name, _build, more_queries.ORACLES.get(_name))
