@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .fmindex import FMIndex
 from .stages import written
-from .textbuf import LOWER, WORD_BYTE, chunk_word_hashes, flat, gathered
+from .textbuf import LOWER, WORD_BYTE, chunk_word_hashes, flat, gathered, tidy
 
 NEW = ("n_words", "hit_words", "items", "spans")
 
@@ -137,12 +137,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         own = bench if parts == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         phrases = spark.sparkContext.broadcast(Phrases([(r[0], r[1]) for r in own.toLocalIterator()], window))
         if out is None:
-            out = docs.mapInArrow(_search(phrases, docs.columns.index("text"), shard_bytes), f"{kinds}, {new}")
+            out = docs.mapInArrow(tidy(_search(phrases, docs.columns.index("text"), shard_bytes)), f"{kinds}, {new}")
         else:
             before = [F.col(c).alias(f"_tw_{c}") for c in NEW]
             out = written(out).select(*docs.columns, *before)
             more = ", ".join(f"_tw_{x}" for x in new.replace("start: long, end: long", "start:long;end:long").split(", ")).replace(";", ", ")
-            out = out.mapInArrow(_search(phrases, docs.columns.index("text"), shard_bytes), f"{kinds}, {more}, {new}")
+            out = out.mapInArrow(tidy(_search(phrases, docs.columns.index("text"), shard_bytes)), f"{kinds}, {more}, {new}")
             merged = {"hit_words": F.array_sort(F.array_union("hit_words", "_tw_hit_words")), "items": F.array_sort(F.array_union("items", "_tw_items")), "spans": F.array_sort(F.array_union("spans", "_tw_spans"))}
             out = out.select(*docs.columns, "n_words", *[e.alias(c) for c, e in merged.items()])
     return out
@@ -169,4 +169,4 @@ def _without(text_at: int, spans_at: int):
 def remove_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with ``spans`` (as above) taken out of ``text``, and without that column; spans begin and end with words, so no character is cut."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "spans")
-    return docs.mapInArrow(_without(docs.columns.index("text"), docs.columns.index("spans")), kinds)
+    return docs.mapInArrow(tidy(_without(docs.columns.index("text"), docs.columns.index("spans"))), kinds)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .stages import written
 from .suffix import _whole_groups
-from .textbuf import BASE, LOWER, NOT_SPACE, U64, blocks, chunk_word_hashes, flat, mix64
+from .textbuf import BASE, LOWER, NOT_SPACE, U64, blocks, chunk_word_hashes, flat, mix64, tidy
 
 VALUES, BAND = 160, 5
 #: Signature values compared before each look at the posterior.
@@ -237,12 +237,12 @@ def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tole
     of them have the same set of shingles.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(docs.mapInArrow(_sign(words), SIGNED))
+    signed = written(docs.mapInArrow(tidy(_sign(words)), SIGNED))
     real = signed.where("n > 0 and doc_id is not null")
     classes = real.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.max("signature").alias("signature"))
     classes = written(classes)
 
-    bands = classes.select("cls", "signature").mapInArrow(_bands, "band long, cls long")
+    bands = classes.select("cls", "signature").mapInArrow(tidy(_bands), "band long, cls long")
     buckets = bands.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
     stars = bands.join(buckets, "band").where("cls > least").select(F.col("cls").alias("u"), F.col("least").alias("v"))
     members = connected_components(stars)
@@ -255,7 +255,7 @@ def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tole
     lo, hi = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(lo == hi, 0).when(F.col("own") == lo, 1).otherwise(2)
     dealt = dealt.select(F.xxhash64("component", lo, hi).alias("task"), "cls", side.alias("side"), "copies", "signature", "text")
-    found = written(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(_verify(words, threshold, tolerance), "cls long, links long, root long"))
+    found = written(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(tidy(_verify(words, threshold, tolerance)), "cls long, links long, root long"))
 
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     groups = connected_components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbuf import blocks
+from .textbuf import blocks, tidy
 
 UNKNOWN = "application/octet-stream"
 
@@ -248,7 +248,7 @@ def store_texts(docs: DataFrame, unit: int = 576) -> DataFrame:
     read back must be told from the bytes.
     """
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(_store(unit), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, declared string, media binary")
+    return docs.mapInArrow(tidy(_store(unit)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, declared string, media binary")
 
 
 def features(samples: bytes) -> str:
@@ -290,7 +290,7 @@ def sniff_column(df: DataFrame) -> DataFrame:
     """``df`` (with a binary column ``media``) with media_type (told from the bytes), carved (media inside the payload, or behind the first medium), payload (a WAV file's samples, else the value) and feature."""
     df = df.select(*[c for c in df.columns if c not in ("media_type", "carved", "payload", "feature")])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(_sniff(df.columns.index("media")), f"{kinds}, media_type string, carved array<struct<type: string, start: long, end: long>>, payload binary, feature string")
+    return df.mapInArrow(tidy(_sniff(df.columns.index("media"))), f"{kinds}, media_type string, carved array<struct<type: string, start: long, end: long>>, payload binary, feature string")
 
 
 def corrected(df: DataFrame) -> DataFrame:

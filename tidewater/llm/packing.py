@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .stages import written
-from .textbuf import blocks
+from .textbuf import blocks, tidy
 
 _encoders: dict[tuple[str, str], object] = {}
 
@@ -58,7 +58,7 @@ def _tokenise(ranks: str, pattern: str, capacity: int, end: int):
 def tokenise(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, end: int = 2) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids: little-endian unsigned 32-bit) of all documents, each with ``end`` after its last id; texts over ``capacity`` are cut into full pieces behind a first one that may be shorter."""
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(_tokenise(ranks, pattern, capacity, end), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids binary")
+    return docs.mapInArrow(tidy(_tokenise(ranks, pattern, capacity, end)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids binary")
 
 
 class Tightest:

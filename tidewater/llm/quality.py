@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from .labelled import Sample, sample
 from .recurrent import Adam, logistic
-from .textbuf import LOWER, NOT_SPACE, blocks, chunk_word_hashes, flat
+from .textbuf import LOWER, NOT_SPACE, blocks, chunk_word_hashes, flat, release, tidy
 
 LINE = np.ones(256, dtype=bool)
 LINE[0x0A] = False
@@ -229,7 +229,7 @@ def score_with(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c != "score"])
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_score(sent), f"{kinds}, score double")
+    return docs.mapInArrow(tidy(_score(sent)), f"{kinds}, score double")
 
 
 def _mark(model):
@@ -249,9 +249,11 @@ def mark_lines(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c != "good_lines"])
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_mark(sent), f"{kinds}, good_lines array<double>")
+    return docs.mapInArrow(tidy(_mark(sent)), f"{kinds}, good_lines array<double>")
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """Train on labelled documents outside the held-out fold, and score all of ``docs`` (doc_id, text, ...)."""
-    return score_with(docs, train(sample(docs, labels, label)))
+    model = train(sample(docs, labels, label))
+    release()
+    return score_with(docs, model)

@@ -39,10 +39,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textbuf import BASE, BYTE_VALUE, U64, Prefix, blocks, flat, mix64, powers
+from .textbuf import BASE, BYTE_VALUE, U64, Prefix, blocks, flat, mix64, powers, tidy
 
 #: Bytes handled at a time; a longer text is cut into overlapping segments.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 21
 #: Low bits of a sliding-minimum key that hold the position.
 PLACE_BITS = 24
 
@@ -144,14 +144,14 @@ def _emit_anchors(threshold: int, gram: int):
         for block in blocks(batches, "text", SEGMENT):
             buf, offs = flat(block.column(1))
             ids = block.column(0).to_numpy(zero_copy_only=False)
-            for base in range(0, max(len(buf) - threshold + 1, 1), SEGMENT * 2):
-                part = buf[base : base + SEGMENT * 2 + threshold - 1]
+            for base in range(0, max(len(buf) - threshold + 1, 1), SEGMENT):
+                part = buf[base : base + SEGMENT + threshold - 1]
                 cut = np.clip(offs - base, 0, len(part)) if base or len(part) < len(buf) else offs
                 rows, m, lo, hi, a, c = anchors(part, cut, threshold, gram)
                 shift = base - offs[rows]
                 held.append((a, c, ids[rows], _pack(m + shift, lo + shift, hi + shift)))
                 count += len(rows)
-            if count >= 1 << 20:
+            if count >= 1 << 19:
                 yield _combined(held)
                 held, count = [], 0
         if count:
@@ -295,7 +295,7 @@ def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = N
     from .stages import written
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= threshold))
-    rows = texts.mapInArrow(_emit_anchors(threshold, gram), A_SCHEMA)
+    rows = texts.mapInArrow(tidy(_emit_anchors(threshold, gram)), A_SCHEMA)
     of_context = Window.partitionBy("a", "c").orderBy("doc", "at")
     of_anchor = Window.partitionBy("a")
     rows = rows.repartition("a").withColumn("nth", F.rank().over(of_context)).withColumn("kinds", F.sum(F.when((F.col("nth") == 1) & ~F.col("dup"), 1).otherwise(0)).over(of_anchor)).withColumn("one", (F.min("c").over(of_anchor) == F.max("c").over(of_anchor)))
@@ -304,17 +304,17 @@ def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = N
     m, back, more = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(F.lit(4095)), F.col("at").bitwiseAND(F.lit(4095))
     whole = kept.where("covered").select("doc", (m - back).alias("lo"), (m - back + more).alias("hi"))
     asked = kept.where("not covered").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("a", "at")).alias("found"), F.max("kinds").alias("kinds"))
-    contexts = texts.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found").mapInArrow(_emit_contexts(threshold), X_SCHEMA)
+    contexts = texts.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found").mapInArrow(tidy(_emit_contexts(threshold)), X_SCHEMA)
     hot_anchors = kept.where(~F.col("covered") & (F.col("kinds") > hot)).select("a").distinct()
     if hot_anchors.limit(1).count():
         contexts = written(contexts)
         # an anchor's number of contexts says where it goes; hot ones are dealt out by window
-        wide = contexts.join(hot_anchors, "a", "left_semi").mapInArrow(_emit_windows(threshold), "h1 long, h2 long, doc long, p long")
+        wide = contexts.join(hot_anchors, "a", "left_semi").mapInArrow(tidy(_emit_windows(threshold)), "h1 long, h2 long, doc long, p long")
         firsts = wide.groupBy("h1", "h2").agg(F.min(F.struct("doc", "p")).alias("first"))
-        later = wide.join(firsts, ["h1", "h2"]).where(F.struct("doc", "p") > F.col("first")).select("doc", "p").mapInArrow(_merge_starts(), R_SCHEMA)
+        later = wide.join(firsts, ["h1", "h2"]).where(F.struct("doc", "p") > F.col("first")).select("doc", "p").mapInArrow(tidy(_merge_starts()), R_SCHEMA)
         whole = whole.unionByName(later)
         contexts = contexts.join(hot_anchors, "a", "left_anti")
-    sorted_out = contexts.repartition("a").sortWithinPartitions("a").mapInArrow(_sort_buckets(threshold), R_SCHEMA)
+    sorted_out = contexts.repartition("a").sortWithinPartitions("a").mapInArrow(tidy(_sort_buckets(threshold)), R_SCHEMA)
     return whole.unionByName(sorted_out)
 
 
@@ -374,4 +374,4 @@ def remove_repeats(docs: DataFrame, threshold: int = 100, characters: bool = Fal
     per_doc = runs.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("lo", "hi")).alias("_runs"))
     both = docs.join(per_doc.hint("shuffle_hash"), docs["doc_id"] == per_doc["_doc"], "left").select(*rest, "_runs")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return both.mapInArrow(_cut(threshold, rest.index("text"), len(rest), characters), f"{kinds}, n_bytes long, kept binary, removed array<struct<start: long, end: long>>")
+    return both.mapInArrow(tidy(_cut(threshold, rest.index("text"), len(rest), characters)), f"{kinds}, n_bytes long, kept binary, removed array<struct<start: long, end: long>>")

@@ -7,6 +7,7 @@ makes a Python object per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -64,6 +65,25 @@ class Prefix:
         return (self.sums[end] - self.sums[start]) * back[start]
 
 
+def release() -> None:
+    """Give freed memory back to the system; workers outlive a task and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def tidy(run):
+    """A map over batches that releases memory when its input ends."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the int64 offsets of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -152,7 +172,7 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64(h + (ends - starts).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
 
 
-def chunk_word_hashes(buf: np.ndarray, offsets: np.ndarray, member: np.ndarray, chunk: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def chunk_word_hashes(buf: np.ndarray, offsets: np.ndarray, member: np.ndarray, chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """words() and their hashes, hashing about ``chunk`` bytes at a time, so that a long text needs no long table of powers."""
     starts, ends, rows = words(buf, offsets, member)
     out = np.zeros(len(starts), np.uint64)

@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame
 
 from . import recurrent
 from .labelled import Sample, sample
-from .textbuf import BASE, BYTE_VALUE, LOWER, U64, WORD_BYTE, Prefix, blocks, chunk_word_hashes, flat, mix64
+from .textbuf import BASE, BYTE_VALUE, LOWER, U64, WORD_BYTE, Prefix, blocks, chunk_word_hashes, flat, mix64, release, tidy
 
 WINDOW, STRIDE = 32, 16
 BITS = 18
 GRAMS = (3, 4, 5, 6)
 PARTS = 4
 #: At most so many labelled documents of each class train the network.
-PER_CLASS = 800
+PER_CLASS = 600
 F32 = np.float32
 
 
@@ -247,9 +247,11 @@ def score_with(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c != "score"])
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_score(sent), f"{kinds}, score double")
+    return docs.mapInArrow(tidy(_score(sent)), f"{kinds}, score double")
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
     """Train on labelled documents outside the held-out fold, and score all of ``docs`` (doc_id, text, ...)."""
-    return score_with(docs, train(sample(docs, labels, label, per_class=per_class)))
+    model = train(sample(docs, labels, label, per_class=per_class))
+    release()
+    return score_with(docs, model)

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textbuf import tidy
+
 TOKEN = re.compile(r"[a-z0-9%]+")
 _ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -142,4 +144,4 @@ def judge_urls(urls: DataFrame, patterns: list[str], directories: list[tuple[str
         counts = {r["t"]: r["count"] for r in seen.groupBy("t").count().collect()}
     rules = spark.sparkContext.broadcast(Rules(patterns, directories, counts))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema.fields)
-    return urls.mapInArrow(_judge(rules), f"{kinds}, host string, path string, rule string, verdict string, pattern string")
+    return urls.mapInArrow(tidy(_judge(rules)), f"{kinds}, host string, path string, rule string, verdict string, pattern string")
