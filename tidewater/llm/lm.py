@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .stages import written
 from .suffix import _whole_groups
-from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathered, mix64
+from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathered, mix64, tidy
 
 #: Hashes of the end token and of the place before the first token; no word's bytes hash to them but by chance.
 END, START = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
@@ -287,7 +287,7 @@ def _score(orders: int, texts: int, total: int, kinds: int, table: np.ndarray):
     return run
 
 
-def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int = 16 << 20, part_keys: int = 1_500_000) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int = 6 << 20, part_keys: int = 1_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs`` (doc_id, text).
 
     Rows where ``held_out`` is true don't train the model.  ``score`` is the
@@ -297,7 +297,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int =
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = F.coalesce(held_out, F.lit(False)).alias("held")
-    blocks = written(docs.select("doc_id", "text", held).mapInArrow(_tokenise(block_bytes), BLOCKS.format(kind)))
+    blocks = written(docs.select("doc_id", "text", held).mapInArrow(tidy(_tokenise(block_bytes)), BLOCKS.format(kind)))
     sizes = blocks.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     if not sizes["n"]:
         return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
@@ -305,19 +305,19 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int =
     answers, total, kinds = None, 0, 0
     for k in range(1, order + 1):
         parts = -(-(sizes["words"] if k == 1 else sizes["n"]) // part_keys)
-        asked = blocks.select("block", "docs", "vocabulary", "tokens").mapInArrow(_ask(k, parts), "part int, block long, keys binary, counts binary")
-        told = written(asked.repartition("part").sortWithinPartitions("part").mapInArrow(_answer, ANSWERS))
+        asked = blocks.select("block", "docs", "vocabulary", "tokens").mapInArrow(tidy(_ask(k, parts)), "part int, block long, keys binary, counts binary")
+        told = written(asked.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(_answer), ANSWERS))
         if k == 1:
             total, kinds = told.agg(F.sum("total"), F.sum("distinct")).first()
         told = told.select("block", F.struct(F.lit(k).alias("order"), "part", "counts").alias("answer"))
         answers = told if answers is None else answers.unionByName(told)
     met = blocks.select("block", "docs", "vocabulary", "tokens").join(answers.groupBy("block").agg(F.collect_list("answer").alias("answers")), "block")
     counted = ", ".join(f"c{k} binary" for k in range(1, order + 1))
-    counts = written(met.mapInArrow(_look_up(order), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
+    counts = written(met.mapInArrow(tidy(_look_up(order)), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
 
     quantised = ", ".join(f"q{k} long" for k in range(1, order + 1))
-    cells = counts.mapInArrow(_histogram(order, texts, total, kinds), f"bucket long, {quantised}, n long")
+    cells = counts.mapInArrow(tidy(_histogram(order, texts, total, kinds)), f"bucket long, {quantised}, n long")
     rows = cells.groupBy(*cells.columns[:-1]).agg(F.sum("n").alias("n")).collect()  # bounded by the steps of each estimate
     table = np.array([list(r) for r in rows], np.int64).reshape(-1, order + 2)
     weights = learn_weights(table[:, :-1], table[:, -1], order, kinds)
-    return counts.mapInArrow(_score(order, texts, total, kinds, weight_table(weights, order)), "doc_id " + kind + ", held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return counts.mapInArrow(tidy(_score(order, texts, total, kinds, weight_table(weights, order))), "doc_id " + kind + ", held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
