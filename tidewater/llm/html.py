@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbuf import blocks
+from .stages import written
+from .textbuf import blocks, tidy
 
 #: Branches below this importance are cut, if their node is on at least LEAST_PAGES distinct pages of the host.
 THRESHOLD, LEAST_PAGES = 0.2, 8
@@ -246,7 +247,7 @@ def host_of(url: str):
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, path, inside, pages, importance) of every node of the hosts' style trees; ``pages`` has url and html."""
-    rows = pages.select(host_of("url").alias("host"), "html").mapInArrow(_features, FEATURES)
+    rows = pages.select(host_of("url").alias("host"), "html").mapInArrow(tidy(_features), FEATURES)
     each = rows.groupBy("host", "path", "inside", "kind", "feature").agg(F.countDistinct("page").alias("n"))
     # pages of a node: each distinct page has one style there
     m = F.sum(F.when(F.col("kind") == "s", F.col("n")))
@@ -271,17 +272,25 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*block.columns[: n - 2], pa.array(texts, pa.string())], names=[*block.schema.names[: n - 2], "main_text"])
 
 
-def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES, most_broadcast: int = 1 << 19, salts: int = 64) -> DataFrame:
     """``pages`` (url, html, ...) with ``main_text``, '' if there is none; other columns unchanged.
 
-    The unimportant paths of each host are joined to its pages; Spark broadcasts
-    them if they are few, and else splits a hot host's pages.
+    The unimportant paths of each host go to all tasks if there are at most
+    ``most_broadcast`` of them (8 bytes each), and pages stay where they are;
+    else they are joined to the pages of their host, dealt out by ``salts``.
     """
-    pages = pages.select(*[c for c in pages.columns if c not in ("main_text", "_host", "_cut", "_inside")])
+    pages = pages.select(*[c for c in pages.columns if c not in ("main_text", "_host", "_cut", "_inside", "_salt")])
     tree = style_tree(pages)
     outside = (~F.col("inside")) & (F.col("importance") < threshold) & (F.col("pages") >= least_pages)
     within = F.col("inside") & (F.col("importance") < THRESHOLD_INSIDE) & (F.col("pages") >= LEAST_PAGES_INSIDE)
-    cut = tree.where(outside | within).groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.when(outside, F.col("path"))).alias("_cut"), F.collect_list(F.when(within, F.col("path"))).alias("_inside"))
-    both = pages.join(cut, host_of("url") == F.col("_host"), "left").select(*pages.columns, "_cut", "_inside")
+    cut = written(tree.where(outside | within).groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.when(outside, F.col("path"))).alias("_cut"), F.collect_list(F.when(within, F.col("path"))).alias("_inside")))
+    paths = cut.agg(F.sum(1 + F.size("_cut") + F.size("_inside"))).first()[0] or 0
+    host = host_of("url")
+    if paths <= most_broadcast:
+        both = pages.join(F.broadcast(cut), host == F.col("_host"), "left")
+    else:
+        dealt = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = pages.withColumn("_of", F.pmod(F.xxhash64("url", "html"), F.lit(salts)))
+        both = salted.join(dealt, (host == F.col("_host")) & (F.col("_of") == F.col("_salt")), "left")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return both.mapInArrow(_extract, f"{kinds}, main_text string")
+    return both.select(*pages.columns, "_cut", "_inside").mapInArrow(tidy(_extract), f"{kinds}, main_text string")
