@@ -75,7 +75,7 @@ def merge_chunks(gold: DataFrame, silver: DataFrame) -> DataFrame:
     Staging just the files that gold hasn't seen keeps a second run from bringing
     retired versions back.
     """
-    bump = amendments(gold.where("is_current"), silver)
+    bump = amendments(gold, silver)  # retired files count as seen
     new_files = silver.join(gold.select("source_file").distinct(), "source_file", "left_anti")
     staged = new_files.join(bump, "contract_id", "left").withColumn("version", F.coalesce("new_version", "version", F.lit(1))).withColumn("is_current", F.lit(True)).select(*gold.columns)
     retired = update_where(gold.join(bump.withColumnRenamed("contract_id", "_c"), gold["contract_id"] == F.col("_c"), "left"), F.col("new_version").isNotNull(), is_current=F.lit(False)).select(*gold.columns)
