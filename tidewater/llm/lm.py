@@ -42,7 +42,8 @@ from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathe
 END, START = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 #: Steps of the quantised estimates to a factor of two, for learning weights.
 STEPS = 4
-NEVER = -(1 << 12)
+#: The quantised estimate 0; no estimate of a corpus is as small as 2**(NEVER / STEPS).
+NEVER = -(1 << 9)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -239,7 +240,16 @@ def _histogram(orders: int, texts: int, total: int, kinds: int):
                 train = ~x.held[x.row]
                 bucket, f = x.estimates(train.astype(np.int64), total, kinds)
                 q = [np.where(y > 0, np.rint(STEPS * np.log2(np.maximum(y, 1e-300))), NEVER).astype(np.int64)[train] for y in f[1:]]
-                cells, n = np.unique(np.stack([bucket[train], *q]), axis=1, return_counts=True) if train.any() else (np.zeros((1 + orders, 0), np.int64), np.zeros(0, np.int64))
+                # one number for each cell: the bucket, then the estimates, each from NEVER to 0
+                key = bucket[train]
+                for y in q:
+                    key = key * (1 - NEVER) + (y - NEVER)
+                cell, n = np.unique(key, return_counts=True)
+                cells = []
+                for _ in q:
+                    cells.append(cell % (1 - NEVER) + NEVER)
+                    cell = cell // (1 - NEVER)
+                cells = [cell, *reversed(cells)]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, cells), pa.array(n)], names=["bucket", *[f"q{k}" for k in range(1, orders + 1)], "n"])
 
     return run
