@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .textbuf import BASE, BYTE_VALUE, U64, Prefix, blocks, flat, mix64, powers, tidy
 
 #: Bytes handled at a time; a longer text is cut into overlapping segments.
-SEGMENT = 1 << 21
+SEGMENT = (1 << 20) - (1 << 13)
 #: Low bits of a sliding-minimum key that hold the position.
 PLACE_BITS = 24
 
@@ -217,7 +217,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, least: int) -> It
 
 def _sort_buckets(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, 0, 20_000):
+        for table in _whole_groups(batches, 0, 8_000):
             a, doc, lo, back = (table.column(i).to_numpy() for i in range(4))
             data, offs = flat(table.column(4).combine_chunks())
             n = np.diff(offs) - threshold + 1  # windows of each context
@@ -327,13 +327,13 @@ def _cut(threshold: int, text_at: int, runs_at: int, characters: bool):
             lengths = np.where(has, runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0)
             rows = np.repeat(np.arange(block.num_rows), lengths)
             pairs = runs.flatten()
-            steps = np.zeros(len(buf) + 1, np.int64)
+            steps = np.zeros(len(buf) + 1, np.int32)
             if len(rows):
                 lo = np.minimum(pairs.field(0).to_numpy() + offs[rows], offs[rows + 1])
                 hi = np.minimum(pairs.field(1).to_numpy() + threshold + offs[rows], offs[rows + 1])
                 np.add.at(steps, lo, 1)
                 np.add.at(steps, hi, -1)
-            gone = np.cumsum(steps[:-1]) > 0
+            gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
             if characters and len(buf):
                 first = np.flatnonzero((buf & 0xC0) != 0x80)
                 gone = np.repeat(np.minimum.reduceat(gone, first), np.diff(np.r_[first, len(buf)]))
