@@ -48,19 +48,26 @@ def _is_phone(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"(?U)\D", "")).between(*PHONE_DIGITS)
 
 
+#: Every text with a phone candidate has this; it is cheaper to look for.
+_PHONE_HINT = r"(?U)\d[\d\s().-]{7,}\d"
+
+
 def mask_pii(c: Column | str) -> Column:
     """Addresses as [EMAIL], then phone numbers as [PHONE]; ids, dates and amounts stay.  Null gives ''."""
-    text = F.regexp_replace(F.coalesce(col(c), F.lit("")), EMAIL, "[EMAIL]")
+    given = F.coalesce(col(c), F.lit(""))
+    text = F.when(F.contains(given, F.lit("@")), F.regexp_replace(given, EMAIL, "[EMAIL]")).otherwise(given)
     around = F.split(text, PHONE, -1)
     shown = F.transform(F.regexp_extract_all(text, F.lit(PHONE), F.lit(0)), lambda h: F.when(_is_phone(h), "[PHONE]").otherwise(h))
-    return F.array_join(F.zip_with(around, shown, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    masked = F.array_join(F.zip_with(around, shown, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(text.rlike(_PHONE_HINT), masked).otherwise(text)
 
 
 def pii_found(c: Column | str) -> Column:
     """Addresses and phone numbers that are still in a text."""
     text = F.coalesce(col(c), F.lit(""))
-    phones = F.filter(F.regexp_extract_all(text, F.lit(PHONE), F.lit(0)), _is_phone)
-    return F.concat(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)), F.transform(phones, F.trim))
+    none = F.array().cast("array<string>")
+    phones = F.when(text.rlike(_PHONE_HINT), F.filter(F.regexp_extract_all(text, F.lit(PHONE), F.lit(0)), _is_phone)).otherwise(none)
+    return F.concat(F.when(F.contains(text, F.lit("@")), F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0))).otherwise(none), F.transform(phones, F.trim))
 
 
 def estimate_tokens(c: Column | str) -> Column:

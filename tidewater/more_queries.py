@@ -34,8 +34,8 @@ def _files(ctx: Context) -> DataFrame:
 
 
 def doc_pii_mask(ctx: Context) -> DataFrame:
-    masked = t.mask_pii("text")
-    return ctx.read("documents").select("doc_id", F.sha2(masked, 256).alias("masked_sha256"), F.size(t.pii_found("text")).alias("found"), F.size(t.pii_found(masked)).alias("left"))
+    rows = ctx.read("documents").select("doc_id", t.mask_pii("text").alias("masked"), F.size(t.pii_found("text")).alias("found"))
+    return rows.select("doc_id", F.sha2("masked", 256).alias("masked_sha256"), "found", F.size(t.pii_found("masked")).alias("left"))
 
 
 def doc_addresses(ctx: Context) -> DataFrame:

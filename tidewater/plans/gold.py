@@ -59,7 +59,7 @@ def gold_bookings_vs_billings(ctx: Context) -> DataFrame:
 BUCKETS = [("ar_current", None, 0), ("ar_1_30", 1, 30), ("ar_31_60", 31, 60), ("ar_61_90", 61, 90), ("ar_90_plus", 91, None)]
 
 
-@dataset("gold", HAS_CUSTOMER)
+@dataset("gold", HAS_CUSTOMER, shared=True)
 def gold_collections_risk(ctx: Context) -> DataFrame:
     """Receivables by age, and how risky they are; all buckets in one aggregation."""
     days, amount = F.col("days_past_due"), F.col("open_amount")
@@ -85,7 +85,7 @@ def gold_support_performance(ctx: Context) -> DataFrame:
     return ctx.read("silver_case").groupBy("customer_sk").agg(F.count(F.lit(1)).alias("case_count"), _flag("is_open").alias("open_case_count"), F.avg("resolution_hours").alias("avg_resolution_hours"), F.max("created_date").alias("last_case_date"), F.sum(F.when(urgent, 1).otherwise(0)).alias("high_priority_case_count"))
 
 
-@dataset("gold", HAS_CUSTOMER)
+@dataset("gold", HAS_CUSTOMER, shared=True)
 def gold_account_health(ctx: Context) -> DataFrame:
     """Points for open cases, overdue money and silence: the more, the worse."""
     support = ctx.read("gold_support_performance").select("customer_sk", "open_case_count", "high_priority_case_count", "avg_resolution_hours")

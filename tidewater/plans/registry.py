@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import expectations
 from ..operators.expectations import Expectation
+from ..staging import written
 
 
 @dataclass(frozen=True)
@@ -25,18 +26,23 @@ class Dataset:
     layer: str
     build: Callable[[Context], DataFrame]
     expectations: tuple[Expectation, ...] = ()
+    shared: bool = False
     properties: dict[str, str] = field(default_factory=dict)
 
 
 DATASETS: dict[str, Dataset] = {}
 
 
-def dataset(layer: str, *rules: Expectation, name: str | None = None, **properties: str):
-    """Register a builder under its function's name; ``properties`` are kept as metadata."""
+def dataset(layer: str, *rules: Expectation, name: str | None = None, shared: bool = False, **properties: str):
+    """Register a builder under its function's name; ``properties`` are kept as metadata.
+
+    A ``shared`` dataset is written once when other datasets read it, as many
+    branches of one query would otherwise each compute it anew.
+    """
 
     def register(build: Callable[[Context], DataFrame]):
         own = name or build.__name__
-        DATASETS[own] = Dataset(own, layer, build, tuple(rules), {"quality": layer, **properties})
+        DATASETS[own] = Dataset(own, layer, build, tuple(rules), shared, {"quality": layer, **properties})
         return build
 
     return register
@@ -51,10 +57,15 @@ class Principal:
 
 
 class Context:
-    """Builds datasets over one set of source tables, as of one date."""
+    """Builds datasets over one set of source tables, as of one date.
+
+    ``stamp`` adds load times and counts broken expectations; ``staged`` writes
+    shared datasets to the shared folder when a second dataset needs them.
+    """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], as_of: dt.date, stamp: bool = False):
-        self.spark, self.source, self.as_of, self.stamp = spark, source, as_of, stamp
+    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], as_of: dt.date, stamp: bool = False, staged: bool = False):
+        self.spark, self.source, self.as_of, self.stamp, self.staged = spark, source, as_of, stamp, staged
+        self._written: set[str] = set()
         self.edges: set[tuple[str, str]] = set()
         self.failures: dict[str, Observation] = {}
         self._built: dict[str, DataFrame] = {}
@@ -84,6 +95,9 @@ class Context:
                     self.failures[name] = Observation(f"{name}_{len(self.failures)}")
                 df = expectations.apply(df, rules, self.failures.get(name))
                 self._built[name] = df.withColumn(f"_{DATASETS[name].layer}_loaded_at", F.current_timestamp()) if self.stamp else df
+        if self.staged and self._open and name in DATASETS and DATASETS[name].shared and name not in self._written:
+            self._built[name] = written(self._built[name])
+            self._written.add(name)
         return self._built[name]
 
     def lineage(self) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators.relational import latest
 from .registry import Context, dataset
 
 
-@dataset("gold")
+@dataset("gold", shared=True)
 def accounts(ctx: Context) -> DataFrame:
     """customer_sk, account_id, account_name, territory_id, region."""
     crm = latest(ctx.read("crm_accounts"), ["account_id"], F.col("created_date").desc(), F.col("batch").desc()).select(F.col("account_id").alias("crm_account_id"), "territory_id")

@@ -21,7 +21,7 @@ def _erp(ctx: Context) -> DataFrame:
     return customers.select(F.col("customer_id").alias("erp_customer_id"), F.col("customer_name").alias("erp_name"), F.col("country").alias("erp_country"), normalize_name("customer_name").alias("erp_name_key"), normalize_domain("payment_contact_email").alias("erp_domain_key"))
 
 
-@dataset("silver", drop("has_surrogate_key", "customer_sk IS NOT NULL"), drop("has_source_lineage", "crm_account_id IS NOT NULL OR erp_customer_id IS NOT NULL"), warn("has_company_name", "company_name IS NOT NULL AND length(company_name) > 1"))
+@dataset("silver", drop("has_surrogate_key", "customer_sk IS NOT NULL"), drop("has_source_lineage", "crm_account_id IS NOT NULL OR erp_customer_id IS NOT NULL"), warn("has_company_name", "company_name IS NOT NULL AND length(company_name) > 1"), shared=True)
 def silver_customer(ctx: Context) -> DataFrame:
     """One row for each company: CRM accounts linked to ERP customers by crosswalk, else by name and domain; then the rest of both."""
     erp = _erp(ctx)

@@ -24,7 +24,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    return Context(spark, spark_source(spark, sf_dir), AS_OF)
+    return Context(spark, spark_source(spark, sf_dir), AS_OF, staged=True)
 
 
 def _plain(df: DataFrame) -> DataFrame:
