@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, jaccard, packing, suffix, toxicity
 from tidewater.llm.queries import token_digest
-from tidewater.llm.ship import ship
-from tidewater.llm.stages import written
+from tidewater.shipping import ship
+from tidewater.staging import written
 from tidewater.llm.tables import table
 
 #: Documents with at least this toxicity go.

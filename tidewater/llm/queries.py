@@ -7,8 +7,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import decontaminate, html, jaccard, labelled, lm, media, packing, quality, suffix, toxicity, urlrules
-from .ship import ship
 from .tables import table
 
 
