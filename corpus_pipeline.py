@@ -8,6 +8,8 @@ doc_id pass all filters; a text that loses everything stays as an empty one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,40 +23,51 @@ from tidewater.llm.tables import table
 TOXIC = 0.3
 
 
-def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with the length of the text brought up to date, in the order of ``columns``."""
-    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*columns) if "n_chars" in columns else docs.select(*columns)
+def _aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but doc_id and text under names that no operator uses, and the way back to their names and order.
+
+    On the way back ``n_chars`` becomes the length of the text.
+    """
+    names = {c: c if c in ("doc_id", "text") else f"_aside_{i}" for i, c in enumerate(docs.columns)}
+
+    def back(out: DataFrame) -> DataFrame:
+        size = F.when(F.col("text").isNull(), F.col(names["n_chars"])).otherwise(F.char_length("text").cast("long")) if "n_chars" in names else None
+        return out.select(*[(size if c == "n_chars" else F.col(n)).alias(c) for c, n in names.items()])
+
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), back
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     ship(spark)
-    scored = docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs
-    out = toxicity.score(scored, table(spark, sf_dir, "labels")).where(F.col("score") < TOXIC)
-    return out.select(*[F.col(c).alias(d) for c, d in zip(scored.columns, docs.columns, strict=True)])
+    own, back = _aside(docs)
+    return back(toxicity.score(own, table(spark, sf_dir, "labels")).where(F.col("score") < TOXIC))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group that links of similarity 0.8 or more connect; of repeated rows, one."""
     ship(spark)
-    linked = jaccard.link_documents(docs)
+    own, back = _aside(docs)
+    linked = jaccard.link_documents(own)
     first = linked.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    kept = own.join(first.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return back(kept.unionByName(own.where(F.col("doc_id").isNull())))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the characters of any 100 bytes that also start earlier in the corpus."""
     ship(spark)
-    out = suffix.remove_repeats(docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]), 100, characters=True)
-    return _with_text(out.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))), docs.columns)
+    own, back = _aside(docs)
+    out = suffix.remove_repeats(own, 100, characters=True)
+    return back(out.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept").cast("string"))))
 
 
 def drop_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the spans of words that are inside an occurrence of a benchmark window."""
     ship(spark)
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns, "spans")
-    return _with_text(decontaminate.remove_spans(found), docs.columns)
+    own, back = _aside(docs)
+    found = decontaminate.find_contamination(own, table(spark, sf_dir, "benchmark"))
+    return back(decontaminate.remove_spans(found.select(*own.columns, "spans")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:

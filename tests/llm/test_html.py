@@ -29,6 +29,16 @@ def test_text_is_whole():
     long = " ".join(f"w{i}" for i in range(50_000))
     assert text(f"<article><p>{long}</p></article>") == long
     assert text("<p>" * 3000 + "deep") == "deep"
+    assert text("<div>" * 100_000 + "very deep") == "very deep"
+
+
+def test_odd_markup_takes_linear_time():
+    import time
+
+    began = time.time()
+    for odd in ("<a " * 100_000 + '"', '<a title="' * 100_000, "<" * 200_000, "<!--" * 100_000, "</p>" * 100_000, "&" * 200_000, "<script>" * 50_000, "<b>x" * 50_000):
+        text(odd + "<p>end")
+    assert time.time() - began < 20
 
 
 def pages(n, body):

@@ -33,6 +33,23 @@ def test_repeats_and_contamination_go(spark):
     assert [r["text"].split()[0] for r in got] == ["start", "clean"] and item not in got[0]["text"] and got[0]["text"].rstrip().endswith("end")
 
 
+CLASHING = "score spans kept removed n_bytes items hit_words n_words class_id cls label _y _id _runs _doc _salt component signature length offset sequence_id host".split()
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    own = docs(spark, [(i, " ".join(f"{c}{i}" for c in "abcdefghijklmnopqrstuvwxyz")) for i in range(8)] + [(9, None), (None, "")])
+    wide = own.select("*", *[F.lit(f"v{k}").alias(c) for k, c in enumerate(CLASHING)])
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, wide, DATA)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == wide.columns, name
+            assert {r["spans"] for r in got.collect()} == {"v1"} and {r["score"] for r in got.collect()} == {"v0"}, name
+        else:
+            assert got.count() == 10
+
+
 def test_run_is_its_stages(spark):
     at = spark.read.parquet(f"{DATA}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:

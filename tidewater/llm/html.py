@@ -40,10 +40,13 @@ THRESHOLD, LEAST_PAGES = 0.2, 8
 #: The same inside an article.
 THRESHOLD_INSIDE, LEAST_PAGES_INSIDE = 0.05, 20
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+#: Elements nested deeper than this are read as if they weren't there; their text is kept.
+DEEPEST = 256
+
 # Names of HTML elements, by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
@@ -192,7 +195,7 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
             inside = "article" if tag == "article" else "main"
         if parent and (not parent.children or parent.children[-1] != label):
             parent.children.append(label)
-        if not m[0].endswith("/>") or tag in BLOCK:
+        if len(stack) < DEEPEST and (not m[0].endswith("/>") or tag in BLOCK):
             path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{label}") - (1 << 63)
             stack.append(Element(tag, path, noise, inside, tag in PLAIN and not named))
     close(0)
@@ -287,10 +290,10 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
     paths = cut.agg(F.sum(1 + F.size("_cut") + F.size("_inside"))).first()[0] or 0
     host = host_of("url")
     if paths <= most_broadcast:
-        both = pages.join(F.broadcast(cut), host == F.col("_host"), "left")
+        both = pages.join(F.broadcast(cut), host == cut["_host"], "left").select(*[pages[c] for c in pages.columns], cut["_cut"], cut["_inside"])
     else:
         dealt = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = pages.withColumn("_of", F.pmod(F.xxhash64("url", "html"), F.lit(salts)))
-        both = salted.join(dealt, (host == F.col("_host")) & (F.col("_of") == F.col("_salt")), "left")
+        own = F.pmod(F.xxhash64(pages["url"], pages["html"]), F.lit(salts))
+        both = pages.join(dealt, (host == dealt["_host"]) & (own == dealt["_salt"]), "left").select(*[pages[c] for c in pages.columns], dealt["_cut"], dealt["_inside"])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return both.select(*pages.columns, "_cut", "_inside").mapInArrow(tidy(_extract), f"{kinds}, main_text string")
+    return both.mapInArrow(tidy(_extract), f"{kinds}, main_text string")

@@ -371,6 +371,6 @@ def remove_repeats(docs: DataFrame, threshold: int = 100, characters: bool = Fal
     docs = docs.select(*rest)
     runs = repeated_windows(docs, threshold, **options)
     per_doc = runs.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("lo", "hi")).alias("_runs"))
-    both = docs.join(per_doc.hint("shuffle_hash"), docs["doc_id"] == per_doc["_doc"], "left").select(*rest, "_runs")
+    both = docs.join(per_doc.hint("shuffle_hash"), docs["doc_id"] == per_doc["_doc"], "left").select(*[docs[c] for c in rest], per_doc["_runs"])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return both.mapInArrow(tidy(_cut(threshold, rest.index("text"), len(rest), characters)), f"{kinds}, n_bytes long, kept binary, removed array<struct<start: long, end: long>>")
