@@ -1 +1 @@
-
+"""Column expressions: keys, calendars, masks, text."""

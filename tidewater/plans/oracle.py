@@ -151,3 +151,52 @@ def with_relations(select: str) -> str:
 
 def text(name: str, columns: str = "*") -> str:
     return with_relations(f"SELECT {columns} FROM {name}")
+
+
+#: Columns of money (and of shares written as decimals) in each query's SQL; queries give them as doubles.
+DECIMALS: dict[str, str] = {
+    "silver_contract": "contract_amount",
+    "silver_sales_order": "net_amount",
+    "silver_payment": "payment_amount",
+    "silver_invoice": "gross_amount amount_paid open_amount",
+    "gold_customer_360": "total_contract_amount total_invoiced total_paid total_open_ar",
+    "gold_revenue_pipeline": "booked_amount ordered_amount billed_amount",
+    "gold_bookings_vs_billings": "total_booked total_billed total_ordered billings_gap",
+    "gold_collections_risk": "ar_current ar_1_30 ar_31_60 ar_61_90 ar_90_plus total_open_ar",
+    "gold_account_health": "total_open_ar",
+    "gold_renewal_risk": "contract_amount",
+    "opportunity_pipeline": "amount",
+    "account_bookings_billings": "bookings_amount billings_amount",
+    "account_collections": "ar_balance overdue_amount",
+    "account_renewals": "churn_probability arr",
+    "silver_product": "unit_price",
+    "silver_contract_single": "contract_amount",
+    "customer_360_curated": "total_contract_amount total_invoiced total_paid total_open_ar",
+    "account_health_curated": "total_open_ar",
+    "revenue_pipeline_curated": "booked_amount ordered_amount billed_amount",
+    "collections_risk_curated": "ar_current ar_1_30 ar_31_60 ar_61_90 ar_90_plus total_open_ar",
+    "exec_pipeline_by_stage": "total_amount",
+    "exec_latest_periods": "bookings billings variance",
+    "exec_top_overdue": "ar_balance overdue_amount",
+    "exec_kpi_snapshot": "total_overdue",
+    "tool_pipeline_by_stage": "total_amount",
+    "tool_bookings_billings": "bookings billings variance",
+    "tool_renewal_risk": "churn_probability arr",
+    "tool_top_accounts": "arr",
+    "tool_variance": "bookings_amount billings_amount variance",
+    "tool_unmatched_invoices": "invoice_amount paid_amount unpaid_variance",
+    "tool_collections_risk": "ar_balance overdue_amount",
+    "billing_by_environment": "dbus",
+    "answer_scores": "citation_accuracy",
+    "retrieval_scores": "hit",
+    "fifo_allocation": "allocated",
+    "product_current": "list_price_usd",
+    "merge_upsert": "price",
+}
+
+
+def as_doubles(name: str, select: str) -> str:
+    """The query's SQL with its decimals as doubles, as the registered query gives them."""
+    if name not in DECIMALS:
+        return select
+    return "SELECT * REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DECIMALS[name].split()) + f") FROM ({select}) AS q"

@@ -12,7 +12,7 @@ from . import more_queries
 from .plans import dashboards as d
 from .plans import gold, shapes, silver  # noqa: F401  (they register datasets)
 from .plans.bronze import spark_source
-from .plans.oracle import text
+from .plans.oracle import as_doubles, text
 from .plans.registry import Context
 from .shipping import ship
 
@@ -39,7 +39,7 @@ def _register(name: str, build: Callable[[Context], DataFrame], sql: str | None)
 
     QUERIES[name] = run
     if sql:
-        ORACLE_SQL[name] = sql
+        ORACLE_SQL[name] = as_doubles(name, sql)
 
 
 for _name in "silver_customer silver_contract silver_sales_order silver_payment silver_invoice silver_territory gold_customer_360 gold_revenue_pipeline gold_bookings_vs_billings gold_collections_risk gold_support_performance gold_account_health gold_renewal_risk accounts opportunity_pipeline account_bookings_billings account_collections account_scores account_renewals account_support".split():
