@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+#: Paths of the tables written by this process; '' once deleted.
+_made: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
@@ -30,4 +32,19 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder(spark)}/tidewater-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """How many tables this process has written so far."""
+    return len(_made)
+
+
+def drop(spark: SparkSession, since: int, until: int) -> None:
+    """Delete the tables written between two marks, once nothing that reads them is still to be computed."""
+    for i in range(since, min(until, len(_made))):
+        if _made[i]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_made[i])
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _made[i] = ""
