@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewater.llm import decontaminate, jaccard, packing, suffix, toxicity
 from tidewater.llm.queries import token_digest
 from tidewater.shipping import ship
-from tidewater.staging import written
+from tidewater.staging import drop, mark, written
 from tidewater.llm.tables import table
 
 #: Documents with at least this toxicity go.
@@ -92,10 +92,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, each written before the next."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = written(docs)
-    return docs
+    """All stages over the documents of ``sf_dir``, each written before the next; what a stage has written on its way goes when its result is there."""
+    docs, before = table(spark, sf_dir, "documents"), mark()
+    for _, stage in STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        steps = mark()
+        docs = written(out)
+        drop(spark, before, steps)  # the steps and the stage before
+        before = steps
+    return STAGES[-1][1](spark, docs, sf_dir)
