@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import jaccard
 from tidewater.llm.components import connected_components
@@ -79,3 +80,16 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100, 200: 200, 300: 200}
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+    star = spark.createDataFrame([(5, 1000 + i) for i in range(60)] + [(1010, 3)], "u long, v long")
+    assert {r["component"] for r in connected_components(star, few=0).collect()} == {3}
+
+
+def test_join_with_hot_keys(spark, monkeypatch):
+    from tidewater.llm import components
+
+    monkeypatch.setattr(components, "PARTS", 4)
+    rows = spark.createDataFrame([("hot", i) for i in range(50)] + [(f"k{i}", i) for i in range(30)], "k string, i int")
+    keyed = rows.groupBy("k").count().where("k <> 'k7'").withColumn("x", F.upper("k"))
+    for few in (0, 10**6):
+        got = components.join_hot(rows, keyed, "k", "count", 80, few)
+        assert got.count() == 79 and got.columns == ["k", "i", "x"] and got.where("x <> upper(k)").count() == 0

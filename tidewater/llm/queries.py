@@ -119,6 +119,29 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ({", ".join(f"'{r}'" for v, r in DIRECTORIES if v == "allow")}) THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
     WHEN regexp_matches(url, '{_BLOCKED}') AND NOT regexp_matches(url, '{_ALLOWED}') THEN 'block' ELSE 'allow' END AS verdict
 FROM r""",
+    "op2_suffix_array_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS g FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 100)) AS p FROM d WHERE length(h) >= 200)),
+r AS (SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+f AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM r),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM f) GROUP BY doc_id, k),
+gone AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM runs
+  UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(length(h)) // 2 FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)""",
+    "op5_ngram_jaccard_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_CAPITALS}), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y, c = nx.n AND c = ny.n AS same FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 10 * c >= 8 * (nx.n + ny.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN l ON l.x = r.y),
+groups AS (SELECT x, min(y) AS class_id FROM reach GROUP BY 1),
+links AS (SELECT x, count(*) AS n_links, count(*) FILTER (same) AS n_copies FROM l GROUP BY 1)
+SELECT w.doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_copies, 0) AS n_copies, coalesce(n.n, 0) AS n_shingles
+FROM w JOIN groups g ON g.x = w.doc_id LEFT JOIN links k ON k.x = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id""",
     "op10_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
