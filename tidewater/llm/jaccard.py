@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import written
-from .components import connected_components
+from .components import connected_components, join_hot
 from .suffix import _whole_groups
 from .textbuf import BASE, LOWER, NOT_SPACE, U64, blocks, chunk_word_hashes, flat, mix64, tidy
 
@@ -243,11 +243,11 @@ def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tole
     classes = written(classes)
 
     bands = classes.select("cls", "signature").mapInArrow(tidy(_bands), "band long, cls long")
-    buckets = bands.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
-    stars = bands.join(buckets, "band").where("cls > least").select(F.col("cls").alias("u"), F.col("least").alias("v"))
-    members = connected_components(stars)
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    members = written(members.join(sizes, "component").select(F.col("node").alias("cls"), "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")))
+    buckets = bands.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most"), F.count(F.lit(1)).alias("rows")).where("least < most")
+    stars = join_hot(bands, buckets, "band", "rows", classes.count() * (VALUES // BAND)).where("cls > least").select(F.col("cls").alias("u"), F.col("least").alias("v"))
+    members = written(connected_components(stars))
+    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("rows"))
+    members = written(join_hot(members, sizes, "component", "rows", members.count()).select(F.col("node").alias("cls"), "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")))
 
     texts = docs.join(members.hint("shuffle_hash"), docs["doc_id"] == members["cls"]).select("cls", "component", "blocks", "own", "text")
     whole = texts.join(classes.select("cls", "copies", "signature").hint("shuffle_hash"), "cls")
