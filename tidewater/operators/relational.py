@@ -75,19 +75,23 @@ def allocate_fifo(payments: DataFrame, invoices: DataFrame, account: str = "acco
     """Payments applied to an account's oldest open invoices first.
 
     ``payments`` (account, payment_id, payment_date, amount) and ``invoices``
-    (account, invoice_id, due_date, amount).  Running totals turn both into ranges
-    of money; an allocation is where two ranges of an account overlap.  Returns
-    (account, payment_id, invoice_id, allocated).
+    (account, invoice_id, due_date, amount).  Running totals cut an account's
+    money at the end of every payment and of every invoice; between two cuts it
+    belongs to the payment and to the invoice that end next.  So one pass over the
+    sorted cuts does it, however many an account has.  Returns (account,
+    payment_id, invoice_id, allocated); amounts of 0 allocate nothing.
     """
 
-    def ranges(df: DataFrame, key: str, when: str) -> DataFrame:
+    def cuts(df: DataFrame, key: str, when: str) -> DataFrame:
         w = Window.partitionBy(account).orderBy(when, key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn("_to", F.sum("amount").over(w)).withColumn("_from", F.col("_to") - F.col("amount"))
-
-    p, i = ranges(payments, "payment_id", "payment_date").alias("p"), ranges(invoices, "invoice_id", "due_date").alias("i")
-    overlap = (F.col(f"p.{account}") == F.col(f"i.{account}")) & (F.col("p._from") < F.col("i._to")) & (F.col("i._from") < F.col("p._to"))
-    amount = F.least("p._to", "i._to") - F.greatest("p._from", "i._from")
-    return p.join(i, overlap).select(f"p.{account}", "payment_id", "invoice_id", amount.alias("allocated"))
+        return df.select(account, key, F.sum("amount").over(w).alias("_to"))
+
+    every = cuts(payments, "payment_id", "payment_date").unionByName(cuts(invoices, "invoice_id", "due_date"), allowMissingColumns=True)
+    down = Window.partitionBy(account).orderBy(F.desc("_to"), F.col("payment_id").desc(), F.col("invoice_id").desc())
+    so_far = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = F.coalesce(F.lead("_to").over(down), F.lit(0))
+    out = every.select(account, F.last("payment_id", ignorenulls=True).over(so_far).alias("payment_id"), F.last("invoice_id", ignorenulls=True).over(so_far).alias("invoice_id"), (F.col("_to") - below).alias("allocated"))
+    return out.where("allocated > 0 AND payment_id IS NOT NULL AND invoice_id IS NOT NULL")
 
 
 def to_usd(df: DataFrame, rates: DataFrame, amount: str, currency: str, date: str, out: str = "amount_usd") -> DataFrame:
