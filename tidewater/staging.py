@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -36,6 +37,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over.
+
+    It does so when the driver collects the garbage that refers to them, which a
+    driver with little to do puts off while the disks fill up.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def mark() -> int:
     """How many tables this process has written so far."""
     return len(_made)
