@@ -9,14 +9,18 @@ occurrence is deleted from all counts before they are used to predict it.
 Counts are of the whole training part of the corpus and grow with it, so no task
 holds them all.  Texts are tokenised once, into blocks: rows that hold many
 documents' tokens as numbers of the block's sorted vocabulary.  For each order a
-block sends its distinct n-grams (64-bit hashes, sorted, as differences), with its
-own training counts, to the parts of the key space; a part adds up all blocks'
+block sends its distinct n-grams (hashes, sorted, as differences), with its own
+training counts, to the parts of the key space; a part adds up all blocks'
 counts and answers each block.  A frequent n-gram thus costs one entry a block,
 and a part is one range of keys of about ``part_keys`` entries, whatever the
 corpus.  Answers meet their block in one join; then every token's counts are at
 hand.  What the driver gets is a histogram of quantised estimates (for the
 weights) and totals, both of bounded size.
 
+Words are told apart by 64-bit hashes.  Those of longer n-grams have as many bits as
+the corpus needs for one n-gram in 2**24 to share its count with another
+(:func:`key_bits`), as they are most of what is shuffled.
+
 Tokens are runs of other than white space, A-Z lower-cased, and one end token
 for each text.  Null and empty texts are one end token.  Repeated rows are
 scored and counted one by one.  Without training texts every token has the
@@ -34,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import written
+from ..staging import reclaim, written
 from .suffix import _whole_groups
 from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathered, mix64, tidy
 
@@ -47,26 +51,32 @@ NEVER = -(1 << 9)
 
 
 def _pack(x: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(x).tobytes(), 1)
+    """Compressed numbers, their bytes place by place: the high ones are mostly zero."""
+    x = np.ascontiguousarray(x)
+    places = x.view(np.uint8).reshape(-1, x.itemsize).T if x.itemsize > 1 else x
+    return zstandard.compress(np.ascontiguousarray(places).tobytes(), 1)
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(b), kind)
+    places = np.frombuffer(zstandard.decompress(b), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(places.reshape(size, -1).T).view(kind).ravel() if size > 1 else places
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences of the fewest whole bytes that hold them all."""
+    """Sorted 64-bit numbers as differences of the fewest whole bytes that hold them all, compressed byte place by byte place."""
     if not len(keys):
         return b""
     gaps = np.r_[U64(0), keys[1:] - keys[:-1]]
     width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
-    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    places = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + _pack(places)
 
 
 def unpack_sorted(b: bytes) -> np.ndarray:
     if not b:
         return np.zeros(0, np.uint64)
-    raw = np.frombuffer(b, np.uint8)[9:].reshape(-1, b[0])
+    raw = _unpack(b[9:], np.uint8).reshape(b[0], -1).T
     gaps = np.zeros((len(raw), 8), np.uint8)
     gaps[:, : b[0]] = raw
     return np.cumsum(gaps.view("<u8").ravel()) + U64(int.from_bytes(b[1:9], "little"))
@@ -112,8 +122,8 @@ class Block:
         self.place = np.arange(len(self.tokens)) - self.first[self.row]
         self.train = ~self.held[self.row]
 
-    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct n-gram hashes, the number of each token's own (that ends there; -1 where the text has too few before), and training counts."""
+    def grams(self, order: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct n-gram hashes (their ``bits`` highest bits; words keep all 64), the number of each token's own (that ends there; -1 where the text has too few before), and training counts."""
         h = self.hashes[self.tokens]
         ok = self.place >= order - 2  # one place before the first token counts as a token
         key = h
@@ -121,6 +131,8 @@ class Block:
             before = np.roll(h, back)
             before[self.place < back] = START
             key = mix64(key * U64(BASE) + before + U64(back))
+        if order > 1:
+            key = key >> U64(64 - bits)
         distinct, number = np.unique(key[ok], return_inverse=True)
         out = np.full(len(key), -1, np.int64)
         out[ok] = number
@@ -135,16 +147,21 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield b, i, Block(docs, b.column(2)[i].as_py(), b.column(3)[i].as_py())
 
 
-def _part_edges(parts: int) -> np.ndarray:
+def key_bits(n: int) -> int:
+    """Bits of an n-gram's hash, so that one of 2**24 shares its own with any of n others, whatever n."""
+    return min(64, max(32, n.bit_length() + 24))
+
+
+def _part_edges(parts: int, bits: int) -> np.ndarray:
     """First key of each part; ranges of the key space."""
-    return np.array([(k << 64) // parts for k in range(parts)], np.uint64)
+    return np.array([(k << bits) // parts for k in range(parts)], np.uint64)
 
 
-def _ask(order: int, parts: int):
+def _ask(order: int, parts: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = _part_edges(parts)
+        edges = _part_edges(parts, bits if order > 1 else 64)
         for b, i, block in _blocks(batches):
-            keys, _, counts = block.grams(order)
+            keys, _, counts = block.grams(order, bits)
             at = np.r_[np.searchsorted(keys, edges), len(keys)]
             which = [k for k in range(parts) if at[k] < at[k + 1]]
             yield pa.RecordBatch.from_arrays(
@@ -183,7 +200,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([own.column(0).combine_chunks(), own.column(1).combine_chunks(), pa.array(told, pa.binary()), pa.array(whole), pa.array(kinds)], names=["part", "block", "counts", "total", "distinct"])
 
 
-def _look_up(orders: int):
+def _look_up(orders: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, i, block in _blocks(batches):
             answers: dict[int, list[tuple[int, bytes]]] = {}
@@ -191,7 +208,7 @@ def _look_up(orders: int):
                 answers.setdefault(x["order"], []).append((x["part"], x["counts"]))
             columns = []
             for order in range(1, orders + 1):
-                _, number, _ = block.grams(order)
+                _, number, _ = block.grams(order, bits)
                 got = [_unpack(x[:-1], np.uint64 if x[-1] == 8 else np.uint32).astype(np.int64) for _, x in sorted(answers.get(order, []))]
                 told = np.concatenate([*got, np.zeros(1, np.int64)])  # the last is for n-grams that reach back too far
                 columns.append(pa.array([_pack(told[number].astype(np.uint32 if told.max() < 1 << 32 else np.uint64)) + bytes([4 if told.max() < 1 << 32 else 8])], pa.binary()))
@@ -297,7 +314,7 @@ def _score(orders: int, texts: int, total: int, kinds: int, table: np.ndarray):
     return run
 
 
-def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int = 6 << 20, part_keys: int = 1_000_000) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int = 6 << 20, part_keys: int = 500_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs`` (doc_id, text).
 
     Rows where ``held_out`` is true don't train the model.  ``score`` is the
@@ -312,19 +329,21 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int =
     if not sizes["n"]:
         return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     texts = blocks.select(F.size(F.filter("docs", lambda d: ~d["held"])).alias("n")).agg(F.sum("n")).first()[0]
-    answers, total, kinds = None, 0, 0
+    answers, total, kinds, bits = None, 0, 0, key_bits(sizes["n"])
     for k in range(1, order + 1):
         parts = -(-(sizes["words"] if k == 1 else sizes["n"]) // part_keys)
-        asked = blocks.select("block", "docs", "vocabulary", "tokens").mapInArrow(tidy(_ask(k, parts)), "part int, block long, keys binary, counts binary")
+        asked = blocks.select("block", "docs", "vocabulary", "tokens").mapInArrow(tidy(_ask(k, parts, bits)), "part int, block long, keys binary, counts binary")
         told = written(asked.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(_answer), ANSWERS))
+        reclaim(spark)
         if k == 1:
             total, kinds = told.agg(F.sum("total"), F.sum("distinct")).first()
         told = told.select("block", F.struct(F.lit(k).alias("order"), "part", "counts").alias("answer"))
         answers = told if answers is None else answers.unionByName(told)
     met = blocks.select("block", "docs", "vocabulary", "tokens").join(answers.groupBy("block").agg(F.collect_list("answer").alias("answers")), "block")
     counted = ", ".join(f"c{k} binary" for k in range(1, order + 1))
-    counts = written(met.mapInArrow(tidy(_look_up(order)), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
+    counts = written(met.mapInArrow(tidy(_look_up(order, bits)), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
 
+    reclaim(spark)
     quantised = ", ".join(f"q{k} long" for k in range(1, order + 1))
     cells = counts.mapInArrow(tidy(_histogram(order, texts, total, kinds)), f"bucket long, {quantised}, n long")
     rows = cells.groupBy(*cells.columns[:-1]).agg(F.sum("n").alias("n")).collect()  # bounded by the steps of each estimate
