@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import written
+from ..staging import reclaim, written
 from .textbuf import BASE, BYTE_VALUE, U64, Prefix, blocks, flat, mix64, powers, tidy
 
 #: Bytes handled at a time; a longer text is cut into overlapping segments.
@@ -299,6 +299,7 @@ def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = N
     of_anchor = Window.partitionBy("a")
     rows = rows.repartition("a").withColumn("nth", F.rank().over(of_context)).withColumn("kinds", F.sum(F.when((F.col("nth") == 1) & ~F.col("dup"), 1).otherwise(0)).over(of_anchor)).withColumn("one", (F.min("c").over(of_anchor) == F.max("c").over(of_anchor)))
     kept = written(rows.where(F.col("dup") | (F.col("nth") > 1) | ~F.col("one")).select("a", "doc", "at", (F.col("dup") | (F.col("nth") > 1)).alias("covered"), "kinds"))
+    reclaim(docs.sparkSession)
 
     m, back, more = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(F.lit(4095)), F.col("at").bitwiseAND(F.lit(4095))
     whole = kept.where("covered").select("doc", (m - back).alias("lo"), (m - back + more).alias("hi"))
