@@ -127,3 +127,16 @@ def test_search(spark):
     assert search.vector_top(df, [1.0, 0.0], "id", "v", 1, F.col("id") > 1).first()["id"] == 2
     hits = spark.createDataFrame([(2, "/x/b.pdf", "1.0", "B"), (1, "/x/a.pdf", "n", "A")], "rank int, f string, p string, t string")
     assert search.context(hits, "f", "p", "t").first()["context"] == "[a.pdf p?]\nA\n\n[b.pdf p1]\nB"
+
+
+def test_hybrid_search_finds_rows_without_a_vector(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], "red pie"), (2, None, "green apple"), (3, [0.0, 1.0], "blue sky")], "id int, v array<float>, text string")
+    got = [(r["id"], r["score"]) for r in search.hybrid_top(df, [0.0, 1.0], "apple", "id", "v", "text", 3).orderBy("rank").collect()]
+    assert got == [(2, 0.016393), (3, 0.016393), (1, 0.016129)]  # the second by its words only, without a rank among vectors
+    from tidewater import more_queries
+
+    class Tables:
+        def read(self, name):
+            return {"documents": df.select(F.col("id").alias("doc_id"), "text"), "embeddings": df.where("v is not null").select(F.col("id").alias("vec_id"), F.col("v").alias("embedding"), F.lit(0).alias("label"))}[name]
+
+    assert rows(more_queries._chunks(Tables()), "doc_id") == [(1,), (2,), (3,)]

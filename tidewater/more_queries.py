@@ -59,8 +59,9 @@ def doc_contract_type(ctx: Context) -> DataFrame:
 
 
 def _chunks(ctx: Context) -> DataFrame:
+    """Every document, with the vector of its number if there is one."""
     vectors = ctx.read("embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", "label")
-    return ctx.read("documents").select("doc_id", "text").join(vectors, "doc_id")
+    return ctx.read("documents").select("doc_id", "text").join(vectors, "doc_id", "left")
 
 
 def vector_topk(ctx: Context) -> DataFrame:

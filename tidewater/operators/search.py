@@ -63,8 +63,9 @@ def fuse(lists: list[DataFrame], key: str, k: int = 5, c: int = 60) -> DataFrame
 
 
 def hybrid_top(chunks: DataFrame, vector_query: list[float], text_query: str, key: str, vector: str, text: str, k: int = 5, depth: int = 50, where: Column | None = None) -> DataFrame:
-    """The k best by fusion of the ``depth`` best of either ranking."""
-    return fuse([vector_top(chunks, vector_query, key, vector, depth, where), keyword_top(chunks, text_query, key, text, depth, where)], key, k)
+    """The k best by fusion of the ``depth`` best of either ranking; rows without a vector are ranked by keywords only."""
+    own = F.col(vector).isNotNull()
+    return fuse([vector_top(chunks, vector_query, key, vector, depth, own if where is None else own & where), keyword_top(chunks, text_query, key, text, depth, where)], key, k)
 
 
 def context(hits: DataFrame, file: str, page: str, text: str) -> DataFrame:
