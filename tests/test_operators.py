@@ -140,3 +140,24 @@ def test_hybrid_search_finds_rows_without_a_vector(spark):
             return {"documents": df.select(F.col("id").alias("doc_id"), "text"), "embeddings": df.where("v is not null").select(F.col("id").alias("vec_id"), F.col("v").alias("embedding"), F.lit(0).alias("label"))}[name]
 
     assert rows(more_queries._chunks(Tables()), "doc_id") == [(1,), (2,), (3,)]
+
+
+def test_hybrid_search_fuses_whole_rankings(spark):
+    import math
+
+    def best(n, other, k):
+        fused = sorted(((-round(1 / (60 + i) + 1 / (60 + other[i]), 6), i) for i in range(1, n + 1)))
+        return [(i, -s) for s, i in fused[:k]]
+
+    n = 500
+    # i is the rank by vector, order[i] that by words: rank 1 of one list is last of the other
+    order = {i: n + 1 - i for i in range(1, n + 1)}
+    for a, b in ((51, 51), (10, 400), (70, 60), (300, 61)):  # beyond 50 in one list or both
+        c = next(i for i, r in order.items() if r == b)
+        order[a], order[c] = b, order[a]
+    df = spark.createDataFrame([(i, [math.cos(i / 400), math.sin(i / 400)], "apple " + "x " * order[i]) for i in order] + [(1000 + i, None, "pear") for i in range(n)], "id int, v array<double>, text string").repartition(7)
+    for k in (1, 5, 20):
+        assert [(r["id"], r["score"]) for r in search.hybrid_top(df, [1.0, 0.0], "apple", "id", "v", "text", k).orderBy("rank").collect()] == best(n, order, k)
+    assert 51 in [i for i, _ in best(n, order, 5)]
+    for lists, k in ((2, 1), (2, 5), (3, 10), (2, 900)):
+        assert lists / (61 + search.enough(lists, k)) < 1 / (60 + k) - 1e-6

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import written
+
 
 def cosine(vector: Column | str, query: list[float]) -> Column:
     """Cosine similarity with a literal vector; 0 if either is zero."""
@@ -37,19 +39,30 @@ def _count(array: str, word: str) -> Column:
     return F.size(F.filter(array, lambda x: x == word))
 
 
-def keyword_top(chunks: DataFrame, query: str, key: str, text: str, k: int = 5, where: Column | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """The k best by Okapi BM25.  Document frequencies of the query's words and the mean length come from one aggregation over all rows."""
-    rows = (chunks if where is None else chunks.where(where)).select(key, words(F.coalesce(text, F.lit(""))).alias("_w"))
+def _counted(chunks: DataFrame, query: str, text: str, *kept: Column | str) -> tuple[DataFrame, int]:
+    """``kept`` columns, length in words and counts of the query's words (their number comes second) of every row."""
     asked = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
-    counted = rows.select(key, F.size("_w").alias("_n"), *[_count("_w", w).alias(f"_f{i}") for i, w in enumerate(asked)])
-    s = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("_n").alias("mean"), *[F.sum((F.col(f"_f{i}") > 0).cast("int")).alias(f"d{i}") for i in range(len(asked))]).first()
+    rows = chunks.select(*kept, words(F.coalesce(text, F.lit(""))).alias("_w"))
+    own = [c for c in rows.columns if c != "_w"]
+    return rows.select(*own, F.size("_w").alias("_n"), *[_count("_w", w).alias(f"_f{i}") for i, w in enumerate(asked)]), len(asked)
+
+
+def _bm25(counted: DataFrame, asked: int, k1: float = 1.2, b: float = 0.75) -> tuple[Column, Column]:
+    """Okapi BM25 of counted rows, and whether they have any of the words.  Document frequencies and the mean length come from one aggregation over all rows."""
+    s = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("_n").alias("mean"), *[F.sum((F.col(f"_f{i}") > 0).cast("int")).alias(f"d{i}") for i in range(asked)]).first()
     score = F.lit(0.0)
-    for i in range(len(asked)):
+    for i in range(asked):
         d = s[f"d{i}"] or 0
         idf = math.log(1 + (s["n"] - d + 0.5) / (d + 0.5))
         f = F.col(f"_f{i}")
         score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_n") / max(s["mean"] or 0.0, 1e-9)))
-    hit = F.greatest(F.lit(0), F.lit(0), *[F.col(f"_f{i}") for i in range(len(asked))]) > 0
+    return score, F.greatest(F.lit(0), F.lit(0), *[F.col(f"_f{i}") for i in range(asked)]) > 0
+
+
+def keyword_top(chunks: DataFrame, query: str, key: str, text: str, k: int = 5, where: Column | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """The k best by Okapi BM25."""
+    counted, asked = _counted(chunks if where is None else chunks.where(where), query, text, key)
+    score, hit = _bm25(counted, asked, k1, b)
     return top(counted.where(hit), score, key, k).select(key, "score", "rank")
 
 
@@ -62,10 +75,46 @@ def fuse(lists: list[DataFrame], key: str, k: int = 5, c: int = 60) -> DataFrame
     return top(every.groupBy(key).agg(F.sum("_s").alias("_s")), F.col("_s"), key, k).drop("_s")
 
 
-def hybrid_top(chunks: DataFrame, vector_query: list[float], text_query: str, key: str, vector: str, text: str, k: int = 5, depth: int = 50, where: Column | None = None) -> DataFrame:
-    """The k best by fusion of the ``depth`` best of either ranking; rows without a vector are ranked by keywords only."""
-    own = F.col(vector).isNotNull()
-    return fuse([vector_top(chunks, vector_query, key, vector, depth, own if where is None else own & where), keyword_top(chunks, text_query, key, text, depth, where)], key, k)
+def enough(lists: int, k: int, c: int = 60) -> int:
+    """How deep to read ranked lists so that no row unread in all of them can be among the k best of their fusion.
+
+    The k best of any list have 1 / (c + k) at least, a row below depth d of all
+    lists less than lists / (c + d); the gap covers rounding to six digits.
+    """
+    gap = 1 / (c + k) - 1e-6
+    return max(k, math.ceil(lists / gap) - c) if gap > 0 else (1 << 31) - 1
+
+
+def _ranks(scored: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """(key, rank) among all rows of ``scored`` (key, score) of those that ``wanted`` has.
+
+    No row is shuffled: each counts how many wanted rows are before it, and of
+    that there is a histogram.
+    """
+    place = F.struct((F.lit(0.0) - F.col("score")).alias("s"), F.col(key).alias("k"))
+    marks = scored.join(F.broadcast(wanted), key, "left_semi").agg(F.array_sort(F.collect_list(place)).alias("_m"))
+    told = scored.select(place.alias("_p")).crossJoin(F.broadcast(marks)).select(F.size(F.filter("_m", lambda m: m < F.col("_p"))).alias("_at")).groupBy("_at").count()
+    rank = told.select("_at", F.sum("count").over(Window.orderBy("_at")).alias("rank"))
+    return marks.select(F.posexplode("_m").alias("_at", "_p")).join(rank, "_at").select(F.col("_p.k").alias(key), "rank")
+
+
+def hybrid_top(chunks: DataFrame, vector_query: list[float], text_query: str, key: str, vector: str, text: str, k: int = 5, where: Column | None = None) -> DataFrame:
+    """The k best by fusion of both whole rankings; rows without a vector are ranked by keywords only.  ``key`` is unique.
+
+    Only the best of either ranking can be among them (:func:`enough`); these
+    are fused with the ranks they have among all rows, however deep.
+    """
+    similar = F.when(F.col(vector).isNotNull(), F.round(cosine(vector, vector_query), 6)).alias("_v")
+    counted, asked = _counted(chunks if where is None else chunks.where(where), text_query, text, key, similar)
+    counted = written(counted)
+    score, hit = _bm25(counted, asked)
+    lists = [counted.where("_v is not null").select(key, F.col("_v").alias("score")), counted.where(hit).select(key, F.round(score, 6).alias("score"))]
+    wanted = None
+    for one in lists:
+        own = one.orderBy(F.desc("score"), key).limit(enough(len(lists), k)).select(key)
+        wanted = own if wanted is None else wanted.unionByName(own)
+    wanted = written(wanted.distinct())
+    return fuse([_ranks(one, wanted, key) for one in lists], key, k)
 
 
 def context(hits: DataFrame, file: str, page: str, text: str) -> DataFrame:
