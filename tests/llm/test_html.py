@@ -72,3 +72,26 @@ def test_importance(spark):
 def test_empty_table_and_other_columns(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string, main_text string, _cut string")
     assert html.extract(df).collect() == []
+
+
+def test_copies_with_other_adverts_are_no_evidence(spark):
+    story = "The same story, told at some length. " * 5
+    bodies = [
+        lambda i: f"<body><div class=top>Site</div><div class=ad{i % 3}><b>ad {i}</b></div><div class=story>{story}</div><div class=menu><p>menu {i}</p></div></body>",
+        lambda i: f"<article><h1>T</h1><div class=story>{story}</div></article><nav>{i}</nav>",
+        # adverts that don't say so: the copies can't be told from pages of one template, but their text is kept
+        lambda i: f"<article><h1>T</h1><div class=story>{story}</div><div class=x>visit {i}</div></article>",
+        lambda i: f"<body><div class=story>{story}</div></body>" if i else "<body><div class=story>Other</div></body>",
+    ]
+    rows = [(100 * k + i, f"http://h{k}.example/{i}", body(i)) for k, body in enumerate(bodies) for i in range(40)]
+    got = {r["page_id"]: r["main_text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(40)} == {"Site\n" + story.strip()}
+    assert {got[100 + i] for i in range(40)} == {"T\n" + story.strip()}
+    assert [got[200 + i] for i in range(40)] == [f"T\n{story.strip()}\nvisit {i}" for i in range(40)]
+    assert [got[300 + i] for i in range(40)] == ["Other", *[story.strip()] * 39]
+
+
+def test_styles_of_copies_count_as_one_page(spark):
+    df = spark.createDataFrame(pages(12, lambda i: f"<body><div class=new>{i // 2}</div>{'<div class=ad>x</div>' * (i % 2)}</body>"), "page_id long, url string, html string")
+    tree = html.style_tree(df).collect()
+    assert {r["pages"] for r in tree} == {6} and all(0 <= r["importance"] <= 1 for r in tree)

@@ -9,13 +9,17 @@ log m.  So branches that repeat from page to page come out near 0, and are cut
 from every page of the host.  The tree is never in one place: its counts are a
 distributed aggregation (over distinct pages, so that copies of a page are no
 evidence), and what comes back is the set of unimportant paths of each host.
+Pages are told apart by the text they would have without a tree, so that copies
+with other adverts or menus are copies too.
 
 Entropy alone can't tell an article from an advert or a menu that is new on every
 page, or see anything on a host with few pages.  So elements that declare
 themselves (``nav``, ``footer``, ``aside``, ``form``, roles, and class or id words
 such as ``ad`` or ``comments``) have importance 0 from the start, and ``article``
 and ``main`` set the region from which text is taken, if there is one.  Inside it
-only branches with a class or an id of their own can be cut by the tree.
+only branches with a class or an id of their own can be cut by the tree.  A region
+that the tree would cut all or most of keeps its whole text; a page without one
+does if the tree would leave nothing.
 
 A null or empty html has no text; a null url, or one without ``://``, is of the
 host ''.  Repeated rows are extracted one by one.
@@ -39,6 +43,8 @@ from .textbuf import blocks, tidy
 THRESHOLD, LEAST_PAGES = 0.2, 8
 #: The same inside an article.
 THRESHOLD_INSIDE, LEAST_PAGES_INSIDE = 0.05, 20
+#: A region of whose text less than this share would be left isn't cut.
+LEAST_LEFT = 0.2
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -206,16 +212,14 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
 def main_text(found: list[Block], cut: frozenset[int] | set[int], cut_inside: frozenset[int] | set[int]) -> str:
     """Text of the article: of the first kind of region that has any.  ``cut`` holds unimportant paths, ``cut_inside`` those unimportant enough to go from an article too."""
 
-    def chosen(blocks: list[Block], named: bool) -> list[str]:
-        return [b.text for b in blocks if not any(p in cut_inside for p in b.named)] if named else [b.text for b in blocks if not any(p in cut for p in b.paths)]
-
     clean = [b for b in found if not b.noise]
     for region in ("article", "main"):
-        own = [b for b in clean if b.inside == region]
+        own = [b.text for b in clean if b.inside == region]
         if own:
-            return "\n".join(chosen(own, True) or [b.text for b in own])
+            left = [b.text for b in clean if b.inside == region and not any(p in cut_inside for p in b.named)]
+            return "\n".join(left if sum(map(len, left)) >= LEAST_LEFT * sum(map(len, own)) else own)
     if clean:
-        return "\n".join(chosen(clean, False))
+        return "\n".join([b.text for b in clean if not any(p in cut for p in b.paths)] or [b.text for b in clean])
     return "\n".join(b.text for b in found if b.inside and not b.noise_inside)
 
 
@@ -229,14 +233,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
             if not page:
                 continue
-            mark = xxhash.xxh64_intdigest(page) - (1 << 63)
             found, styles = parse(page)
+            mark = xxhash.xxh64_intdigest(main_text(found, frozenset(), frozenset())) - (1 << 63)
             inside = {p: bool(b.inside) for b in found for p in b.named}
             for b in found:
                 if not b.noise:
                     text = xxhash.xxh64_intdigest(b.text) - (1 << 63)
                     rows.update((host, p, inside.get(p, False), "c", text, mark) for p in (b.named if b.inside else b.paths))
             rows.update((host, p, inside[p], "s", xxhash.xxh64_intdigest(" ".join(c)) - (1 << 63), mark) for p, c in styles.items() if p in inside)
+            rows.update((host, p, inside[p], "p", 0, mark) for p in styles if p in inside)
         columns = list(zip(*rows, strict=True)) or [[]] * 6
         kinds = (pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["host", "path", "inside", "kind", "feature", "page"])
@@ -252,16 +257,16 @@ def style_tree(pages: DataFrame) -> DataFrame:
     """(host, path, inside, pages, importance) of every node of the hosts' style trees; ``pages`` has url and html."""
     rows = pages.select(host_of("url").alias("host"), "html").mapInArrow(tidy(_features), FEATURES)
     each = rows.groupBy("host", "path", "inside", "kind", "feature").agg(F.countDistinct("page").alias("n"))
-    # pages of a node: each distinct page has one style there
-    m = F.sum(F.when(F.col("kind") == "s", F.col("n")))
+    # copies of a page can have several styles at a node
     node = each.groupBy("host", "path", "inside").agg(
-        m.alias("pages"),
+        F.sum(F.when(F.col("kind") == "p", F.col("n"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == "s", F.col("n"))).alias("seen"),
         F.sum(F.when(F.col("kind") == "s", F.col("n") * F.log(F.col("n").cast("double")))).alias("styles"),
         F.sum(F.when(F.col("kind") == "c", F.log(F.col("n").cast("double")))).alias("texts"),
         F.sum(F.when(F.col("kind") == "c", 1)).alias("distinct"),
     )
     scale = F.log(F.col("pages").cast("double"))
-    presentation = 1 - F.col("styles") / F.col("pages") / scale
+    presentation = F.least((F.log(F.col("seen").cast("double")) - F.col("styles") / F.col("seen")) / scale, F.lit(1.0))
     content = 1 - F.least(F.col("texts") / F.col("distinct") / scale, F.lit(1.0))
     return node.where("pages > 1 and distinct > 0").select("host", "path", "inside", "pages", (0.1 * presentation + 0.9 * content).alias("importance"))
 
