@@ -95,3 +95,22 @@ def test_styles_of_copies_count_as_one_page(spark):
     df = spark.createDataFrame(pages(12, lambda i: f"<body><div class=new>{i // 2}</div>{'<div class=ad>x</div>' * (i % 2)}</body>"), "page_id long, url string, html string")
     tree = html.style_tree(df).collect()
     assert {r["pages"] for r in tree} == {6} and all(0 <= r["importance"] <= 1 for r in tree)
+
+
+def test_deep_elements_are_read_as_any_other():
+    for deep in (10, 300, 5000):
+        into = "<div>" * deep
+        assert text(into + "<p>a</p><nav>n</nav><div class=ad>buy</div><form>mail</form><p>b") == "a\nb"
+        assert text(into + "one<article><p>x<p>y</article><div>two") == "x\ny"
+        assert text(into + "<ul><li>1<li>2</ul>3<div>4</div>5") == "1\n2\n3\n4\n5"
+    blocks, styles = html.parse("<div>" * 5000 + "<p>a")
+    assert len(blocks[0].paths) == html.DEEPEST == len(styles)
+
+
+def test_deep_markup_takes_linear_time():
+    import time
+
+    began = time.time()
+    for odd in ("<span>" * 50_000 + "<li>x</li>" * 50_000, "<div>" * 50_000 + "</b>" * 50_000, "<div class=ad>x" * 30_000, "<b>" * 50_000 + "<i>x</i><p>" * 30_000):
+        text(odd + "<p>end")
+    assert time.time() - began < 20

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,7 +51,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-#: Elements nested deeper than this are read as if they weren't there; their text is kept.
+#: Elements nested deeper than this are no nodes of the style tree; they are noise, regions and blocks as any other.
 DEEPEST = 256
 
 # Names of HTML elements, by kind.
@@ -72,10 +73,16 @@ PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol b i em strong span a article mai
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "inside", "plain", "children")
+    """An open element.  ``path`` is None beyond DEEPEST; ``noisy`` is the innermost element that is noise, ``block`` and ``region`` the places of the innermost block and article or main (-1: none), itself included."""
 
-    def __init__(self, tag: str, path: int, noise: bool, inside: str, plain: bool):
-        self.tag, self.path, self.noise, self.inside, self.plain = tag, path, noise, inside, plain
+    __slots__ = ("tag", "at", "path", "noisy", "inside", "plain", "block", "region", "children")
+
+    def __init__(self, tag: str, parent: Element | None, path: int | None, noise: bool, inside: str, plain: bool):
+        self.tag, self.path, self.inside, self.plain = tag, path, inside, plain
+        self.at = parent.at + 1 if parent else 0
+        self.noisy = self if noise else parent.noisy if parent else None
+        self.block = self.at if tag in BLOCK else parent.block if parent else -1
+        self.region = self.at if tag in ("article", "main") else parent.region if parent else -1
         self.children: list[str] = []
 
 
@@ -99,14 +106,14 @@ class Block:
 
     __slots__ = ("text", "paths", "noise", "inside", "noise_inside", "named")
 
-    def __init__(self, text: str, stack: list[Element]):
+    def __init__(self, text: str, nodes: list[Element], last: Element | None):
         self.text = text
-        self.paths = [e.path for e in stack]
-        self.noise = any(e.noise for e in stack)
-        self.inside = stack[-1].inside if stack else ""
-        at = max((i for i, e in enumerate(stack) if e.tag in ("article", "main")), default=-1)
-        self.noise_inside = any(e.noise for e in stack[at:]) if at >= 0 else True
-        self.named = [e.path for e in stack[at + 1 :] if not e.plain] if at >= 0 else self.paths
+        self.paths = [e.path for e in nodes]
+        self.noise = last is not None and last.noisy is not None
+        self.inside = last.inside if last else ""
+        at = last.region if last else -1
+        self.noise_inside = at < 0 or last.noisy is not None and last.noisy.at >= at
+        self.named = [e.path for e in nodes[at + 1 :] if not e.plain] if at >= 0 else self.paths
 
 
 def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
@@ -114,14 +121,15 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
     out: list[Block] = []
     styles: dict[int, list[str]] = {}
     stack: list[Element] = []
+    places: dict[str, list[int]] = {}  # of the open elements of each tag
     held: list[str] = []
-    owner: list[Element] = []
+    owner: tuple[list[Element], Element | None] = [], None
 
     def flush() -> None:
         if held:
             text = " ".join(entities.unescape("".join(held)).split())
             if text:
-                out.append(Block(text, owner))
+                out.append(Block(text, *owner))
             held.clear()
 
     def say(text: str) -> None:
@@ -129,18 +137,21 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
         if not text:
             return
         # inline elements that aren't part of the article end the block's own text
-        if held and [e for e in stack if e.noise] != [e for e in owner if e.noise]:
+        last = stack[-1] if stack else None
+        if held and (last and last.noisy) is not (owner[1] and owner[1].noisy):
             flush()
         if not held:
-            owner = list(stack)
+            owner = stack[:DEEPEST], last
         held.append(text)
 
     def close(count: int) -> None:
         while len(stack) > count:
             e = stack.pop()
+            places[e.tag].pop()
             if e.tag in BLOCK:
                 flush()
-            styles.setdefault(e.path, e.children)
+            if e.path is not None:
+                styles.setdefault(e.path, e.children)
 
     at, n = 0, len(page)
     while at < n:
@@ -158,9 +169,10 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
         if m[1]:
             if tag == "br":
                 say(" ")
-            elif (k := next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)) is not None:
+            elif places.get(tag):
+                k = places[tag][-1]
                 # an inline end tag doesn't reach beyond the block it is in
-                if tag in BLOCK or not any(e.tag in BLOCK for e in stack[k + 1 :]):
+                if tag in BLOCK or stack[-1].block <= k:
                     close(k)
             continue
         if tag in RAW:
@@ -173,23 +185,14 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
             else:
                 say(" " if tag == "br" else "")
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in BLOCK:
-                    break
+        if tag in CLOSES_P and stack and stack[-1].block >= 0 and stack[stack[-1].block].tag == "p":
+            close(stack[-1].block)
         if tag in IMPLIED:
             same, limit = IMPLIED[tag]
-            lowest = None
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in limit:
-                    break
-                if stack[i].tag in same:
-                    lowest = i
-            if lowest is not None:
-                close(lowest)
+            end = max((places[x][-1] for x in limit if places.get(x)), default=-1)
+            own = [places[x][k] for x in same if (k := bisect_right(places.get(x, ()), end)) < len(places.get(x, ()))]
+            if own:
+                close(min(own))
         if tag in BLOCK:
             flush()
         label, noise, named = _label(tag, m[3])
@@ -199,11 +202,12 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
             noise = True
         if tag == "article" or (tag == "main" or 'role="main"' in m[3]) and inside != "article":
             inside = "article" if tag == "article" else "main"
-        if parent and (not parent.children or parent.children[-1] != label):
+        if parent and parent.path is not None and (not parent.children or parent.children[-1] != label):
             parent.children.append(label)
-        if len(stack) < DEEPEST and (not m[0].endswith("/>") or tag in BLOCK):
-            path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{label}") - (1 << 63)
-            stack.append(Element(tag, path, noise, inside, tag in PLAIN and not named))
+        if not m[0].endswith("/>") or tag in BLOCK:
+            path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{label}") - (1 << 63) if len(stack) < DEEPEST else None
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(Element(tag, parent, path, noise, inside, tag in PLAIN and not named))
     close(0)
     flush()
     return out, styles
