@@ -66,6 +66,21 @@ def test_posterior_threshold():
     assert gone.mean() < 1e-3
 
 
+def test_pruning_loses_less_than_the_bands():
+    import inspect
+    from math import comb
+
+    tolerance = inspect.signature(jaccard.link_documents).parameters["tolerance"].default
+    step = np.array([comb(jaccard.CHUNK, m) * 0.8**m * 0.2 ** (jaccard.CHUNK - m) for m in range(jaccard.CHUNK + 1)])
+    chance, lost = np.ones(1), 0.0  # of each number of matches so far, and of having been dropped
+    for n in range(jaccard.CHUNK, jaccard.VALUES + 1, jaccard.CHUNK):
+        chance = np.convolve(chance, step)
+        least = jaccard.least_matches(n, 0.8, tolerance)
+        lost += chance[:least].sum()
+        chance[:least] = 0
+    assert lost < (1 - 0.8**jaccard.BAND) ** (jaccard.VALUES // jaccard.BAND) and lost < 1.1e-6
+
+
 def test_minhash_estimates_similarity():
     import pyarrow as pa
 
