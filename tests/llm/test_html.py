@@ -1,3 +1,10 @@
+import math
+import random
+from collections import Counter
+from xml.etree import ElementTree
+
+from pyspark.sql import functions as F
+
 from tidewater.llm import html
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
@@ -8,7 +15,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><
 
 
 def text(page: str) -> str:
-    return html.main_text(html.parse(page)[0], frozenset(), frozenset())
+    return html.main_text(html.parse(page)[0])
 
 
 def test_article():
@@ -64,14 +71,115 @@ def test_copies_are_no_evidence(spark):
 
 def test_importance(spark):
     df = spark.createDataFrame(pages(16, lambda i: f"<body><div class=same>x</div><div class=new>{i}</div></body>"), "page_id long, url string, html string")
-    rows = sorted(r["importance"] for r in html.style_tree(df).collect())
-    # the repeated leaf, the root and body in between, and the leaf that is new on each page
-    assert rows[0] < 0.05 and abs(rows[-1] - 0.9) < 1e-9 and all(0 <= r <= 1 for r in rows)
+    rows = {(r["content"], r["information"]): r for r in html.style_tree(df).collect()}
+    # the repeated leaf, the leaf that is new on each page, and their body with texts of both
+    assert sorted(rows)[0] == (0, 0) and sorted(rows)[-1] == (1, 1) and abs(sorted(rows)[1][0] - 16 / 17) < 1e-9
+    assert {r["pages"] for r in rows.values()} == {16} and {r["presentation"] for r in rows.values()} == {0}
+
+
+def plain_tree_texts(rows):
+    """Texts by the tree alone, for well-formed pages in which each block is one element's own text."""
+    trees, found = {}, {}
+    for key, host, page in rows:
+        nodes, blocks = trees.setdefault(host, {}), []
+
+        def walk(e, at, host=host, key=key, nodes=nodes, blocks=blocks):
+            label = ".".join([e.tag, *sorted((e.get("class") or "").split())])
+            path = (*at, label)
+            own = nodes.setdefault(path, {"pages": set(), "styles": {}, "texts": {}, "plain": e.tag in ("p", "h1", "ul", "li") and not e.get("class"), "h1": False})
+            if key not in own["pages"]:
+                own["styles"][key] = [".".join([c.tag, *sorted((c.get("class") or "").split())]) for c in e]
+            own["pages"].add(key)
+            if e.text and e.text.strip():
+                text = " ".join(e.text.split())
+                blocks.append((path, text))
+                for k in range(1, len(path) + 1):
+                    nodes[path[:k]]["texts"].setdefault(text, set()).add(key)
+            for c in e:
+                walk(c, path)
+                own["h1"] |= c.tag == "h1" or nodes[(*path, ".".join([c.tag, *sorted((c.get("class") or "").split())]))]["h1"]
+
+        walk(ElementTree.fromstring(page), ())
+        found[key] = host, blocks
+    cut = set()
+    for host, nodes in trees.items():
+        told = {}
+        for path, x in nodes.items():
+            m = len(x["pages"])
+            if m < html.LEAST_PAGES or not x["texts"]:
+                continue
+            styles = Counter(map(tuple, x["styles"].values()))
+            presentation = -sum(n / m * math.log(n / m) for n in styles.values()) / math.log(m)
+            importance = {t: 1 - math.log(len(on)) / math.log(m) for t, on in x["texts"].items()}
+            information = sum(len(t.split()) * len(on) * importance[t] for t, on in x["texts"].items()) / m
+            told[path] = presentation, sum(importance.values()) / len(importance), information
+        for path, (presentation, content, information) in told.items():
+            beside = max((told[q][2], not nodes[q]["plain"]) for q in told if q[:-1] == path[:-1])
+            minor = beside[0] > 0 and beside[1] and 0.2 * presentation + 0.8 * information / beside[0] < html.MINOR and not nodes[path]["plain"] and not nodes[path]["h1"]
+            if 0.1 * presentation + 0.9 * content < html.THRESHOLD or minor:
+                cut.add((host, path))
+    out = {}
+    for key, (host, blocks) in found.items():
+        left = [t for path, t in blocks if not any((host, path[:k]) in cut for k in range(1, len(path) + 1))]
+        out[key] = "\n".join(left or [t for _, t in blocks])
+    return out
+
+
+def test_tree_alone_against_a_plain_version(spark):
+    r = random.Random(4)
+
+    def words(n):
+        return " ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+
+    pool = [words(6) for _ in range(20)]
+    rows = []
+    for host in range(6):
+        named, wrapped = host % 2, host % 3 == 0
+        for i in range((3, 12, 25, 40, 9, 60)[host]):
+            body = f"<h1>{words(6)}</h1>" + "".join(f"<p>{words(r.randint(1, 40))}</p>" for _ in range(r.randint(1, 9)))
+            if r.random() < 0.3:
+                body += f"<ul><li>{words(3)}</li><li>{words(3)}</li></ul>"
+            body = f'<{("section", "div")[named]} class="{("", "text")[named]}">{body}</{("section", "div")[named]}>'
+            if wrapped:
+                body = f'<div class="wrap"><div class="lead">{words(3)}</div>{body}<div class="share">Tell your friends</div></div>'
+            rest = "".join(f'<div class="b{chr(97 + k)}">{r.choice(pool)}</div>' for k in range(r.randint(1, 3)))
+            menu = "".join(f"<li>{w}</li>" for w in r.choice(pool).split()[: r.randint(4, 6)])
+            rows.append((len(rows), f"h{host}.example", f"<html><body><div class='top'><ul>{menu}</ul></div>{body}{rest}<p>All rights</p></body></html>"))
+    want = plain_tree_texts(rows)
+    df = spark.createDataFrame([(k, f"http://{host}/{k}", page) for k, host, page in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["main_text"] for r in html.extract(df, declared=False).collect()}
+    assert got == want
+    gone = [k for k, _, page in rows if "All rights" not in got[k]]
+    assert len(gone) > 0.9 * (len(rows) - 3) and not any("Tell your friends" in got[k] for k in gone)
+
+
+def test_tree_alone_finds_the_article_of_the_given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r["page_id"]: text(r["html"]) for r in rows.collect()}
+    nameless = rows.withColumn("html", F.regexp_replace("html", r"(</?)(article|main)\b", "$1div"))
+    enough = {r["host"] for r in rows.groupBy(html.host_of("url").alias("host")).count().where(f"count >= {html.LEAST_PAGES}").collect()}
+    got = html.extract(nameless, declared=False).select("page_id", html.host_of("url").alias("host"), "main_text").collect()
+    own = [r for r in got if r["host"] in enough]
+    assert len(own) > 80 and sum(r["main_text"] == want[r["page_id"]] for r in own) >= 0.95 * len(own)
+
+
+def test_declared_main_branch_is_shown(spark):
+    # what calls itself a sidebar is the page's text here; a page of a small host goes by its names
+    body = lambda i: f"<body><div class=top>Site menu</div><div class=sidebar><p>{' '.join(f'w{i}x{k}' for k in range(50))}</p></div></body>"
+    rows = pages(20, body) + [(100, "http://small.example/", body(1))]
+    got = {r["page_id"]: r["main_text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith(f"w{i}x0 ") for i in range(20)) and got[100] == "Site menu"
 
 
 def test_empty_table_and_other_columns(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string, main_text string, _cut string")
     assert html.extract(df).collect() == []
+    rows = [(i, f"http://a.example/{i}", f"<p>own {i}</p>", "old", f"c{i}", f"h{i}", "i", "s", "f") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, main_text string, _cut string, _host string, _inside string, _salt string, host string")
+    for most in (1 << 19, -1):
+        got = html.extract(df, most_broadcast=most)
+        assert got.columns == [c for c in df.columns if c != "main_text"] + ["main_text"]
+        assert sorted(tuple(r) for r in got.collect()) == sorted((*r[:3], *r[4:], f"own {r[0]}") for r in rows)
 
 
 def test_copies_with_other_adverts_are_no_evidence(spark):

@@ -1,28 +1,41 @@
-"""Main text of web pages: a site style tree per host, on top of what elements say of themselves.
+"""Main text of web pages: a site style tree per host, with what elements say of themselves as a second witness.
 
 Pages of one host are merged into a *style tree*: a node for every path of
 element labels (tag, classes and id, digits left out), with the sequences of child
-labels seen there (presentation) and the texts seen below it (content).  A node's
-importance is 0.1 of its presentation's entropy and 0.9 of its content's
-importance; a text that is on n of the node's m pages has importance 1 - log n /
-log m.  So branches that repeat from page to page come out near 0, and are cut
-from every page of the host.  The tree is never in one place: its counts are a
-distributed aggregation (over distinct pages, so that copies of a page are no
-evidence), and what comes back is the set of unimportant paths of each host.
-Pages are told apart by the text they would have without a tree, so that copies
-with other adverts or menus are copies too.
-
-Entropy alone can't tell an article from an advert or a menu that is new on every
-page, or see anything on a host with few pages.  So elements that declare
-themselves (``nav``, ``footer``, ``aside``, ``form``, roles, and class or id words
-such as ``ad`` or ``comments``) have importance 0 from the start, and ``article``
+labels seen there (presentation) and the blocks of text seen below it (content).
+The tree is never in one place: its counts are a distributed aggregation over
+distinct pages.  Pages are told apart by the text they would have without a tree, so
+that copies with other adverts or menus are copies too, and no evidence; by all of
+their text if that is more than ten times as long.
+
+*Presentation importance* of a node is the entropy of its child sequences, 1 if
+every page has another one.  *Content importance* is the mean over its distinct
+texts of 1 - log n / log m, for a text on n of the node's m pages.  A node's
+*information* is the number of words a page has there, each weighted by its text's
+importance.  What is cut from every page of the host, on nodes of enough pages:
+
+* *Repeated branches*: 0.1 of the presentation's and 0.9 of the content's
+  importance are under ``threshold``.
+* *Minor branches*: beside a sibling that holds the page's information, a branch
+  whose composite importance (0.2 of the presentation's, 0.8 of its information over
+  the sibling's) is under ``minor``.  So menus, adverts and footers go even if their
+  words are new on every page.  Only containers go this way (not paragraphs, lists,
+  headings and the like without a class or an id), none with an h1 in it, and only
+  outside an ``article`` or ``main``, where short branches are parts of the text.
+
+The tree alone can't tell readers' comments from an article, or see anything on a
+host with few pages.  So elements that declare themselves (``nav``, ``footer``,
+``aside``, ``form``, roles, and class or id words such as ``ad`` or ``comments``) go
+too, unless the tree shows one of them to be its page's main branch, and ``article``
 and ``main`` set the region from which text is taken, if there is one.  Inside it
-only branches with a class or an id of their own can be cut by the tree.  A region
-that the tree would cut all or most of keeps its whole text; a page without one
-does if the tree would leave nothing.
+only repeated branches with a class or an id of their own are cut.  A region that
+the tree would cut all or most of keeps its whole text; a page without one does if
+the tree would leave nothing.  With ``declared`` off, names count for nothing and
+the tree alone decides.
 
 A null or empty html has no text; a null url, or one without ``://``, is of the
-host ''.  Repeated rows are extracted one by one.
+host ''.  Repeated rows are extracted one by one.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -38,12 +51,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import written
+from .tables import unused
 from .textbuf import blocks, tidy
 
 #: Branches below this importance are cut, if their node is on at least LEAST_PAGES distinct pages of the host.
 THRESHOLD, LEAST_PAGES = 0.2, 8
 #: The same inside an article.
 THRESHOLD_INSIDE, LEAST_PAGES_INSIDE = 0.05, 20
+#: Containers of less composite importance than this beside their most informative sibling are minor branches.
+MINOR = 0.12
+#: A declared branch is kept if it holds at least this share of what its siblings say, and has this content importance.
+MAIN_SHARE, MAIN_CONTENT = 0.5, 0.5
 #: A region of whose text less than this share would be left isn't cut.
 LEAST_LEFT = 0.2
 
@@ -72,54 +90,69 @@ NOISE_WORDS = frozenset(
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol b i em strong span a article main section blockquote pre table tbody thead tr td th dl dt dd figure figcaption br code".split())
 
 
+REGIONS = ("article", "main", "section")
+#: What is known of a node besides its path.
+PLAIN_NODE, DECLARED, INSIDE, TITLED = 1, 2, 4, 8
+
+
 class Element:
-    """An open element.  ``path`` is None beyond DEEPEST; ``noisy`` is the innermost element that is noise, ``block`` and ``region`` the places of the innermost block and article or main (-1: none), itself included."""
+    """An open element.  ``path`` is None beyond DEEPEST; ``noisy`` is the chain of elements that are noise, from the innermost on, ``block`` and ``region`` the places of the innermost block and article or main (-1: none), itself included."""
 
-    __slots__ = ("tag", "at", "path", "noisy", "inside", "plain", "block", "region", "children")
+    __slots__ = ("tag", "at", "path", "parent", "noisy", "noise", "outer", "inside", "plain", "block", "region", "titled", "children")
 
     def __init__(self, tag: str, parent: Element | None, path: int | None, noise: bool, inside: str, plain: bool):
-        self.tag, self.path, self.inside, self.plain = tag, path, inside, plain
+        self.tag, self.path, self.inside, self.plain, self.noise = tag, path, inside, plain, noise
         self.at = parent.at + 1 if parent else 0
-        self.noisy = self if noise else parent.noisy if parent else None
+        self.parent = parent.path if parent else 0
+        self.outer = parent.noisy if parent else None
+        self.noisy = self if noise else self.outer
         self.block = self.at if tag in BLOCK else parent.block if parent else -1
         self.region = self.at if tag in ("article", "main") else parent.region if parent else -1
+        self.titled = tag == "h1"
         self.children: list[str] = []
 
+    def flags(self) -> int:
+        return PLAIN_NODE * (self.plain and self.tag not in REGIONS) | DECLARED * self.noise | INSIDE * bool(self.inside) | TITLED * self.titled
+
 
-def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
+def _label(tag: str, attributes: str, declared: bool = True) -> tuple[str, bool, bool]:
     """Label of an element, whether it declares itself as other than the article, and whether it has a class or an id."""
     if not attributes or attributes.isspace():
-        return tag, tag in NOISE_TAGS, False
+        return tag, declared and tag in NOISE_TAGS, False
     own = {}
     for m in ATTRIBUTE.finditer(attributes):
         own.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     names = f"{own.get('class', '')} {own.get('id', '')}".strip()
     words = {w.lower() for w in WORD.findall(names)} if names else set()
-    noise = tag in NOISE_TAGS or own.get("role", "").lower() in NOISE_ROLES or "hidden" in own or own.get("aria-hidden") == "true" or bool(words & NOISE_WORDS) or "display:none" in own.get("style", "").replace(" ", "")
+    noise = declared and (tag in NOISE_TAGS or own.get("role", "").lower() in NOISE_ROLES or "hidden" in own or own.get("aria-hidden") == "true" or bool(words & NOISE_WORDS) or "display:none" in own.get("style", "").replace(" ", ""))
     if tag in ("html", "body"):
-        noise = "hidden" in own
+        noise = declared and "hidden" in own
     return f"{tag}.{'.'.join(sorted(words))}" if words else tag, noise, bool(words)
 
 
 class Block:
-    """A block's text and the elements it is in: paths from the outermost on, noise, region and whether all below the region are plain."""
+    """A block's text and the elements it is in: all paths from the outermost on, those of noise, the region, and what is below it and not plain."""
 
     __slots__ = ("text", "paths", "noise", "inside", "noise_inside", "named")
 
     def __init__(self, text: str, nodes: list[Element], last: Element | None):
         self.text = text
         self.paths = [e.path for e in nodes]
-        self.noise = last is not None and last.noisy is not None
         self.inside = last.inside if last else ""
         at = last.region if last else -1
+        self.noise: list[int | None] = []
+        e = last.noisy if last else None
+        while e is not None:
+            self.noise.append(e.path)
+            e = e.outer
         self.noise_inside = at < 0 or last.noisy is not None and last.noisy.at >= at
         self.named = [e.path for e in nodes[at + 1 :] if not e.plain] if at >= 0 else self.paths
 
 
-def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
-    """Blocks of text in page order, and the child labels of every path."""
+def parse(page: str, declared: bool = True) -> tuple[list[Block], dict[int, tuple[int, int, list[str]]]]:
+    """Blocks of text in page order, and of every path its parent's, flags and child labels; with ``declared`` off, without noise and regions."""
     out: list[Block] = []
-    styles: dict[int, list[str]] = {}
+    styles: dict[int, tuple[int, int, list[str]]] = {}
     stack: list[Element] = []
     places: dict[str, list[int]] = {}  # of the open elements of each tag
     held: list[str] = []
@@ -150,8 +183,11 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
             places[e.tag].pop()
             if e.tag in BLOCK:
                 flush()
+            if e.titled and stack:
+                stack[-1].titled = True
             if e.path is not None:
-                styles.setdefault(e.path, e.children)
+                had = styles.get(e.path)
+                styles[e.path] = (e.parent, e.flags() | had[1], had[2]) if had else (e.parent, e.flags(), e.children)
 
     at, n = 0, len(page)
     while at < n:
@@ -195,14 +231,14 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
                 close(min(own))
         if tag in BLOCK:
             flush()
-        label, noise, named = _label(tag, m[3])
+        label, noise, named = _label(tag, m[3], declared)
         parent = stack[-1] if stack else None
         inside = parent.inside if parent else ""
         if tag == "header" and not inside:
-            noise = True
-        if tag == "article" or (tag == "main" or 'role="main"' in m[3]) and inside != "article":
+            noise = declared
+        if declared and tag == "article" or declared and (tag == "main" or 'role="main"' in m[3]) and inside != "article":
             inside = "article" if tag == "article" else "main"
-        if parent and parent.path is not None and (not parent.children or parent.children[-1] != label):
+        if parent and parent.path is not None:
             parent.children.append(label)
         if not m[0].endswith("/>") or tag in BLOCK:
             path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{label}") - (1 << 63) if len(stack) < DEEPEST else None
@@ -213,10 +249,13 @@ def parse(page: str) -> tuple[list[Block], dict[int, list[str]]]:
     return out, styles
 
 
-def main_text(found: list[Block], cut: frozenset[int] | set[int], cut_inside: frozenset[int] | set[int]) -> str:
-    """Text of the article: of the first kind of region that has any.  ``cut`` holds unimportant paths, ``cut_inside`` those unimportant enough to go from an article too."""
+NOTHING: frozenset[int] = frozenset()
 
-    clean = [b for b in found if not b.noise]
+
+def main_text(found: list[Block], cut: frozenset[int] | set[int] = NOTHING, cut_inside: frozenset[int] | set[int] = NOTHING, shown: frozenset[int] | set[int] = NOTHING) -> str:
+    """Text of the article: of the first kind of region that has any.  ``cut`` holds unimportant paths, ``cut_inside`` those unimportant enough to go from an article too, ``shown`` declared ones that are main branches."""
+
+    clean = [b for b in found if not b.noise or shown and all(p in shown for p in b.noise)]
     for region in ("article", "main"):
         own = [b.text for b in clean if b.inside == region]
         if own:
@@ -227,28 +266,40 @@ def main_text(found: list[Block], cut: frozenset[int] | set[int], cut_inside: fr
     return "\n".join(b.text for b in found if b.inside and not b.noise_inside)
 
 
-FEATURES = "host string, path long, inside boolean, kind string, feature long, page long"
+FEATURES = "host string, path long, kind string, feature long, size long, page long"
+
 
+def _signed(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What every distinct page adds to its host's tree."""
-    for block in blocks(batches, "html", 4 << 20):
-        rows = set()
-        for host, page in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
-            if not page:
-                continue
-            found, styles = parse(page)
-            mark = xxhash.xxh64_intdigest(main_text(found, frozenset(), frozenset())) - (1 << 63)
-            inside = {p: bool(b.inside) for b in found for p in b.named}
-            for b in found:
-                if not b.noise:
-                    text = xxhash.xxh64_intdigest(b.text) - (1 << 63)
-                    rows.update((host, p, inside.get(p, False), "c", text, mark) for p in (b.named if b.inside else b.paths))
-            rows.update((host, p, inside[p], "s", xxhash.xxh64_intdigest(" ".join(c)) - (1 << 63), mark) for p, c in styles.items() if p in inside)
-            rows.update((host, p, inside[p], "p", 0, mark) for p in styles if p in inside)
-        columns = list(zip(*rows, strict=True)) or [[]] * 6
-        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["host", "path", "inside", "kind", "feature", "page"])
+
+def _features(declared: bool):
+    """What every distinct page adds to its host's tree: texts (their words as size), child sequences, parents and flags."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "html", 4 << 20):
+            rows = set()
+            for host, page in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
+                if not page:
+                    continue
+                found, styles = parse(page, declared)
+                own, whole = main_text(found), "\n".join(b.text for b in found)
+                mark = _signed(own if 10 * len(own) >= len(whole) else whole)
+                seen = set()
+                for b in found:
+                    text, size = _signed(b.text), b.text.count(" ") + 1
+                    seen.update(b.paths)
+                    rows.update((host, p, "c", text, size, mark) for p in b.paths)
+                for p in seen:
+                    parent, flags, children = styles[p]
+                    rows.add((host, p, "s", _signed(" ".join(children)), 0, mark))
+                    rows.add((host, p, "p", parent, 0, mark))
+                    rows.add((host, p, "f", flags, 0, mark))
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["host", "path", "kind", "feature", "size", "page"])
+
+    return run
 
 
 def host_of(url: str):
@@ -257,52 +308,80 @@ def host_of(url: str):
     return F.coalesce(F.translate(F.regexp_extract(url, "^(?s:.*?)://([^/?#]*)", 1), capitals, capitals.lower()), F.lit(""))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, inside, pages, importance) of every node of the hosts' style trees; ``pages`` has url and html."""
-    rows = pages.select(host_of("url").alias("host"), "html").mapInArrow(tidy(_features), FEATURES)
-    each = rows.groupBy("host", "path", "inside", "kind", "feature").agg(F.countDistinct("page").alias("n"))
-    # copies of a page can have several styles at a node
-    node = each.groupBy("host", "path", "inside").agg(
+def style_tree(pages: DataFrame, declared: bool = True) -> DataFrame:
+    """(host, path, parent, flags, pages, presentation, content, importance, information) of every node of the hosts' style trees that several pages have; ``pages`` has url and html."""
+    rows = pages.select(host_of("url").alias("host"), "html").mapInArrow(tidy(_features(declared)), FEATURES)
+    each = rows.groupBy("host", "path", "kind", "feature", "size").agg(F.countDistinct("page").alias("n"))
+    ln, word = F.log(F.col("n").cast("double")), F.col("kind") == "c"
+    # copies of a page can have several styles, or flags, at a node
+    node = each.groupBy("host", "path").agg(
+        F.max(F.when(F.col("kind") == "p", F.col("feature"))).alias("parent"),
+        F.bit_or(F.when(F.col("kind") == "f", F.col("feature"))).alias("flags"),
         F.sum(F.when(F.col("kind") == "p", F.col("n"))).alias("pages"),
         F.sum(F.when(F.col("kind") == "s", F.col("n"))).alias("seen"),
-        F.sum(F.when(F.col("kind") == "s", F.col("n") * F.log(F.col("n").cast("double")))).alias("styles"),
-        F.sum(F.when(F.col("kind") == "c", F.log(F.col("n").cast("double")))).alias("texts"),
-        F.sum(F.when(F.col("kind") == "c", 1)).alias("distinct"),
+        F.sum(F.when(F.col("kind") == "s", F.col("n") * ln)).alias("styles"),
+        F.sum(F.when(word, ln)).alias("texts"),
+        F.sum(F.when(word, 1)).alias("distinct"),
+        F.sum(F.when(word, F.col("size") * F.col("n"))).alias("words"),
+        F.sum(F.when(word, F.col("size") * F.col("n") * ln)).alias("common"),
     )
     scale = F.log(F.col("pages").cast("double"))
-    presentation = F.least((F.log(F.col("seen").cast("double")) - F.col("styles") / F.col("seen")) / scale, F.lit(1.0))
+    presentation = F.greatest(F.least((F.log(F.col("seen").cast("double")) - F.col("styles") / F.col("seen")) / scale, F.lit(1.0)), F.lit(0.0))
     content = 1 - F.least(F.col("texts") / F.col("distinct") / scale, F.lit(1.0))
-    return node.where("pages > 1 and distinct > 0").select("host", "path", "inside", "pages", (0.1 * presentation + 0.9 * content).alias("importance"))
+    information = F.greatest(F.col("words") - F.col("common") / scale, F.lit(0.0)) / F.col("pages")
+    node = node.where("pages > 1 and distinct > 0")
+    return node.select("host", "path", "parent", "flags", "pages", presentation.alias("presentation"), content.alias("content"), (0.1 * presentation + 0.9 * content).alias("importance"), information.alias("information"))
+
+
+def judged(tree: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES, minor: float = MINOR) -> DataFrame:
+    """(host, path, cut, cut_inside, shown) of the nodes that a decision is made about; ``tree`` as of :func:`style_tree`."""
+    has = lambda bit: F.col("flags").bitwiseAND(F.lit(bit)) != 0
+    enough = F.col("pages") >= least_pages
+    beside = tree.where(enough).groupBy("host", "parent").agg(
+        F.max(F.struct("information", F.when(has(PLAIN_NODE), 0).otherwise(1).alias("container"), "path")).alias("top"),
+        F.sum(F.when(~has(DECLARED), F.col("information"))).alias("undeclared"),
+        F.sum("information").alias("all"),
+    )
+    both = tree.where(enough).join(beside, ["host", "parent"])
+    composite = 0.2 * F.col("presentation") + 0.8 * F.col("information") / F.col("top.information")
+    small = (F.col("top.information") > 0) & (F.col("top.container") == 1) & (composite < minor) & ~has(PLAIN_NODE) & ~has(TITLED)
+    main = has(DECLARED) & (F.col("top.path") == F.col("path")) & (F.col("information") >= MAIN_SHARE * F.col("all")) & (F.col("content") >= MAIN_CONTENT) & (F.coalesce("undeclared", F.lit(0.0)) * 2 < F.col("information"))
+    inside = has(INSIDE) & ~has(PLAIN_NODE) & (F.col("importance") < THRESHOLD_INSIDE) & (F.col("pages") >= LEAST_PAGES_INSIDE)
+    out = both.select("host", "path", (~has(INSIDE) & ((F.col("importance") < threshold) | small)).alias("cut"), inside.alias("cut_inside"), main.alias("shown"))
+    return out.where("cut or cut_inside or shown")
+
 
+def _extract(html_at: int, declared: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "html", 4 << 20):
+            n = block.num_columns - 3
+            texts = []
+            for page, *sets in zip(*(block.column(i).to_pylist() for i in (html_at, n, n + 1, n + 2)), strict=True):
+                texts.append(main_text(parse(page, declared)[0], *(set(x or ()) for x in sets)) if page else "")
+            yield pa.RecordBatch.from_arrays([*block.columns[:n], pa.array(texts, pa.string())], names=[*block.schema.names[:n], "main_text"])
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, "html", 4 << 20):
-        n = block.num_columns
-        texts = []
-        for page, cut, inside in zip(block.column(block.schema.names.index("html")).to_pylist(), block.column(n - 2).to_pylist(), block.column(n - 1).to_pylist(), strict=True):
-            texts.append(main_text(parse(page)[0], set(cut or ()), set(inside or ())) if page else "")
-        yield pa.RecordBatch.from_arrays([*block.columns[: n - 2], pa.array(texts, pa.string())], names=[*block.schema.names[: n - 2], "main_text"])
+    return run
 
 
-def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES, most_broadcast: int = 1 << 19, salts: int = 64) -> DataFrame:
-    """``pages`` (url, html, ...) with ``main_text``, '' if there is none; other columns unchanged.
+def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES, minor: float = MINOR, declared: bool = True, most_broadcast: int = 1 << 19, salts: int = 64) -> DataFrame:
+    """``pages`` (url, html, ...) with ``main_text``, '' if there is none; a column of that name is replaced, all others come back unchanged.
 
-    The unimportant paths of each host go to all tasks if there are at most
-    ``most_broadcast`` of them (8 bytes each), and pages stay where they are;
-    else they are joined to the pages of their host, dealt out by ``salts``.
+    What the tree has decided for each host goes to all tasks if it is at most
+    ``most_broadcast`` paths (8 bytes each), and pages stay where they are;
+    else it is joined to the pages of its host, dealt out by ``salts``.
     """
-    pages = pages.select(*[c for c in pages.columns if c not in ("main_text", "_host", "_cut", "_inside", "_salt")])
-    tree = style_tree(pages)
-    outside = (~F.col("inside")) & (F.col("importance") < threshold) & (F.col("pages") >= least_pages)
-    within = F.col("inside") & (F.col("importance") < THRESHOLD_INSIDE) & (F.col("pages") >= LEAST_PAGES_INSIDE)
-    cut = written(tree.where(outside | within).groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.when(outside, F.col("path"))).alias("_cut"), F.collect_list(F.when(within, F.col("path"))).alias("_inside")))
-    paths = cut.agg(F.sum(1 + F.size("_cut") + F.size("_inside"))).first()[0] or 0
-    host = host_of("url")
+    pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c != "main_text"])
+    host, salt, *lists = (unused(pages.columns, c) for c in ("_host", "_salt", "_cut", "_inside", "_shown"))
+    tree = judged(style_tree(pages, declared), threshold, least_pages, minor)
+    decided = [F.collect_list(F.when(F.col(flag), F.col("path"))).alias(name) for flag, name in zip(("cut", "cut_inside", "shown"), lists, strict=True)]
+    cut = written(tree.groupBy(F.col("host").alias(host)).agg(*decided))
+    paths = cut.agg(F.sum(1 + sum(F.size(c) for c in lists))).first()[0] or 0
+    own = host_of("url")
     if paths <= most_broadcast:
-        both = pages.join(F.broadcast(cut), host == cut["_host"], "left").select(*[pages[c] for c in pages.columns], cut["_cut"], cut["_inside"])
+        both = pages.join(F.broadcast(cut), own == cut[host], "left")
     else:
-        dealt = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        own = F.pmod(F.xxhash64(pages["url"], pages["html"]), F.lit(salts))
-        both = pages.join(dealt, (host == dealt["_host"]) & (own == dealt["_salt"]), "left").select(*[pages[c] for c in pages.columns], dealt["_cut"], dealt["_inside"])
+        dealt = cut.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        both = pages.join(dealt, (own == dealt[host]) & (F.pmod(F.xxhash64("url", "html"), F.lit(salts)) == dealt[salt]), "left")
+    both = both.select(*[F.col(f"`{c}`") for c in (*pages.columns, *lists)])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return both.mapInArrow(tidy(_extract), f"{kinds}, main_text string")
+    return both.mapInArrow(tidy(_extract(pages.columns.index("html"), declared)), f"{kinds}, main_text string")
