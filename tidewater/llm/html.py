@@ -144,7 +144,7 @@ class Block:
         e = last.noisy if last else None
         while e is not None:
             self.noise.append(e.path)
-            e = e.outer
+            e = e.outer if e.path is not None else None  # what is too deep for a node is never shown
         self.noise_inside = at < 0 or last.noisy is not None and last.noisy.at >= at
         self.named = [e.path for e in nodes[at + 1 :] if not e.plain] if at >= 0 else self.paths
 
