@@ -30,7 +30,7 @@ def docs(spark):
         jaccard.link_documents,
         lambda d: lm.score(d, F.col("doc_id") == 1),
         lambda d: decontaminate.find_contamination(d, d.select(F.col("doc_id").alias("item_id"), "text", "spans")),
-        lambda d: packing.pack_documents(d, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
+        lambda d: packing.pack_documents(d, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN),
         lambda d: media.sniff_column(media.store_texts(d)),
         lambda d: toxicity.score_with(d, toxicity.train(DATA)),
         lambda d: quality.score_with(d, quality.train(DATA)),

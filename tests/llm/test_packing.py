@@ -1,4 +1,5 @@
 import bisect
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -55,14 +56,18 @@ def test_tightest():
     assert t.at_least(10) is None
 
 
+@cache
+def tokenizer(path):
+    return Tokenizer.from_file(path)
+
+
 def check(rows, texts):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
+    own = tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     import zlib
 
     want = {}
     for d, text in texts:
-        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        ids = [*own.encode(text or "", add_special_tokens=False).ids, 2]
         first = (len(ids) - 1) % 1024 + 1
         edges = [0, *range(first, len(ids) + 1, 1024)]
         want[d] = [(k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
@@ -90,11 +95,40 @@ def test_query(spark):
 @pytest.mark.parametrize("texts", [[], [(1, None), (2, ""), (None, "a"), (3, "<|endoftext|> " + "long " * 3000), (4, "\n" * 3000)]])
 def test_edges(spark, texts):
     docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("doc_id", "text", "1 AS length", "2 AS offset")
-    out = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 1024, 2, queries.token_digest)
+    out = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 1024, 2, queries.token_digest)
     check(out.collect(), texts)
 
 
 def test_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "same"), (1, "same")], "doc_id long, text string")
-    rows = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    rows = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).collect()
     assert len(rows) == 2 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", " ", "\n\n", "the", " word", "'s", "12", "é", "\U0001f600", "<|", "\x00"]), max_size=12))
+def test_ids_are_those_of_the_tokenizer(parts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, theirs = packing.encoder(path, public_tokenizers.PATTERN), tokenizer(path)
+    assert own.encode("".join(parts), allowed_special="all") == theirs.encode("".join(parts), add_special_tokens=False).ids
+
+
+def test_ranks_as_special_free_vocabulary():
+    table, special = packing.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    same, has = packing.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    assert table == same and special == {} and has == {"<|endoftext|>": 50256}
+
+
+def test_many_groups_of_one_length(spark):
+    pieces = spark.range(1000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "CAST(1 + id % 3 AS LONG) AS length", "7L AS ids_crc32", "'x' AS _salt", "'y' AS _bin")
+    rows = packing.pack(pieces, 10, group=20).collect()
+    fill = {}
+    for r in rows:
+        assert (r["_salt"], r["_bin"]) == ("x", "y")
+        fill.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert len(rows) == 1000 and len(fill) == plain_best_fit([r["length"] for r in rows], 10)
+    for parts in fill.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n

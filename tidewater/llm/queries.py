@@ -38,7 +38,7 @@ def token_digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
 
 
-def op4_best_fit_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
