@@ -70,7 +70,7 @@ def drop_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return back(decontaminate.remove_spans(found.select(*own.columns, "spans")))
 
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """Pieces of all documents, packed into sequences of at most 1024 tokens."""
     import public_tokenizers
 
