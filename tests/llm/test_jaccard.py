@@ -108,3 +108,45 @@ def test_join_with_hot_keys(spark, monkeypatch):
     for few in (0, 10**6):
         got = components.join_hot(rows, keyed, "k", "count", 80, few)
         assert got.count() == 79 and got.columns == ["k", "i", "x"] and got.where("x <> upper(k)").count() == 0
+
+
+def chain(n, length=60, step=4):
+    """Each text shares 0.867 of its shingles with the next, 0.75 with the one after that."""
+    return [(i, " ".join(f"w{k}" for k in range(i * step, i * step + length))) for i in range(n)]
+
+
+def test_work_on_a_chain_is_linear_in_candidate_pairs():
+    import pyarrow as pa
+
+    n = 20_000
+    sets, bounds = jaccard.shingles(pa.array([t for _, t in chain(n)]), 5)
+    values = jaccard.signatures(sets, bounds).astype(np.uint8)
+    keys = jaccard.band_keys(values)
+    _, rows = np.unique(keys, return_counts=True)
+    compared = (rows * (rows - 1) // 2).sum()
+    distinct = {(min(a, b), max(a, b)) for d in range(1, 15) for a, b in zip(range(n), range(d, n), strict=False) if (keys[a] == keys[b]).any()}
+    # all pairs of the chain would be 2e8; buckets look at a pair at most once a band
+    assert rows.max() < 64 and len(distinct) <= compared <= 32 * len(distinct) < 32 * 10 * n
+
+
+def test_chain(spark):
+    rows = chain(600)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), block=64).collect()}
+    assert got == {i: (0, 1 if i in (0, 599) else 2) for i, _ in rows}
+
+
+def test_pairs_of_several_bands_are_met_once():
+    r = np.random.default_rng(5)
+    values = r.integers(0, 3, (40, jaccard.VALUES)).astype(np.uint8)
+    values[:, :100] = values[r.integers(0, 4, 40), :100]  # many shared bands
+    keys = jaccard.band_keys(values)
+    met = []
+    for nth in range(keys.shape[1]):
+        for key in np.unique(keys[:, nth]):
+            own = np.flatnonzero(keys[:, nth] == key)
+            halves = own[own % 2 == 0], own[own % 2 == 1]
+            for left, right in ((halves[0], halves[0]), (halves[1], halves[1]), halves):
+                i, j = jaccard._survivors(values, keys, nth, left, right, 0.0, 0.0)
+                met += [(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+    want = {(a, b) for a in range(40) for b in range(a + 1, 40) if (keys[a] == keys[b]).any()}
+    assert len(met) == len(set(met)) and set(met) == want

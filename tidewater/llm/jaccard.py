@@ -1,25 +1,30 @@
 """Similarity join on word n-grams: exact Jaccard links, with Bayesian pruning of candidates.
 
 1. Every document becomes the set of its shingles (``words`` consecutive words;
-   a shorter document is one shingle) and a MinHash signature.  Documents with
-   equal sets are one *class* from here on.
-2. Classes that share a band of the signature are candidates.  Buckets are joined
-   as stars, not as pairs, and their connected components hold every candidate
-   pair.  At similarity 0.8 a pair shares none of 32 bands of 5 values with
-   probability 3e-6.
-3. A component is split into blocks of about ``block`` classes, and each pair of
-   blocks is one task's work.  Signatures are compared a few values at a time; a
-   pair goes as soon as the posterior probability of reaching the threshold, given
-   its matches so far (uniform prior), falls below ``tolerance``.  All looks together drop a pair at
-   similarity 0.8 with probability 1.1e-6.  What is left is verified exactly on
-   the sets.
-4. A task returns no pairs: it returns each class's number of links and the least
-   class it is linked to through others.  These make the groups.
+   a shorter document is one shingle) and a MinHash signature of bytes.  Documents
+   with equal sets are one *class* from here on.
+2. Classes that share a band of the signature are candidates.  At similarity 0.8 a
+   pair shares none of 32 bands of 5 values with probability 3e-6.  A pair that
+   shares several bands belongs to the first of them, so each is worked on once, and
+   buckets need neither be joined nor their pairs be written down.
+3. A bucket is split into blocks of about ``block`` classes, and each pair of blocks
+   is one task's work.  Signatures are compared a few values at a time; a pair goes
+   as soon as the posterior probability of reaching the threshold, given its matches
+   so far (uniform prior), falls below ``tolerance``.  All looks together drop a pair
+   at similarity 0.8 with probability 1.1e-6 at most (different values that share
+   their byte only keep pairs in).  A task returns the classes that have pairs left.
+4. Only these get their texts, and what is left is verified exactly on the sets.  A
+   task returns no pairs: it returns each class's number of links and the least class
+   it is linked to through others.  These make the groups.
+
+All work is in proportion to the documents and to the pairs that share a band,
+however long the chains are that these form.
 
 Words are runs of other than white space, A-Z lower-cased.  Null and empty texts
 have no shingles, no links and a group of their own, and so has a row without a
 doc_id (its group is null).  Rows that repeat a doc_id and its text count as
-copies.
+copies; different texts must not share a doc_id.  An empty table gives an empty
+result, and columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -93,9 +98,8 @@ def _sign(words: int):
         for block in blocks(batches, "text", 1 << 20):
             sets, bounds = shingles(block.column(1), words)
             values = signatures(sets, bounds)
-            raw = values.tobytes()
-            width = 4 * VALUES
-            signature = pa.array([raw[i : i + width] for i in range(0, len(raw), width)], pa.binary())
+            raw = values.astype(np.uint8).tobytes()  # the low bytes
+            signature = pa.array([raw[i : i + VALUES] for i in range(0, len(raw), VALUES)], pa.binary())
             s1, s2 = (_sum_by_row(mix64(sets ^ U64(x)), bounds).view(np.int64) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
             yield pa.RecordBatch.from_arrays([block.column(0), pa.array(np.diff(bounds).astype(np.int32)), pa.array(s1), pa.array(s2), signature], names=["doc_id", "n", "s1", "s2", "signature"])
 
@@ -103,23 +107,24 @@ def _sign(words: int):
 
 
 def _signature_matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, VALUES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, VALUES)
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
-    """(row, band) keys; equal keys mean equal values in the same band."""
+    """(row, band) keys of byte signatures; keys are equal if and only if all values in the same band are."""
     bands = values.reshape(len(values), -1, BAND).astype(np.uint64)
     h = np.zeros(bands.shape[:2], np.uint64) + np.arange(bands.shape[1], dtype=np.uint64)
     for i in range(BAND):
-        h = mix64(h * U64(BASE) + bands[:, :, i])
-    return h.view(np.int64)
+        h = h << U64(8) | bands[:, :, i]
+    return mix64(h).view(np.int64)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
             keys = band_keys(_signature_matrix(b.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), keys.shape[1]))], names=["band", "cls"])
+            n, k = keys.shape
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(np.arange(k, dtype=np.int8), n)), pa.array(np.repeat(b.column(0).to_numpy(), k))], names=["band", "nth", "cls"])
 
 
 @cache
@@ -137,18 +142,43 @@ def least_matches(n: int, threshold: float, tolerance: float) -> int:
     return n
 
 
-def _survivors(values: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (of the first index list with the second) that the incremental comparison doesn't drop."""
-    keys = values[:, :CHUNK]
-    i, j = [], []
-    for a in range(0, len(left), 64):
-        same = (keys[left[a : a + 64]][:, None, :] == keys[right][None, :, :]).sum(axis=2, dtype=np.int32)
-        x, y = np.nonzero((same >= least_matches(CHUNK, threshold, tolerance)) & (left[a : a + 64][:, None] != right[None, :]))
-        i.append(left[a : a + 64][x])
-        j.append(right[y])
+def _sides(keys: np.ndarray, nth: int, left: np.ndarray, right: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Lists whose products hold all pairs of ``left`` and ``right`` that share no band before ``nth``, without those within the band that most of both share."""
+    best, most = 0, None
+    for c in range(nth):
+        own, where = np.unique(keys[:, c], return_inverse=True)
+        n = np.bincount(where[left], minlength=len(own)) * np.bincount(where[right], minlength=len(own))
+        if n.max() > best:
+            best, most = int(n.max()), where == int(n.argmax())
+    if most is None:
+        return [(left, right)]
+    return [(left[~most[left]], right), (left[most[left]], right[~most[right]])]
+
+
+def _survivors(values: np.ndarray, keys: np.ndarray, nth: int, left: np.ndarray, right: np.ndarray, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (of the first index list with the second, which is the same or shares none) that share no band before ``nth`` and that the incremental comparison doesn't drop."""
+    first = values[:, :CHUNK]
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    within = left is right
+    for some, others in _sides(keys, nth, left, right):
+        for a in range(0, len(some), 64):
+            part = some[a : a + 64]
+            same = (first[part][:, None, :] == first[others][None, :, :]).sum(axis=2, dtype=np.int16)
+            x, y = np.nonzero(same >= least_matches(CHUNK, threshold, tolerance))
+            x, y = part[x], others[y]
+            if within:
+                x, y = np.minimum(x, y), np.maximum(x, y)
+                stay = x < y
+                x, y = x[stay], y[stay]
+            if nth:
+                stay = np.concatenate([(keys[x[z : z + 65536], :nth] != keys[y[z : z + 65536], :nth]).all(axis=1) for z in range(0, len(x), 65536)] or [np.zeros(0, bool)])
+                x, y = x[stay], y[stay]
+            i.append(x)
+            j.append(y)
     i, j = np.concatenate(i), np.concatenate(j)
-    if left is right:
-        i, j = i[i < j], j[i < j]
+    if within and len(i):  # both of a pair can be on the first list
+        code = np.unique(i * len(values) + j)
+        i, j = code // len(values), code % len(values)
     matches = np.zeros(len(i), np.int32)
     for at in range(0, VALUES, CHUNK):
         for part in range(0, len(i), 65536):
@@ -198,37 +228,57 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
+def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]]:
+    """Each task's rows (task, nth, cls, side, signature first), one for each class, with signatures, band keys, the band and the two index lists."""
+    for table in _whole_groups(batches, 0, 512):
+        task = table.column(0).to_numpy()
+        edges = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            part = table.slice(lo, hi - lo)
+            cls, at = np.unique(part.column(2).to_numpy(), return_index=True)
+            if len(cls) < 2:
+                continue
+            part = part.take(pa.array(at)).combine_chunks()
+            side = part.column(3).to_numpy()
+            values = _signature_matrix(part.column(4))
+            # side 0: one block with itself; 1 and 2: two blocks
+            left, right = np.flatnonzero(side < 2), np.flatnonzero(side == 2)
+            yield part, values, band_keys(values), int(part.column(1)[0].as_py()), left, left if side[0] == 0 else right
+
+
+def _prune(threshold: float, tolerance: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, values, keys, nth, left, right in _tasks(batches):
+            i, j = _survivors(values, keys, nth, left, right, threshold, tolerance)
+            if len(i):
+                yield part.select(range(5)).take(pa.array(np.unique(np.r_[i, j]))).combine_chunks().to_batches()[0]
+
+    return run
+
+
 def _verify(words: int, threshold: float, tolerance: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, 0, 512):
-            task = table.column(0).to_numpy()
-            edges = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                part = table.slice(lo, hi - lo)
-                cls, first = np.unique(part.column(1).to_numpy(), return_index=True)
-                if len(cls) < 2:
-                    continue
-                part = part.take(pa.array(first)).combine_chunks()
-                side, copies = part.column(2).to_numpy(), part.column(3).to_numpy()
-                values = _signature_matrix(part.column(4))
-                sets, bounds = shingles(part.column(5).combine_chunks(), words)
-                # side 0: one block with itself; 1 and 2: two blocks
-                everyone = np.arange(len(cls))
-                i, j = _survivors(values, *((everyone, everyone) if side[0] == 0 else (np.flatnonzero(side == 1), np.flatnonzero(side == 2))), threshold, tolerance)
-                size = np.diff(bounds)
-                shared = _shared(sets, bounds, i, j)
-                link = shared >= threshold * (size[i] + size[j] - shared) - 1e-9
-                i, j = i[link], j[link]
-                if not len(i):
-                    continue
-                links = np.bincount(i, copies[j], len(cls)) + np.bincount(j, copies[i], len(cls))
-                root = _roots(len(cls), i, j)
-                has = np.flatnonzero(links > 0)
-                yield pa.RecordBatch.from_arrays([pa.array(cls[has]), pa.array(links[has].astype(np.int64)), pa.array(cls[root[has]])], names=["cls", "links", "root"])
+        for part, values, keys, nth, left, right in _tasks(batches):
+            i, j = _survivors(values, keys, nth, left, right, threshold, tolerance)
+            cls, copies = part.column(2).to_numpy(), part.column(5).to_numpy()
+            sets, bounds = shingles(part.column(6).combine_chunks(), words)
+            size = np.diff(bounds)
+            shared = _shared(sets, bounds, i, j)
+            link = shared >= threshold * (size[i] + size[j] - shared) - 1e-9
+            i, j = i[link], j[link]
+            if not len(i):
+                continue
+            links = np.bincount(i, copies[j], len(cls)) + np.bincount(j, copies[i], len(cls))
+            root = _roots(len(cls), i, j)
+            has = np.flatnonzero(links > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(cls[has]), pa.array(links[has].astype(np.int64)), pa.array(cls[root[has]])], names=["cls", "links", "root"])
 
     return run
 
 
+PAIRED = "task long, nth tinyint, cls long, side int, signature binary"
+
+
 def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block: int = 512) -> DataFrame:
     """(doc_id, class_id, n_links, n_copies, n_shingles) of every row of ``docs`` (doc_id, text).
 
@@ -243,21 +293,22 @@ def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tole
     classes = real.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.max("signature").alias("signature"))
     classes = written(classes)
 
-    bands = classes.select("cls", "signature").mapInArrow(tidy(_bands), "band long, cls long")
-    buckets = bands.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most"), F.count(F.lit(1)).alias("rows")).where("least < most")
-    stars = join_hot(bands, buckets, "band", "rows", classes.count() * (VALUES // BAND)).where("cls > least").select(F.col("cls").alias("u"), F.col("least").alias("v"))
-    members = written(connected_components(stars))
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("rows"))
-    members = written(join_hot(members, sizes, "component", "rows", members.count()).select(F.col("node").alias("cls"), "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")))
-
-    reclaim(docs.sparkSession)
-    texts = docs.join(members.hint("shuffle_hash"), docs["doc_id"] == members["cls"]).select("cls", "component", "blocks", "own", "text")
-    whole = texts.join(classes.select("cls", "copies", "signature").hint("shuffle_hash"), "cls")
-    dealt = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    bands = classes.select("cls", "signature").mapInArrow(tidy(_bands), "band long, nth tinyint, cls long")
+    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").withColumn("blocks", F.ceil(F.col("rows") / block).cast("int"))
+    members = join_hot(bands, buckets, "band", "rows", classes.count() * (VALUES // BAND))
+    members = members.join(classes.select("cls", "signature"), "cls").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(lo == hi, 0).when(F.col("own") == lo, 1).otherwise(2)
-    dealt = dealt.select(F.xxhash64("component", lo, hi).alias("task"), "cls", side.alias("side"), "copies", "signature", "text")
-    found = written(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(tidy(_verify(words, threshold, tolerance)), "cls long, links long, root long"))
+    dealt = dealt.select(F.xxhash64("band", lo, hi).alias("task"), "nth", "cls", side.alias("side"), "signature")
+    left = written(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(tidy(_prune(threshold, tolerance)), PAIRED))
+    reclaim(docs.sparkSession)
+
+    # the texts of classes with pairs left, once each, then to their tasks
+    needed = left.select("cls").distinct().withColumnRenamed("cls", "_cls")
+    texts = docs.join(needed.hint("shuffle_hash"), docs["doc_id"] == needed["_cls"]).select("doc_id", "text")
+    whole = left.join(classes.select("cls", "copies"), "cls").join(texts, F.col("cls") == F.col("doc_id")).select("task", "nth", "cls", "side", "signature", "copies", "text")
+    found = written(whole.repartition("task").sortWithinPartitions("task").mapInArrow(tidy(_verify(words, threshold, tolerance)), "cls long, links long, root long"))
 
     reclaim(docs.sparkSession)
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
