@@ -7,12 +7,14 @@ import gc
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 #: Paths of the tables written by this process; '' once deleted.
 _made: list[str] = []
+_place: weakref.WeakKeyDictionary[DataFrame, int] = weakref.WeakKeyDictionary()
 
 
 def folder(spark: SparkSession) -> str:
@@ -28,13 +30,33 @@ def folder(spark: SparkSession) -> str:
     return "file://" + _local["at"]
 
 
+def _path(spark: SparkSession, name: str):
+    """A path of the JVM's, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared folder, and read again; its shuffles can go, and a lost executor costs nothing that is done."""
+    """``df`` written as Parquet to the shared folder, and read again; its shuffles can go, and a lost executor costs nothing that is done.
+
+    The table lasts until :func:`discard` or :func:`drop`, or until the driver ends.
+    """
     spark = df.sparkSession
-    path = f"{folder(spark)}/tidewater-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _made.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"{folder(spark)}/tidewater-{uuid.uuid4().hex}"
+    path, system = _path(spark, name)
+    system.deleteOnExit(path)
+    df.write.parquet(name)
+    out = spark.read.schema(df.schema).parquet(name)
+    _place[out] = len(_made)
+    _made.append(name)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() returned, once nothing that reads them is still to be computed."""
+    for table in tables:
+        at = _place[table]
+        drop(table.sparkSession, at, at + 1)
 
 
 def reclaim(spark: SparkSession) -> None:
@@ -58,6 +80,6 @@ def drop(spark: SparkSession, since: int, until: int) -> None:
     """Delete the tables written between two marks, once nothing that reads them is still to be computed."""
     for i in range(since, min(until, len(_made))):
         if _made[i]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(_made[i])
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            path, system = _path(spark, _made[i])
+            system.delete(path, True)
             _made[i] = ""
