@@ -14,12 +14,13 @@ training counts, to the parts of the key space; a part adds up all blocks'
 counts and answers each block.  A frequent n-gram thus costs one entry a block,
 and a part is one range of keys of about ``part_keys`` entries, whatever the
 corpus.  Answers meet their block in one join; then every token's counts are at
-hand.  What the driver gets is a histogram of quantised estimates (for the
-weights) and totals, both of bounded size.
+hand.  The weights are learned from a histogram of quantised estimates, each
+bucket's in a task of its own; what the driver gets is the weights and totals.
 
-Words are told apart by 64-bit hashes.  Those of longer n-grams have as many bits as
-the corpus needs for one n-gram in 2**24 to share its count with another
-(:func:`key_bits`), as they are most of what is shuffled.
+A block sends a message to each part, so the number of messages is that of the
+blocks times that of the parts, and both grow with the corpus: see the README.
+
+Words and n-grams are told apart by 64-bit hashes.
 
 Tokens are runs of other than white space, A-Z lower-cased, and one end token
 for each text.  Null and empty texts are one end token.  Repeated rows are
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import reclaim, written
+from ..staging import discard, reclaim, written
 from .suffix import _whole_groups
 from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathered, mix64, tidy
 
@@ -46,6 +47,10 @@ from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathe
 END, START = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 #: Steps of the quantised estimates to a factor of two, for learning weights.
 STEPS = 4
+#: Parts are dealt to this many tasks at most.
+MOST_TASKS = 50_000
+#: Rounds of expectation-maximisation.
+ROUNDS = 60
 #: The quantised estimate 0; no estimate of a corpus is as small as 2**(NEVER / STEPS).
 NEVER = -(1 << 9)
 
@@ -122,8 +127,8 @@ class Block:
         self.place = np.arange(len(self.tokens)) - self.first[self.row]
         self.train = ~self.held[self.row]
 
-    def grams(self, order: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct n-gram hashes (their ``bits`` highest bits; words keep all 64), the number of each token's own (that ends there; -1 where the text has too few before), and training counts."""
+    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct n-gram hashes, the number of each token's own (that ends there; -1 where the text has too few before), and training counts."""
         h = self.hashes[self.tokens]
         ok = self.place >= order - 2  # one place before the first token counts as a token
         key = h
@@ -131,8 +136,6 @@ class Block:
             before = np.roll(h, back)
             before[self.place < back] = START
             key = mix64(key * U64(BASE) + before + U64(back))
-        if order > 1:
-            key = key >> U64(64 - bits)
         distinct, number = np.unique(key[ok], return_inverse=True)
         out = np.full(len(key), -1, np.int64)
         out[ok] = number
@@ -147,21 +150,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield b, i, Block(docs, b.column(2)[i].as_py(), b.column(3)[i].as_py())
 
 
-def key_bits(n: int) -> int:
-    """Bits of an n-gram's hash, so that one of 2**24 shares its own with any of n others, whatever n."""
-    return min(64, max(32, n.bit_length() + 24))
-
-
-def _part_edges(parts: int, bits: int) -> np.ndarray:
+def _part_edges(parts: int) -> np.ndarray:
     """First key of each part; ranges of the key space."""
-    return np.array([(k << bits) // parts for k in range(parts)], np.uint64)
+    return np.array([(k << 64) // parts for k in range(parts)], np.uint64)
 
 
-def _ask(order: int, parts: int, bits: int):
+def _ask(order: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = _part_edges(parts, bits if order > 1 else 64)
+        edges = _part_edges(parts)
         for b, i, block in _blocks(batches):
-            keys, _, counts = block.grams(order, bits)
+            keys, _, counts = block.grams(order)
             at = np.r_[np.searchsorted(keys, edges), len(keys)]
             which = [k for k in range(parts) if at[k] < at[k + 1]]
             yield pa.RecordBatch.from_arrays(
@@ -200,7 +198,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([own.column(0).combine_chunks(), own.column(1).combine_chunks(), pa.array(told, pa.binary()), pa.array(whole), pa.array(kinds)], names=["part", "block", "counts", "total", "distinct"])
 
 
-def _look_up(orders: int, bits: int):
+def _look_up(orders: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, i, block in _blocks(batches):
             answers: dict[int, list[tuple[int, bytes]]] = {}
@@ -208,7 +206,7 @@ def _look_up(orders: int, bits: int):
                 answers.setdefault(x["order"], []).append((x["part"], x["counts"]))
             columns = []
             for order in range(1, orders + 1):
-                _, number, _ = block.grams(order, bits)
+                _, number, _ = block.grams(order)
                 got = [_unpack(x[:-1], np.uint64 if x[-1] == 8 else np.uint32).astype(np.int64) for _, x in sorted(answers.get(order, []))]
                 told = np.concatenate([*got, np.zeros(1, np.int64)])  # the last is for n-grams that reach back too far
                 columns.append(pa.array([_pack(told[number].astype(np.uint32 if told.max() < 1 << 32 else np.uint64)) + bytes([4 if told.max() < 1 << 32 else 8])], pa.binary()))
@@ -272,7 +270,7 @@ def _histogram(orders: int, texts: int, total: int, kinds: int):
     return run
 
 
-def learn_weights(cells: np.ndarray, n: np.ndarray, orders: int, kinds: int, rounds: int = 60) -> dict[int, np.ndarray]:
+def learn_weights(cells: np.ndarray, n: np.ndarray, orders: int, kinds: int, rounds: int = ROUNDS) -> dict[int, np.ndarray]:
     """Expectation-maximisation of the mixture in each bucket; ``cells`` holds bucket and quantised estimates of order 1, 2, ..."""
     out = {}
     for bucket in np.unique(cells[:, 0]).tolist():
@@ -289,6 +287,15 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, orders: int, kinds: int, rou
     return out
 
 
+def _learn(orders: int, kinds: int):
+    def run(own: pa.Table) -> pa.Table:
+        table = np.stack([c.to_numpy() for c in own.columns], axis=1)
+        weights = learn_weights(table[:, :-1], table[:, -1], orders, kinds)
+        return pa.table({"bucket": pa.array(list(weights), pa.int64()), "weights": pa.array([w.tolist() for w in weights.values()], pa.list_(pa.float64()))})
+
+    return run
+
+
 def weight_table(weights: dict[int, np.ndarray], orders: int) -> np.ndarray:
     """Weights by bucket number; a bucket that training never saw takes those of the nearest below it with the same or a shorter context."""
     table = np.zeros((64 * (orders + 1), orders + 1))
@@ -314,7 +321,7 @@ def _score(orders: int, texts: int, total: int, kinds: int, table: np.ndarray):
     return run
 
 
-def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int = 6 << 20, part_keys: int = 500_000) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, order: int = 3, block_bytes: int = 6 << 20, part_keys: int = 1_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs`` (doc_id, text).
 
     Rows where ``held_out`` is true don't train the model.  ``score`` is the
@@ -329,11 +336,14 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int =
     if not sizes["n"]:
         return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     texts = blocks.select(F.size(F.filter("docs", lambda d: ~d["held"])).alias("n")).agg(F.sum("n")).first()[0]
-    answers, total, kinds, bits = None, 0, 0, key_bits(sizes["n"])
+    answers, total, kinds, steps = None, 0, 0, [blocks]
     for k in range(1, order + 1):
-        parts = -(-(sizes["words"] if k == 1 else sizes["n"]) // part_keys)
-        asked = blocks.select("block", "docs", "vocabulary", "tokens").mapInArrow(tidy(_ask(k, parts, bits)), "part int, block long, keys binary, counts binary")
-        told = written(asked.repartition("part").sortWithinPartitions("part").mapInArrow(tidy(_answer), ANSWERS))
+        keys = sizes["words"] if k == 1 else sizes["n"]
+        parts = max(-(-keys // part_keys), spark.sparkContext.defaultParallelism)
+        asked = blocks.select("block", "docs", "vocabulary", "tokens").mapInArrow(tidy(_ask(k, parts)), "part int, block long, keys binary, counts binary")
+        # a task gets a part or two, however many there are
+        told = written(asked.repartition(min(parts, MOST_TASKS), "part").sortWithinPartitions("part").mapInArrow(tidy(_answer), ANSWERS))
+        steps.append(told)
         reclaim(spark)
         if k == 1:
             total, kinds = told.agg(F.sum("total"), F.sum("distinct")).first()
@@ -341,12 +351,13 @@ def score(docs: DataFrame, held_out: Column, order: int = 2, block_bytes: int =
         answers = told if answers is None else answers.unionByName(told)
     met = blocks.select("block", "docs", "vocabulary", "tokens").join(answers.groupBy("block").agg(F.collect_list("answer").alias("answers")), "block")
     counted = ", ".join(f"c{k} binary" for k in range(1, order + 1))
-    counts = written(met.mapInArrow(tidy(_look_up(order, bits)), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
+    counts = written(met.mapInArrow(tidy(_look_up(order)), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
 
+    discard(*steps)
     reclaim(spark)
     quantised = ", ".join(f"q{k} long" for k in range(1, order + 1))
     cells = counts.mapInArrow(tidy(_histogram(order, texts, total, kinds)), f"bucket long, {quantised}, n long")
-    rows = cells.groupBy(*cells.columns[:-1]).agg(F.sum("n").alias("n")).collect()  # bounded by the steps of each estimate
-    table = np.array([list(r) for r in rows], np.int64).reshape(-1, order + 2)
-    weights = learn_weights(table[:, :-1], table[:, -1], order, kinds)
+    cells = cells.groupBy(*cells.columns[:-1]).agg(F.sum("n").alias("n"))  # bounded by the steps of each estimate
+    learned = cells.groupBy("bucket").applyInArrow(_learn(order, kinds), "bucket long, weights array<double>").collect()  # 64 buckets an order at most
+    weights = {r["bucket"]: np.array(r["weights"]) for r in sorted(learned)}
     return counts.mapInArrow(tidy(_score(order, texts, total, kinds, weight_table(weights, order))), "doc_id " + kind + ", held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
