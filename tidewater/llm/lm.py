@@ -47,7 +47,7 @@ from .textbuf import BASE, LOWER, NOT_SPACE, U64, chunk_word_hashes, flat, gathe
 END, START = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 #: Steps of the quantised estimates to a factor of two, for learning weights.
 STEPS = 4
-#: Parts are dealt to this many tasks at most.
+#: Parts, and blocks, are dealt to this many tasks at most.
 MOST_TASKS = 50_000
 #: Rounds of expectation-maximisation.
 ROUNDS = 60
@@ -332,7 +332,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, block_bytes: int =
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = F.coalesce(held_out, F.lit(False)).alias("held")
     blocks = written(docs.select("doc_id", "text", held).mapInArrow(tidy(_tokenise(block_bytes)), BLOCKS.format(kind)))
-    sizes = blocks.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    sizes = blocks.agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("blocks")).first()
     if not sizes["n"]:
         return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     texts = blocks.select(F.size(F.filter("docs", lambda d: ~d["held"])).alias("n")).agg(F.sum("n")).first()[0]
@@ -349,7 +349,9 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, block_bytes: int =
             total, kinds = told.agg(F.sum("total"), F.sum("distinct")).first()
         told = told.select("block", F.struct(F.lit(k).alias("order"), "part", "counts").alias("answer"))
         answers = told if answers is None else answers.unionByName(told)
-    met = blocks.select("block", "docs", "vocabulary", "tokens").join(answers.groupBy("block").agg(F.collect_list("answer").alias("answers")), "block")
+    tasks = min(sizes["blocks"], MOST_TASKS)  # a block or two each, as their number grows with the corpus
+    per_block = answers.repartition(tasks, "block").groupBy("block").agg(F.collect_list("answer").alias("answers"))
+    met = blocks.select("block", "docs", "vocabulary", "tokens").repartition(tasks, "block").join(per_block, "block")
     counted = ", ".join(f"c{k} binary" for k in range(1, order + 1))
     counts = written(met.mapInArrow(tidy(_look_up(order)), f"{BLOCKS.format(kind).split('vocabulary')[0].split('block long, ')[1]}{counted}"))
 
