@@ -46,6 +46,8 @@ from .textbuf import BASE, LOWER, NOT_SPACE, U64, blocks, chunk_word_hashes, fla
 VALUES, BAND = 160, 5
 #: Signature values compared before each look at the posterior.
 CHUNK = 16
+#: Buckets are dealt to a task for so many classes, up to so many tasks: their rows are few, their work is not.
+CLASSES_A_TASK, MOST_TASKS = 4000, 50_000
 
 _r = np.random.default_rng(20240229)
 _A = _r.integers(1, 1 << 63, VALUES, dtype=np.uint64) | U64(1)
@@ -279,7 +281,7 @@ def _verify(words: int, threshold: float, tolerance: float):
 PAIRED = "task long, nth tinyint, cls long, side int, signature binary"
 
 
-def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block: int = 512) -> DataFrame:
+def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block: int = 256) -> DataFrame:
     """(doc_id, class_id, n_links, n_copies, n_shingles) of every row of ``docs`` (doc_id, text).
 
     ``class_id`` is the least doc_id of the group of documents that links
@@ -293,22 +295,25 @@ def link_documents(docs: DataFrame, words: int = 5, threshold: float = 0.8, tole
     classes = real.groupBy("s1", "s2").agg(F.min("doc_id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.max("signature").alias("signature"))
     classes = written(classes)
 
+    count = classes.count()
+    tasks = min(max(count // CLASSES_A_TASK, docs.sparkSession.sparkContext.defaultParallelism), MOST_TASKS)
+
     bands = classes.select("cls", "signature").mapInArrow(tidy(_bands), "band long, nth tinyint, cls long")
     buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").withColumn("blocks", F.ceil(F.col("rows") / block).cast("int"))
-    members = join_hot(bands, buckets, "band", "rows", classes.count() * (VALUES // BAND))
+    members = join_hot(bands, buckets, "band", "rows", count * (VALUES // BAND))
     members = members.join(classes.select("cls", "signature"), "cls").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(lo == hi, 0).when(F.col("own") == lo, 1).otherwise(2)
     dealt = dealt.select(F.xxhash64("band", lo, hi).alias("task"), "nth", "cls", side.alias("side"), "signature")
-    left = written(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(tidy(_prune(threshold, tolerance)), PAIRED))
+    left = written(dealt.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(tidy(_prune(threshold, tolerance)), PAIRED))
     reclaim(docs.sparkSession)
 
     # the texts of classes with pairs left, once each, then to their tasks
     needed = left.select("cls").distinct().withColumnRenamed("cls", "_cls")
     texts = docs.join(needed.hint("shuffle_hash"), docs["doc_id"] == needed["_cls"]).select("doc_id", "text")
     whole = left.join(classes.select("cls", "copies"), "cls").join(texts, F.col("cls") == F.col("doc_id")).select("task", "nth", "cls", "side", "signature", "copies", "text")
-    found = written(whole.repartition("task").sortWithinPartitions("task").mapInArrow(tidy(_verify(words, threshold, tolerance)), "cls long, links long, root long"))
+    found = written(whole.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(tidy(_verify(words, threshold, tolerance)), "cls long, links long, root long"))
 
     reclaim(docs.sparkSession)
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
