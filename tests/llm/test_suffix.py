@@ -96,3 +96,16 @@ def test_msd_groups(data, starts):
         for j in range(i):
             if group[i] >= 0 and group[j] >= 0:
                 assert (group[i] == group[j]) == (windows[i] == windows[j])
+
+
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_common_anchors_are_dealt_out_by_their_windows(spark, monkeypatch, few):
+    for name, value in {"SAMPLED": 1, "COMMON": 2, "SALTS": 3, "FEW_WINDOWS": few}.items():
+        monkeypatch.setattr(suffix, name, value)
+    texts = made(3) | {900 + i: "the same licence line before all of them, " + f"text {i * 37}" for i in range(60)}
+    assert found(spark, texts, 20) == brute(texts, 20)
+
+
+def test_columns_with_the_names_of_steps_are_kept(spark):
+    df = spark.createDataFrame([(i, "y" * 150, f"r{i}", f"d{i}") for i in range(3)], "doc_id long, text string, _runs string, _doc string")
+    assert {(r["doc_id"], r["_runs"], r["_doc"]) for r in suffix.remove_repeats(df).collect()} == {(i, f"r{i}", f"d{i}") for i in range(3)}

@@ -14,7 +14,7 @@ FEW = 1_000_000
 PARTS = 1000
 
 
-def join_hot(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, few: int | None = None) -> DataFrame:
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str | list[str], count: str, total: int, few: int | None = None) -> DataFrame:
     """``rows`` joined with ``keyed``, which has one row a key and in ``count`` how many of ``rows`` bear it; ``total`` is their number.
 
     Rows of a hot key stay where they are: the hot keys' rows of ``keyed``, PARTS

@@ -40,12 +40,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import reclaim, written
+from .components import join_hot
+from .tables import unused
 from .textbuf import BASE, BYTE_VALUE, U64, Prefix, blocks, flat, mix64, powers, tidy
 
 #: Bytes handled at a time; a longer text is cut into overlapping segments.
 SEGMENT = (1 << 20) - (1 << 13)
 #: Low bits of a sliding-minimum key that hold the position.
 PLACE_BITS = 24
+#: One text in SAMPLED tells which anchors are common: those it has at least COMMON times, MOST_COMMON of them.
+SAMPLED, COMMON, MOST_COMMON = 64, 64, 1000
+#: A common anchor's contexts are dealt out to so many keys.
+SALTS = 4096
+#: From so many hot windows on, those with more than a thousandth of them stay out of the shuffle.
+FEW_WINDOWS = 20_000
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray, threshold: int, gram: int):
@@ -124,7 +132,7 @@ def msd_groups(data: np.ndarray, starts: np.ndarray, group: np.ndarray, threshol
 
 
 A_SCHEMA = "a long, c long, doc long, at long, dup boolean"
-X_SCHEMA = "a long, doc long, lo long, back int, ctx binary"
+X_SCHEMA = "a long, doc long, lo long, back int, ctx binary, hot boolean"
 R_SCHEMA = "doc long, lo long, hi long"
 
 
@@ -188,9 +196,10 @@ def _emit_contexts(threshold: int):
             raw = buf.tobytes()
             ctx = pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary())
             back = (flat_found.field(1).to_numpy()[ok] >> 12) & 4095
-            out = [pa.array(flat_found.field(0).to_numpy()[ok]), pa.array(ids[rows]), pa.array(lo - offs[rows]), pa.array(back.astype(np.int32)), ctx]
+            is_hot = flat_found.field(2).to_numpy(zero_copy_only=False)[ok]
+            out = [pa.array(flat_found.field(0).to_numpy()[ok]), pa.array(ids[rows]), pa.array(lo - offs[rows]), pa.array(back.astype(np.int32)), ctx, pa.array(is_hot)]
             for at in range(0, len(rows), 50_000):
-                yield pa.RecordBatch.from_arrays([x.slice(at, 50_000) for x in out], names=["a", "doc", "lo", "back", "ctx"])
+                yield pa.RecordBatch.from_arrays([x.slice(at, 50_000) for x in out], names=["a", "doc", "lo", "back", "ctx", "hot"])
 
     return run
 
@@ -284,36 +293,47 @@ def _merge_starts():
     return run
 
 
-def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = None, hot: int = 50_000) -> DataFrame:
+def _common_anchors(texts: DataFrame, threshold: int, gram: int) -> DataFrame:
+    """(_a) of anchors that a sample of the texts has often, MOST_COMMON at most; it only says how rows are dealt out."""
+    rows = texts.sample(1 / SAMPLED, 11).mapInArrow(tidy(_emit_anchors(threshold, gram)), A_SCHEMA).where("not dup")
+    own = rows.groupBy("a").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "a").limit(MOST_COMMON).collect()
+    return texts.sparkSession.createDataFrame([(r["a"],) for r in own], "_a long")
+
+
+def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = None, hot: int = 2_000) -> DataFrame:
     """(doc, lo, hi): first and last start of runs of windows that also start earlier in ``docs`` (doc_id, text).
 
     Every window that starts earlier is in a run; runs of one text may touch or
-    overlap.  ``threshold`` is from 16 to 4000 bytes.
+    overlap.  ``threshold`` is from 16 to 4000 bytes.  Anchors with more than
+    ``hot`` contexts are dealt out by their windows, and so are those that a sample
+    shows to be common, so that no task holds all rows of one anchor.
     """
     if not 16 <= threshold <= 4000:
         raise ValueError("threshold must be from 16 to 4000 bytes")
     gram = gram or max(8, threshold // 4 - 1)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= threshold))
     rows = texts.mapInArrow(tidy(_emit_anchors(threshold, gram)), A_SCHEMA)
-    of_context = Window.partitionBy("a", "c").orderBy("doc", "at")
-    of_anchor = Window.partitionBy("a")
-    rows = rows.repartition("a").withColumn("nth", F.rank().over(of_context)).withColumn("kinds", F.sum(F.when((F.col("nth") == 1) & ~F.col("dup"), 1).otherwise(0)).over(of_anchor)).withColumn("one", (F.min("c").over(of_anchor) == F.max("c").over(of_anchor)))
-    kept = written(rows.where(F.col("dup") | (F.col("nth") > 1) | ~F.col("one")).select("a", "doc", "at", (F.col("dup") | (F.col("nth") > 1)).alias("covered"), "kinds"))
+    common = F.broadcast(_common_anchors(texts, threshold, gram))
+    rows = rows.join(common, F.col("a") == F.col("_a"), "left").withColumn("common", F.col("_a").isNotNull()).withColumn("salt", F.when(F.col("common"), F.pmod("c", F.lit(SALTS))).otherwise(0)).drop("_a")
+    of_context = Window.partitionBy("a", "salt", "c").orderBy("doc", "at")
+    of_anchor = Window.partitionBy("a", "salt")
+    rows = rows.repartition("a", "salt").withColumn("nth", F.rank().over(of_context)).withColumn("kinds", F.sum(F.when((F.col("nth") == 1) & ~F.col("dup"), 1).otherwise(0)).over(of_anchor)).withColumn("one", (F.min("c").over(of_anchor) == F.max("c").over(of_anchor)) & ~F.col("common"))
+    kinds = F.when(F.col("common"), hot + 1).otherwise(F.col("kinds")).alias("kinds")
+    kept = written(rows.where(F.col("dup") | (F.col("nth") > 1) | ~F.col("one")).select("a", "doc", "at", (F.col("dup") | (F.col("nth") > 1)).alias("covered"), kinds))
     reclaim(docs.sparkSession)
 
     m, back, more = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(F.lit(4095)), F.col("at").bitwiseAND(F.lit(4095))
     whole = kept.where("covered").select("doc", (m - back).alias("lo"), (m - back + more).alias("hi"))
-    asked = kept.where("not covered").groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("a", "at")).alias("found"), F.max("kinds").alias("kinds"))
+    open_rows = kept.where("not covered")
+    asked = open_rows.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("a", "at", (F.col("kinds") > hot).alias("hot"))).alias("found"))
     contexts = texts.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found").mapInArrow(tidy(_emit_contexts(threshold)), X_SCHEMA)
-    hot_anchors = kept.where(~F.col("covered") & (F.col("kinds") > hot)).select("a").distinct()
-    if hot_anchors.limit(1).count():
+    if open_rows.where(F.col("kinds") > hot).limit(1).count():
         contexts = written(contexts)
-        # an anchor's number of contexts says where it goes; hot ones are dealt out by window
-        wide = contexts.join(hot_anchors, "a", "left_semi").mapInArrow(tidy(_emit_windows(threshold)), "h1 long, h2 long, doc long, p long")
-        firsts = wide.groupBy("h1", "h2").agg(F.min(F.struct("doc", "p")).alias("first"))
-        later = wide.join(firsts, ["h1", "h2"]).where(F.struct("doc", "p") > F.col("first")).select("doc", "p").mapInArrow(tidy(_merge_starts()), R_SCHEMA)
-        whole = whole.unionByName(later)
-        contexts = contexts.join(hot_anchors, "a", "left_anti")
+        wide = written(contexts.where("hot").mapInArrow(tidy(_emit_windows(threshold)), "h1 long, h2 long, doc long, p long"))
+        firsts = wide.groupBy("h1", "h2").agg(F.min(F.struct("doc", "p")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+        later = join_hot(wide, firsts, ["h1", "h2"], "rows", wide.count(), few=FEW_WINDOWS).where(F.struct("doc", "p") > F.col("first")).select("doc", "p")
+        whole = whole.unionByName(later.mapInArrow(tidy(_merge_starts()), R_SCHEMA))
+        contexts = contexts.where("not hot")
     sorted_out = contexts.repartition("a").sortWithinPartitions("a").mapInArrow(tidy(_sort_buckets(threshold)), R_SCHEMA)
     return whole.unionByName(sorted_out)
 
@@ -368,10 +388,11 @@ def remove_repeats(docs: DataFrame, threshold: int = 100, characters: bool = Fal
     With ``characters``, a character of several bytes goes only if all of them do,
     so that what is kept is valid UTF-8.
     """
-    rest = [c for c in docs.columns if c not in ("n_bytes", "kept", "removed", "_runs")]
+    rest = [c for c in docs.columns if c not in ("n_bytes", "kept", "removed")]
     docs = docs.select(*rest)
+    own, found = unused(rest, "_doc"), unused(rest, "_runs")
     runs = repeated_windows(docs, threshold, **options)
-    per_doc = runs.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("lo", "hi")).alias("_runs"))
-    both = docs.join(per_doc.hint("shuffle_hash"), docs["doc_id"] == per_doc["_doc"], "left").select(*[docs[c] for c in rest], per_doc["_runs"])
+    per_doc = runs.groupBy(F.col("doc").alias(own)).agg(F.collect_list(F.struct("lo", "hi")).alias(found))
+    both = docs.join(per_doc.hint("shuffle_hash"), docs["doc_id"] == per_doc[own], "left").select(*[docs[c] for c in rest], per_doc[found])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return both.mapInArrow(tidy(_cut(threshold, rest.index("text"), len(rest), characters)), f"{kinds}, n_bytes long, kept binary, removed array<struct<start: long, end: long>>")
