@@ -119,6 +119,40 @@ def test_amendments_and_merge_are_idempotent(spark):
     assert rows(documents.merge_chunks(once, silver), "chunk_id", "version", "is_current", "text") == want
 
 
+def test_files_parsed_again(spark):
+    schema = "chunk_id string, contract_id string, source_file string, version int, is_current boolean, text string"
+    gold = spark.createDataFrame([("a1", "CD-1", "a", 2, True, "old"), ("a2", "CD-1", "a", 2, True, "gone"), ("z1", None, "z", 1, False, "retired"), ("k1", None, "k", 1, True, "not in this run")], schema)
+    silver = spark.createDataFrame([("a1", "CD-1", "a", 1, True, "new"), ("a3", "CD-1", "a", 1, True, "more"), ("z2", None, "z", 1, True, "late")], schema)
+    want = [("a1", 2, True, "new"), ("a3", 2, True, "more"), ("k1", 1, True, "not in this run"), ("z2", 1, False, "late")]
+    for _ in range(2):
+        gold = documents.merge_chunks(gold, silver)
+        assert rows(gold, "chunk_id", "version", "is_current", "text") == want
+
+
+def test_merge_of_a_key_that_comes_twice_fails(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    for key in (1, 2):
+        with pytest.raises(Exception, match="several source rows"):
+            relational.upsert(target, spark.createDataFrame([(key, "x"), (key, "y")], "k int, v string"), ["k"]).collect()
+
+
+def test_history_of_ties_is_stable(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "c"), (1, 5, "b"), (1, 7, "d")], "k int, s int, v string")
+    for n in (1, 3):
+        assert rows(relational.history(df.repartition(n), ["k"], "s"), "k", "v", "__START_AT", "__END_AT") == [(1, "c", 5, 7), (1, "d", 7, None)]
+
+
+def test_chunk_rules():
+    # a heading stays with its text; parts that fit are put together without the blank line between them
+    assert chunking.chunks("One two.\n\nThree four.\n\nFive", 3, 0) == ["One two.", "Three four.", "Five"]
+    assert chunking.chunks("aa\n\nbb\n\ncccccccccc", 2, 0) == ["aabb", "cccccccc", "cc"]
+    # a part that is too long is cut at weaker boundaries, and its end isn't joined to what follows
+    assert chunking.chunks("x\n\none two three four\n\ny", 2, 0) == ["x", "onetwo", "three", "four", "y"]
+    assert chunking.chunks("\nARTICLE 1\nfirst words here\nARTICLE 2\nsecond", 7, 0) == ["ARTICLE 1\nfirst words here", "ARTICLE 2\nsecond"]
+    assert chunking.chunks("First sentence here. Second one.", 5, 2) == ["First sentence here.", "here. Second one."]
+    assert chunking.chunks("z" * 9, 1, 0) == ["zzzz", "zzzz", "z"]
+
+
 def test_search(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], "red apple pie"), (2, [0.6, 0.8], "green apple"), (3, [0.0, 1.0], "blue sky"), (4, [0.0, 0.0], "")], "id int, v array<float>, text string")
     assert [r["id"] for r in search.vector_top(df, [0.0, 2.0], "id", "v", 2).orderBy("rank").collect()] == [3, 2]

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import time
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, StructType
 
 from tidewater.sources import files, jdbc, sinks
@@ -88,6 +89,41 @@ def test_history_by_stream(spark, tmp_path):
     assert table.read().count() == 5
 
 
+def test_history_outlives_its_driver(spark, tmp_path):
+    new = lambda: flows.HistoryTable(spark, str(tmp_path / "t"), ["id"], "seq", buckets=4)
+    put = lambda name, *rows: spark.createDataFrame(list(rows), "id string, seq int, v string").write.parquet(str(tmp_path / "s" / name))
+    stream = lambda: spark.readStream.schema("id string, seq int, v string").option("recursiveFileLookup", True).parquet(str(tmp_path / "s"))
+    state = lambda t: sorted((r["id"], r["__START_AT"], r["__END_AT"] or 0, r["v"]) for r in t.read().collect())
+    put("1", ("a", 1, "x"), ("b", 1, "q"))
+    new().follow(stream(), str(tmp_path / "mark"))
+    put("2", ("a", 3, "z"))
+    put("3", ("a", 2, "y"), ("a", 2, "y"))
+    again = new()
+    again.follow(stream(), str(tmp_path / "mark"))
+    want = [("a", 1, 2, "x"), ("a", 2, 3, "y"), ("a", 3, 0, "z"), ("b", 1, 0, "q")]
+    assert state(new()) == want
+    replay = spark.createDataFrame([("b", 0, "replayed")], "id string, seq int, v string")
+    again.apply(replay, 0)
+    assert state(new()) == want
+    # a record that its writer didn't finish is passed over
+    os.makedirs(tmp_path / "t" / "_ledger", exist_ok=True)
+    (tmp_path / "t" / "_ledger" / f"{99:020d}.json").write_text('{"batch": 7, "pla')
+    assert state(new()) == want
+    again.refresh(stream(), str(tmp_path / "mark"))
+    assert state(new()) == want
+    live = flows.current_stream(stream(), flows.HistoryTable(spark, str(tmp_path / "t1"), ["id"], "seq"), str(tmp_path / "mark1"), F.col("v") == "q", ("seq",))
+    assert [tuple(r) for r in live.collect()] == [("a", "z")]
+
+
+def test_full_refresh_of_a_drained_table(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "s"))
+    stream = lambda: spark.readStream.schema("id long").parquet(str(tmp_path / "s"))
+    for _ in range(2):
+        flows.refill(spark, stream(), str(tmp_path / "mark"), str(tmp_path / "out"))
+    flows.drain(stream(), str(tmp_path / "mark"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
 def test_stream_static_join_doesnt_multiply(spark, tmp_path):
     spark.createDataFrame([("p1", "d1"), ("p2", "d9")], "p string, division string").write.parquet(str(tmp_path / "s"))
     static = spark.createDataFrame([("d1", "c1"), ("d1", "c2")], "division string, category string")

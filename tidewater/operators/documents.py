@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contract_id, contract_type, counterparty, effective_date, expiry_date, mask_pii
-from .relational import update_where, upsert
+from .relational import delete_within, update_where, upsert
 
 RESULT = "struct<document:struct<elements:array<struct<content:string,bbox:array<struct<page_id:int>>>>>,pages:array<struct<page_number:int,text:string,content:string>>,text:string>"
 
@@ -70,7 +70,7 @@ def amendments(current: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def merge_chunks(gold: DataFrame, silver: DataFrame) -> DataFrame:
-    """Gold chunks after a run: amended contracts' old chunks are retired, chunks of new files come in with the contract's new version, known files' chunks are only refreshed.
+    """Gold chunks after a run: amended contracts' old chunks are retired, chunks of new files come in with the contract's new version, and a known file that was parsed again has just the chunks of its new parse, in the version it had.
 
     Staging just the files that gold hasn't seen keeps a second run from bringing
     retired versions back.
@@ -79,9 +79,13 @@ def merge_chunks(gold: DataFrame, silver: DataFrame) -> DataFrame:
     new_files = silver.join(gold.select("source_file").distinct(), "source_file", "left_anti")
     staged = new_files.join(bump, "contract_id", "left").withColumn("version", F.coalesce("new_version", "version", F.lit(1))).withColumn("is_current", F.lit(True)).select(*gold.columns)
     retired = update_where(gold.join(bump.withColumnRenamed("contract_id", "_c"), gold["contract_id"] == F.col("_c"), "left"), F.col("new_version").isNotNull(), is_current=F.lit(False)).select(*gold.columns)
-    known = silver.join(gold.select("source_file").distinct(), "source_file", "left_semi")
-    refresh = [c for c in silver.columns if c in gold.columns and c not in ("chunk_id", "version", "is_current")]
-    refreshed = upsert(retired, known.select("chunk_id", *refresh), ["chunk_id"], refresh)
+    # a known file's chunks keep its version and state, also those that its last parse didn't have
+    state = retired.groupBy("source_file").agg(F.max(F.coalesce("version", F.lit(1))).alias("_version"), F.max("is_current").alias("_current"))
+    known = silver.join(state, "source_file").withColumn("version", F.col("_version")).withColumn("is_current", F.col("_current"))
+    columns = [c for c in gold.columns if c in known.columns]
+    kept = delete_within(retired, known, "source_file", "chunk_id")
+    refresh = [c for c in columns if c not in ("chunk_id", "version", "is_current")]
+    refreshed = upsert(kept, known.select(*columns), ["chunk_id"], refresh)
     return upsert(refreshed, staged, ["chunk_id"])
 
 

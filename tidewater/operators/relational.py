@@ -17,11 +17,14 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, stamp: str | None = None) -> DataFrame:
     """``target`` after a merge of ``source``: rows with known keys get ``update`` columns (default: all), others are inserted.
 
-    A key must be unique in ``source``.  ``stamp`` names a column that takes the
-    current time in rows that change.
+    A key that ``source`` has twice makes the merge fail when it runs.  ``stamp``
+    names a column that takes the current time in rows that change.
     """
     update = [c for c in (update or source.columns) if c not in keys]
-    t, s = target.alias("t"), source.withColumn("_in", F.lit(True)).alias("s")
+    own = Window.partitionBy(*keys)
+    twice = F.concat(F.lit("several source rows for one key of a merge: "), F.to_json(F.struct(*keys)))
+    once = source.withColumn("_rows", F.count(F.lit(1)).over(own)).withColumn("_in", F.when(F.col("_rows") > 1, F.raise_error(twice).cast("boolean")).otherwise(True)).drop("_rows")
+    t, s = target.alias("t"), once.alias("s")
     both = t.withColumn("_was", F.lit(True)).alias("t").join(s, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "full_outer")
     hit, new = F.col("s._in").isNotNull(), F.col("t._was").isNull()
 
@@ -59,9 +62,10 @@ def delete_within(target: DataFrame, staged: DataFrame, scope: str, key: str) ->
 def history(df: DataFrame, keys: list[str], sequence: str, start: str = "__START_AT", end: str = "__END_AT") -> DataFrame:
     """Slowly changing dimension of type 2: each version holds until the next sequence value of its key, the last is open.
 
-    Rows may come in any order; of rows with the same key and sequence one stays.
+    Rows may come in any order; of rows with the same key and sequence the greatest
+    by their other columns stays.
     """
-    one = df.dropDuplicates([*keys, sequence])
+    one = latest(df, [*keys, sequence], *[F.col(c).desc_nulls_last() for c in df.columns if c not in keys and c != sequence])
     return one.withColumn(start, F.col(sequence)).withColumn(end, F.lead(sequence).over(Window.partitionBy(*keys).orderBy(sequence)))
 
 

@@ -60,12 +60,13 @@ def evolved(schema: StructType, columns: list[str]) -> StructType:
 
 def snapshot(spark: SparkSession, path: str, schema: StructType, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Rows of files whose (path, modification time) isn't in the ledger, and those files' ledger rows; so an overwritten snapshot is read again."""
-    raw = spark.read.schema(as_strings(schema)).option("header", True).option("recursiveFileLookup", True).csv(path)
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_modification_time").alias("_modified"))
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("_source_file"), F.col("modificationTime").alias("_modified"))
+    listed = listing(spark, path).select(F.col("path").alias("_source_file"), F.col("modificationTime").alias("_modified"))
     fresh = listed if ledger is None else listed.join(ledger, ["_source_file", "_modified"], "left_anti")
-    rows = raw.join(fresh, ["_source_file", "_modified"], "left_semi").drop("_modified")
-    return conform(rows, schema), fresh
+    paths = [r["_source_file"] for r in fresh.collect()]  # names of files that landed since the last run
+    reader = spark.read.schema(as_strings(schema)).option("header", True)
+    raw = reader.csv(paths) if paths else spark.createDataFrame([], as_strings(schema))
+    raw = raw.withColumn("_source_file", F.col("_metadata.file_path") if paths else F.lit(None).cast("string"))
+    return conform(raw, schema), fresh
 
 
 def binary_stream(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.relational import history
 from ..sources.files import RESCUED, conform, csv_stream, with_audit
-from ..sources.sinks import rewrite
+from ..sources.sinks import Ledger
 
 
 def drain(stream: DataFrame, checkpoint: str, path: str) -> None:
@@ -40,33 +41,76 @@ def enrich(stream: DataFrame, static: DataFrame, key: str) -> DataFrame:
 
 
 class HistoryTable:
-    """Slowly changing dimension of type 2, kept by a stream: all versions by key and sequence, late ones put in their place."""
+    """Slowly changing dimension of type 2, kept by a stream: all versions by key and sequence, late ones put in their place.
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], sequence: str):
-        self.spark, self.path, self.keys, self.sequence = spark, path, keys, sequence
-        self.place: str | None = None
+    Keys are dealt to ``buckets`` by their hash, and a batch rewrites only the
+    buckets that it touches.  A ledger below ``path`` says where each bucket is and
+    which batch came last, so a restarted driver goes on from there, and a batch
+    that comes again changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], sequence: str, buckets: int = 64):
+        self.spark, self.path, self.keys, self.sequence, self.buckets = spark, path.rstrip("/"), keys, sequence, buckets
+        self.ledger = Ledger(spark, f"{self.path}/_ledger")
+
+    def _read(self, places: list[str]) -> DataFrame | None:
+        return self.spark.read.parquet(*places) if places else None
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.place) if self.place else None
+        return self._read(list(self.ledger.last().get("places", {}).values()))
 
-    def apply(self, batch: DataFrame, _batch_id: int = 0) -> None:
-        """Only keys that the batch has are worked out anew; replaying a batch changes nothing."""
-        if batch.isEmpty():
+    def apply(self, batch: DataFrame, batch_id: int | None = None) -> None:
+        """Only keys that the batch has are worked out anew; rows already there win over others with the same key and sequence."""
+        state = self.ledger.last()
+        places = state.get("places", {})
+        if batch_id is not None and batch_id <= state.get("batch", -1):
+            return
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]
+        if not touched:
             return
-        before = self.read()
         columns = batch.columns
+        before = self._read([places[str(b)] for b in touched if str(b) in places])
         if before is None:
             out = history(batch, self.keys, self.sequence)
         else:
-            touched = before.join(batch.select(*self.keys).distinct(), self.keys, "left_semi").select(*columns)
-            # rows already there win over a replay with the same sequence
-            fresh = batch.join(touched, [*self.keys, self.sequence], "left_anti")
-            out = before.join(batch.select(*self.keys).distinct(), self.keys, "left_anti").unionByName(history(touched.unionByName(fresh), self.keys, self.sequence))
-        self.place = rewrite(self.spark, self.path, out)
+            mine = batch.select(*self.keys).distinct()
+            old = before.join(mine, self.keys, "left_semi").select(*columns)
+            fresh = batch.join(old, [*self.keys, self.sequence], "left_anti")
+            out = before.join(mine, self.keys, "left_anti").unionByName(history(old.unionByName(fresh), self.keys, self.sequence))
+        place = f"{self.path}/v={uuid.uuid4().hex}"
+        out.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(place)
+        self.ledger.put({"batch": state.get("batch", -1) if batch_id is None else batch_id, "places": places | {str(b): f"{place}/_bucket={b}" for b in touched}})
 
     def follow(self, stream: DataFrame, checkpoint: str) -> None:
         stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
+    def refresh(self, stream: DataFrame, checkpoint: str) -> None:
+        """Full refresh: forget all that was read and kept, and follow the stream from its beginning."""
+        forget(self.spark, checkpoint)
+        self.ledger.put({})
+        self.follow(stream, checkpoint)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a checkpoint or a table's files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def refill(spark: SparkSession, stream: DataFrame, checkpoint: str, path: str) -> None:
+    """Full refresh of a drained table: its files and its checkpoint go, and all that is there is read again."""
+    forget(spark, checkpoint)
+    forget(spark, path)
+    drain(stream, checkpoint, path)
+
+
+def current_stream(stream: DataFrame, table: HistoryTable, checkpoint: str, deleted: Column | None = None, without: tuple[str, ...] = ()) -> DataFrame:
+    """Slowly changing dimension of type 1 with deletions, kept by a stream: each key's last version, late rows in their place, unless it is a deletion."""
+    table.follow(stream, checkpoint)
+    rows = table.read().where(F.col("__END_AT").isNull())
+    return (rows.where(~F.coalesce(deleted, F.lit(False))) if deleted is not None else rows).drop("__START_AT", "__END_AT", *without)
+
 
 def windowed_counts(events: DataFrame, time: str = "ts", key: str = "event_type", width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts by window and key; events later than the watermark are left out.  An extension: the marts need no windows."""
