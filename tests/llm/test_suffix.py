@@ -98,12 +98,13 @@ def test_msd_groups(data, starts):
                 assert (group[i] == group[j]) == (windows[i] == windows[j])
 
 
-@pytest.mark.parametrize("few", [0, 20_000])
-def test_common_anchors_are_dealt_out_by_their_windows(spark, monkeypatch, few):
+@pytest.mark.parametrize("few,hot", [(0, 1), (20_000, 8), (20_000, 2_000)])
+def test_common_anchors_are_dealt_out_by_their_neighbours(spark, monkeypatch, few, hot):
     for name, value in {"SAMPLED": 1, "COMMON": 2, "SALTS": 3, "FEW_WINDOWS": few}.items():
         monkeypatch.setattr(suffix, name, value)
-    texts = made(3) | {900 + i: "the same licence line before all of them, " + f"text {i * 37}" for i in range(60)}
-    assert found(spark, texts, 20) == brute(texts, 20)
+    texts = made(3) | {700 + i: f"{i * 91} before: " + "a sentence that many texts share, of some length, with other words on both sides of it" + f" after: {i * 53}" for i in range(40)} | {900 + i: "the same licence line before all of them, " + f"text {i * 37}" for i in range(60)}
+    assert found(spark, texts, 20, hot=hot) == brute(texts, 20)
+    assert found(spark, texts, 60, hot=hot) == brute(texts, 60)
 
 
 def test_columns_with_the_names_of_steps_are_kept(spark):

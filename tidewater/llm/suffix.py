@@ -18,7 +18,9 @@ goes by most significant digits, and its first digits deal the work out:
    left.  Their bytes are fetched and sorted, eight bytes to a digit, from the
    most significant on; groups of one drop out of each pass
    (:func:`msd_groups`).  An anchor with more than ``hot`` contexts is dealt
-   out once more, by the digits of its windows.
+   out once more, by the eight bytes on either side of it; windows that don't
+   reach so far, and contexts that share these bytes with more than ``hot`` others,
+   by the hashes of the windows' halves.
 
 Gram and context digits are 64-bit hashes each, so that two spans count as equal
 only if both 64-bit values agree.
@@ -132,7 +134,7 @@ def msd_groups(data: np.ndarray, starts: np.ndarray, group: np.ndarray, threshol
 
 
 A_SCHEMA = "a long, c long, doc long, at long, dup boolean"
-X_SCHEMA = "a long, doc long, lo long, back int, ctx binary, hot boolean"
+X_SCHEMA = "a long, doc long, lo long, back int, ctx binary, hot boolean, key long"
 R_SCHEMA = "doc long, lo long, hi long"
 
 
@@ -181,7 +183,7 @@ def _combined(held: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(at), pa.array(dup)], names=["a", "c", "doc", "at", "dup"])
 
 
-def _emit_contexts(threshold: int):
+def _emit_contexts(threshold: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", SEGMENT * 4):
             buf, offs = flat(block.column(1))
@@ -197,13 +199,26 @@ def _emit_contexts(threshold: int):
             ctx = pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary())
             back = (flat_found.field(1).to_numpy()[ok] >> 12) & 4095
             is_hot = flat_found.field(2).to_numpy(zero_copy_only=False)[ok]
-            out = [pa.array(flat_found.field(0).to_numpy()[ok]), pa.array(ids[rows]), pa.array(lo - offs[rows]), pa.array(back.astype(np.int32)), ctx, pa.array(is_hot)]
+            out = [pa.array(flat_found.field(0).to_numpy()[ok]), pa.array(ids[rows]), pa.array(lo - offs[rows]), pa.array(back.astype(np.int32)), ctx, pa.array(is_hot), pa.array(_beside(buf, lo + back, gram, flat_found.field(0).to_numpy()[ok]))]
             for at in range(0, len(rows), 50_000):
-                yield pa.RecordBatch.from_arrays([x.slice(at, 50_000) for x in out], names=["a", "doc", "lo", "back", "ctx", "hot"])
+                yield pa.RecordBatch.from_arrays([x.slice(at, 50_000) for x in out], names=["a", "doc", "lo", "back", "ctx", "hot", "key"])
 
     return run
 
 
+def _beside(buf: np.ndarray, m: np.ndarray, gram: int, a: np.ndarray) -> np.ndarray:
+    """A hash of an anchor and the eight bytes on either side of it."""
+    last = max(len(buf) - 8, 0)
+    left, right = (windows_of(buf, np.clip(x, 0, last), 8, 0) if len(m) else np.zeros(0, np.uint64) for x in (m - 8, m + gram))
+    return mix64(mix64(a.view(np.uint64) + left * U64(BASE)) + right).view(np.int64)
+
+
+def _inner(back: np.ndarray, step: np.ndarray, threshold: int, gram: int) -> np.ndarray:
+    """Windows that reach eight bytes at least beyond their anchor on both sides."""
+    left = back - step
+    return (left >= 8) & (threshold - gram - left >= 8)
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, least: int) -> Iterator[pa.Table]:
     """Tables of about ``least`` rows that never split a run of equal keys; the input is sorted by the key."""
     held: list[pa.RecordBatch] = []
@@ -225,7 +240,9 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: int, least: int) -> It
         yield pa.Table.from_batches(held)
 
 
-def _sort_buckets(threshold: int):
+def _sort_buckets(threshold: int, inner: int = 0):
+    """Runs of windows that also start earlier in their bucket, the first column; with ``inner`` (a gram's length), of inner windows only."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, 0, 8_000):
             a, doc, lo, back = (table.column(i).to_numpy() for i in range(4))
@@ -233,6 +250,9 @@ def _sort_buckets(threshold: int):
             n = np.diff(offs) - threshold + 1  # windows of each context
             rows = np.repeat(np.arange(len(a)), n)
             step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+            if inner:
+                stay = _inner(back[rows], step, threshold, inner)
+                rows, step = rows[stay], step[stay]
             starts = offs[rows] + step
             # windows at different distances before the anchor can't be equal
             bucket = _bucket(a[rows], back[rows] - step)
@@ -264,17 +284,20 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(start[first]), pa.array(start[last])], names=["doc", "lo", "hi"])
 
 
-def _emit_windows(threshold: int):
-    """Every window of hot contexts under the hashes of its two halves, the digits it is dealt out by."""
+def _emit_windows(threshold: int, gram: int):
+    """Windows of hot contexts under the hashes of their two halves, the digits they are dealt out by: all of a context whose neighbours are common too, else those that aren't inner."""
     half = threshold // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "ctx", SEGMENT // 4):
-            doc, lo = block.column(1).to_numpy(), block.column(2).to_numpy()
+            doc, lo, back = (block.column(i).to_numpy() for i in (1, 2, 3))
+            every = block.column(5).to_numpy(zero_copy_only=False)
             data, offs = flat(block.column(4))
             n = np.diff(offs) - threshold + 1
             rows = np.repeat(np.arange(len(doc)), n)
             step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+            stay = every[rows] | ~_inner(back[rows], step, threshold, gram)
+            rows, step = rows[stay], step[stay]
             starts = offs[rows] + step
             sums = Prefix(BYTE_VALUE[data])
             h1, h2 = (mix64(sums.span(starts + x, starts + y)).view(np.int64) for x, y in ((0, half), (half, threshold)))
@@ -326,10 +349,15 @@ def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = N
     whole = kept.where("covered").select("doc", (m - back).alias("lo"), (m - back + more).alias("hi"))
     open_rows = kept.where("not covered")
     asked = open_rows.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("a", "at", (F.col("kinds") > hot).alias("hot"))).alias("found"))
-    contexts = texts.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found").mapInArrow(tidy(_emit_contexts(threshold)), X_SCHEMA)
+    contexts = texts.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found").mapInArrow(tidy(_emit_contexts(threshold, gram)), X_SCHEMA)
     if open_rows.where(F.col("kinds") > hot).limit(1).count():
         contexts = written(contexts)
-        wide = written(contexts.where("hot").mapInArrow(tidy(_emit_windows(threshold)), "h1 long, h2 long, doc long, p long"))
+        # of a hot anchor's windows, those beyond eight bytes on both sides are dealt out by these bytes, a row a context; the few others, and all of contexts whose neighbours are hot again, a row a window
+        again = contexts.where("hot").groupBy("key").count().where(F.col("count") > hot).orderBy(F.desc("count"), "key").limit(MOST_COMMON).select(F.col("key").alias("_key"))
+        flagged = contexts.where("hot").join(F.broadcast(again), F.col("key") == F.col("_key"), "left").withColumn("every", F.col("_key").isNotNull())
+        wide = written(flagged.select("a", "doc", "lo", "back", "ctx", "every").mapInArrow(tidy(_emit_windows(threshold, gram)), "h1 long, h2 long, doc long, p long"))
+        beside = flagged.where("not every").select("key", "doc", "lo", "back", "ctx")
+        whole = whole.unionByName(beside.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_sort_buckets(threshold, gram)), R_SCHEMA))
         firsts = wide.groupBy("h1", "h2").agg(F.min(F.struct("doc", "p")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
         later = join_hot(wide, firsts, ["h1", "h2"], "rows", wide.count(), few=FEW_WINDOWS).where(F.struct("doc", "p") > F.col("first")).select("doc", "p")
         whole = whole.unionByName(later.mapInArrow(tidy(_merge_starts()), R_SCHEMA))
