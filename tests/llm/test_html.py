@@ -94,7 +94,7 @@ def plain_tree_texts(rows):
                 text = " ".join(e.text.split())
                 blocks.append((path, text))
                 for k in range(1, len(path) + 1):
-                    nodes[path[:k]]["texts"].setdefault(text, set()).add(key)
+                    nodes[path[:k]]["texts"].setdefault((path, text), set()).add(key)
             for c in e:
                 walk(c, path)
                 own["h1"] |= c.tag == "h1" or nodes[(*path, ".".join([c.tag, *sorted((c.get("class") or "").split())]))]["h1"]
@@ -111,7 +111,7 @@ def plain_tree_texts(rows):
             styles = Counter(map(tuple, x["styles"].values()))
             presentation = -sum(n / m * math.log(n / m) for n in styles.values()) / math.log(m)
             importance = {t: 1 - math.log(len(on)) / math.log(m) for t, on in x["texts"].items()}
-            information = sum(len(t.split()) * len(on) * importance[t] for t, on in x["texts"].items()) / m
+            information = sum(len(t[1].split()) * len(on) * importance[t] for t, on in x["texts"].items()) / m
             told[path] = presentation, sum(importance.values()) / len(importance), information
         for path, (presentation, content, information) in told.items():
             beside = max((told[q][2], not nodes[q]["plain"]) for q in told if q[:-1] == path[:-1])

@@ -10,7 +10,8 @@ their text if that is more than ten times as long.
 
 *Presentation importance* of a node is the entropy of its child sequences, 1 if
 every page has another one.  *Content importance* is the mean over its distinct
-texts of 1 - log n / log m, for a text on n of the node's m pages.  A node's
+texts of 1 - log n / log m, for a text that n of the node's m pages have at one
+place below it.  A node's
 *information* is the number of words a page has there, each weighted by its text's
 importance.  What is cut from every page of the host, on nodes of enough pages:
 
@@ -274,7 +275,7 @@ def _signed(text: str) -> int:
 
 
 def _features(declared: bool):
-    """What every distinct page adds to its host's tree: texts (their words as size), child sequences, parents and flags."""
+    """What every distinct page adds to its host's tree: marks, texts of the innermost node they are in (their words as size) and child sequences; and, once for all pages at hand, nodes' parents and flags and what is above a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "html", 4 << 20):
@@ -287,14 +288,16 @@ def _features(declared: bool):
                 mark = _signed(own if 10 * len(own) >= len(whole) else whole)
                 seen = set()
                 for b in found:
-                    text, size = _signed(b.text), b.text.count(" ") + 1
+                    leaf = b.paths[-1] if b.paths else 0  # 0 stands above all elements
+                    rows.add((host, leaf, "c", _signed(b.text), b.text.count(" ") + 1, mark))
+                    rows.update((host, leaf, "a", p, 0, 0) for p in b.paths)
                     seen.update(b.paths)
-                    rows.update((host, p, "c", text, size, mark) for p in b.paths)
                 for p in seen:
                     parent, flags, children = styles[p]
+                    rows.add((host, p, "m", 0, 0, mark))
                     rows.add((host, p, "s", _signed(" ".join(children)), 0, mark))
-                    rows.add((host, p, "p", parent, 0, mark))
-                    rows.add((host, p, "f", flags, 0, mark))
+                    rows.add((host, p, "p", parent, 0, 0))
+                    rows.add((host, p, "f", flags, 0, 0))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["host", "path", "kind", "feature", "size", "page"])
@@ -314,17 +317,23 @@ def style_tree(pages: DataFrame, declared: bool = True) -> DataFrame:
     each = rows.groupBy("host", "path", "kind", "feature", "size").agg(F.countDistinct("page").alias("n"))
     ln, word = F.log(F.col("n").cast("double")), F.col("kind") == "c"
     # copies of a page can have several styles, or flags, at a node
-    node = each.groupBy("host", "path").agg(
+    own = each.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == "p", F.col("feature"))).alias("parent"),
         F.bit_or(F.when(F.col("kind") == "f", F.col("feature"))).alias("flags"),
-        F.sum(F.when(F.col("kind") == "p", F.col("n"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == "m", F.col("n"))).alias("pages"),
         F.sum(F.when(F.col("kind") == "s", F.col("n"))).alias("seen"),
         F.sum(F.when(F.col("kind") == "s", F.col("n") * ln)).alias("styles"),
         F.sum(F.when(word, ln)).alias("texts"),
         F.sum(F.when(word, 1)).alias("distinct"),
         F.sum(F.when(word, F.col("size") * F.col("n"))).alias("words"),
         F.sum(F.when(word, F.col("size") * F.col("n") * ln)).alias("common"),
+        F.collect_set(F.when(F.col("kind") == "a", F.col("feature"))).alias("above"),
     )
+    own = written(own)
+    # a text counts at its place and at all nodes above
+    sums = ("texts", "distinct", "words", "common")
+    below = own.where("distinct > 0").select("host", F.explode("above").alias("path"), *sums).groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in sums])
+    node = own.drop(*sums, "above").join(below, ["host", "path"])
     scale = F.log(F.col("pages").cast("double"))
     presentation = F.greatest(F.least((F.log(F.col("seen").cast("double")) - F.col("styles") / F.col("seen")) / scale, F.lit(1.0)), F.lit(0.0))
     content = 1 - F.least(F.col("texts") / F.col("distinct") / scale, F.lit(1.0))
