@@ -98,6 +98,23 @@ def test_msd_groups(data, starts):
                 assert (group[i] == group[j]) == (windows[i] == windows[j])
 
 
+def test_pieces_hold_each_window_once():
+    import pyarrow as pa
+
+    n, gram, r = 20, 8, np.random.default_rng(1)
+    sizes, backs = [31, 24, 20, 28], [12, 9, 0, 11]
+    texts = [bytes(r.integers(97, 99, k).astype(np.uint8)) for k in sizes]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 4), pa.array(range(4)), pa.array([5] * 4), pa.array(backs, pa.int32()), pa.array(texts, pa.binary()), pa.array([True] * 4)], names=["a", "doc", "lo", "back", "ctx", "every"])
+    rows = [x for b in suffix._emit_pieces(n, gram, 3)(iter([batch])) for x in b.to_pylist()]
+    held = [(x["doc"], x["lo"] + i, x["back"] - i, x["key"]) for x in rows for i in range(len(x["ctx"]) - n + 1)]
+    assert sorted(h[:2] for h in held) == [(d, 5 + i) for d in range(4) for i in range(sizes[d] - n + 1)]
+    assert all(x["ctx"] == texts[x["doc"]][x["lo"] - 5 :][: len(x["ctx"])] for x in rows)
+    # equal windows at one distance are under one key
+    keys = {}
+    for d, p, left, key in held:
+        assert keys.setdefault((texts[d][p - 5 : p - 5 + n], left), key) == key
+
+
 @pytest.mark.parametrize("few,hot", [(0, 1), (20_000, 8), (20_000, 2_000)])
 def test_common_anchors_are_dealt_out_by_their_neighbours(spark, monkeypatch, few, hot):
     for name, value in {"SAMPLED": 1, "COMMON": 2, "SALTS": 3, "FEW_WINDOWS": few}.items():

@@ -18,9 +18,12 @@ goes by most significant digits, and its first digits deal the work out:
    left.  Their bytes are fetched and sorted, eight bytes to a digit, from the
    most significant on; groups of one drop out of each pass
    (:func:`msd_groups`).  An anchor with more than ``hot`` contexts is dealt
-   out once more, by the eight bytes on either side of it; windows that don't
+   out once more, by the eight bytes on either side of it.  Windows that don't
    reach so far, and contexts that share these bytes with more than ``hot`` others,
-   by the hashes of the windows' halves.
+   go by pieces: some neighbouring windows of a context, under the bytes that all
+   of these have in common.  Equal pieces are equal groups at once; only of pieces
+   that are still more than ``hot`` under one key each window goes by the hashes of
+   its halves.
 
 Gram and context digits are 64-bit hashes each, so that two spans count as equal
 only if both 64-bit values agree.
@@ -35,6 +38,7 @@ and never a source (they have no place in the order).  Columns other than
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +139,7 @@ def msd_groups(data: np.ndarray, starts: np.ndarray, group: np.ndarray, threshol
 
 A_SCHEMA = "a long, c long, doc long, at long, dup boolean"
 X_SCHEMA = "a long, doc long, lo long, back int, ctx binary, hot boolean, key long"
+P_SCHEMA = "key long, u long, doc long, lo long, back int, ctx binary"
 R_SCHEMA = "doc long, lo long, hi long"
 
 
@@ -284,9 +289,14 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(start[first]), pa.array(start[last])], names=["doc", "lo", "hi"])
 
 
-def _emit_windows(threshold: int, gram: int):
-    """Windows of hot contexts under the hashes of their two halves, the digits they are dealt out by: all of a context whose neighbours are common too, else those that aren't inner."""
-    half = threshold // 2
+def _emit_pieces(threshold: int, gram: int, size: int):
+    """Windows of hot contexts in pieces: those of a context whose anchor is ``size * k`` to ``size * (k + 1) - 1`` bytes from their start.
+
+    ``key`` is a hash of the bytes that all windows of such a piece have in common,
+    ``u`` one of all its bytes.  Inner windows are left out unless the context's
+    neighbours are common too.
+    """
+    last = threshold - gram  # the greatest distance
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "ctx", SEGMENT // 4):
@@ -298,6 +308,38 @@ def _emit_windows(threshold: int, gram: int):
             step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
             stay = every[rows] | ~_inner(back[rows], step, threshold, gram)
             rows, step = rows[stay], step[stay]
+            if not len(rows):
+                continue
+            nth = (back[rows] - step) // size
+            head = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (nth[1:] != nth[:-1]) | (step[1:] != step[:-1] + 1)])
+            tail = np.r_[head[1:], len(rows)] - 1
+            of, nth = rows[head], nth[head].astype(np.int64)
+            start, end = offs[of] + step[head], offs[of] + step[tail] + threshold
+            m = offs[of] + back[of]
+            sums = Prefix(BYTE_VALUE[data])
+            key = mix64(sums.span(m - nth * size, m + threshold - np.minimum(nth * size + size - 1, last)) + nth.astype(np.uint64) * U64(BASE))
+            left = back[of] - step[head]
+            u = mix64(sums.span(start, end) + (left.astype(np.int64) * 4096 + end - start).astype(np.uint64) * U64(BASE))
+            raw = data.tobytes()
+            ctx = pa.array([raw[x:y] for x, y in zip(start.tolist(), end.tolist(), strict=True)], pa.binary())
+            out = [pa.array(key.view(np.int64)), pa.array(u.view(np.int64)), pa.array(doc[of]), pa.array(lo[of] + step[head]), pa.array(left.astype(np.int32)), ctx]
+            for at in range(0, len(of), 50_000):
+                yield pa.RecordBatch.from_arrays([x.slice(at, 50_000) for x in out], names=["key", "u", "doc", "lo", "back", "ctx"])
+
+    return run
+
+
+def _emit_windows(threshold: int):
+    """Every window of crowded pieces under the hashes of its two halves, the digits it is dealt out by."""
+    half = threshold // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "ctx", SEGMENT // 4):
+            doc, lo = block.column(1).to_numpy(), block.column(2).to_numpy()
+            data, offs = flat(block.column(4))
+            n = np.diff(offs) - threshold + 1
+            rows = np.repeat(np.arange(len(doc)), n)
+            step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
             starts = offs[rows] + step
             sums = Prefix(BYTE_VALUE[data])
             h1, h2 = (mix64(sums.span(starts + x, starts + y)).view(np.int64) for x, y in ((0, half), (half, threshold)))
@@ -323,6 +365,11 @@ def _common_anchors(texts: DataFrame, threshold: int, gram: int) -> DataFrame:
     return texts.sparkSession.createDataFrame([(r["a"],) for r in own], "_a long")
 
 
+def _crowded(rows: DataFrame, hot: int) -> DataFrame:
+    """(_key) of keys with more than ``hot`` rows, MOST_COMMON at most; it only says how rows are dealt out."""
+    return rows.groupBy("key").count().where(F.col("count") > hot).orderBy(F.desc("count"), "key").limit(MOST_COMMON).select(F.col("key").alias("_key"))
+
+
 def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = None, hot: int = 2_000) -> DataFrame:
     """(doc, lo, hi): first and last start of runs of windows that also start earlier in ``docs`` (doc_id, text).
 
@@ -352,12 +399,22 @@ def repeated_windows(docs: DataFrame, threshold: int = 100, gram: int | None = N
     contexts = texts.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found").mapInArrow(tidy(_emit_contexts(threshold, gram)), X_SCHEMA)
     if open_rows.where(F.col("kinds") > hot).limit(1).count():
         contexts = written(contexts)
-        # of a hot anchor's windows, those beyond eight bytes on both sides are dealt out by these bytes, a row a context; the few others, and all of contexts whose neighbours are hot again, a row a window
-        again = contexts.where("hot").groupBy("key").count().where(F.col("count") > hot).orderBy(F.desc("count"), "key").limit(MOST_COMMON).select(F.col("key").alias("_key"))
+        # of a hot anchor's windows, those beyond eight bytes on both sides are dealt out by these bytes, a row a context; the others, and all of contexts whose neighbours are hot again, by pieces
+        again = _crowded(contexts.where("hot"), hot)
         flagged = contexts.where("hot").join(F.broadcast(again), F.col("key") == F.col("_key"), "left").withColumn("every", F.col("_key").isNotNull())
-        wide = written(flagged.select("a", "doc", "lo", "back", "ctx", "every").mapInArrow(tidy(_emit_windows(threshold, gram)), "h1 long, h2 long, doc long, p long"))
         beside = flagged.where("not every").select("key", "doc", "lo", "back", "ctx")
         whole = whole.unionByName(beside.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_sort_buckets(threshold, gram)), R_SCHEMA))
+        size = max(1, isqrt(threshold - gram + 1))
+        pieces = written(flagged.select("a", "doc", "lo", "back", "ctx", "every").mapInArrow(tidy(_emit_pieces(threshold, gram, size)), P_SCHEMA))
+        # all windows of a piece that starts earlier too are covered; the first ones tell the rest
+        heads = written(pieces.groupBy("key", "u").agg(F.min(F.struct("doc", "lo", "back", "ctx")).alias("first"), F.count(F.lit(1)).alias("rows")))
+        firsts = heads.where("rows > 1").select("key", "u", F.struct("first.doc", "first.lo").alias("first"), "rows")
+        places = pieces.select("key", "u", "doc", "lo", (F.col("lo") + F.octet_length("ctx") - threshold).alias("hi"))
+        whole = whole.unionByName(join_hot(places, firsts, ["key", "u"], "rows", places.count(), few=FEW_WINDOWS).where(F.struct("doc", "lo") > F.col("first")).select("doc", "lo", "hi"))
+        dealt = heads.select("key", "first.*").join(F.broadcast(_crowded(heads, hot)), F.col("key") == F.col("_key"), "left")
+        few = dealt.where("_key IS NULL").select("key", "doc", "lo", "back", "ctx")
+        whole = whole.unionByName(few.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_sort_buckets(threshold)), R_SCHEMA))
+        wide = written(dealt.where("_key IS NOT NULL").select("key", "doc", "lo", "back", "ctx").mapInArrow(tidy(_emit_windows(threshold)), "h1 long, h2 long, doc long, p long"))
         firsts = wide.groupBy("h1", "h2").agg(F.min(F.struct("doc", "p")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
         later = join_hot(wide, firsts, ["h1", "h2"], "rows", wide.count(), few=FEW_WINDOWS).where(F.struct("doc", "p") > F.col("first")).select("doc", "p")
         whole = whole.unionByName(later.mapInArrow(tidy(_merge_starts()), R_SCHEMA))
