@@ -55,14 +55,15 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_the_library_stands_without_its_optional_part(tmp_path):
-    """A copy without the corpus operators still imports, with all other queries."""
+@pytest.mark.parametrize("gone", [("llm", "corpus_pipeline.py"), ("llm",)])
+def test_the_library_stands_without_its_optional_part(tmp_path, gone):
+    """A copy without the corpus operators, with or without their pipeline, still imports, with all other queries."""
     import os
     import shutil
     import subprocess
     import sys
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", "tests"))
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", *gone, "__pycache__", "tests"))
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), sum(k.startswith('op') and k[2].isdigit() for k in e.queries()))"], cwd=tmp_path / "repo", capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
     assert out.stdout.split() == [str(len(q.QUERIES)), "0"], out.stderr
