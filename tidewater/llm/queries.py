@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import decontaminate, html, jaccard, labelled, lm, media, packing, quality, suffix, toxicity, urlrules
+from . import changepoints, decontaminate, fim, html, jaccard, labelled, lm, media, neardup, packing, quality, suffix, toxicity, urlrules
 from .tables import table
 
 
@@ -78,6 +78,21 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return out.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
+def op11_penalised_change_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = table(spark, sf_dir, "sale_lines").where("flag = 'kept'").select("vendor_id", "quantity", "shipped_at")
+    return changepoints.change_points(taken, "vendor_id", F.col("shipped_at"), F.col("quantity"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    chars = [F.char_length(c).cast("long").alias(f"{c}_chars") for c in ("prefix", "middle")]
+    return out.select("doc_id", F.col("n_tokens").alias("n"), "form", *chars, F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +115,9 @@ QUERIES = {
         op8_media_columns,
         op9_toxicity,
         op10_benchmark_decontamination,
+        op11_penalised_change_points,
+        op12_fill_in_middle,
+        op13_embedding_near_dedup,
     )
 }
 
@@ -155,4 +173,47 @@ hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(ge
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    # best[j + 1] holds, of the best cut of the first j days, its cost, number of segments and last segment's start; -1 where none can end
+    "op11_penalised_change_points": """
+WITH RECURSIVE daily AS (SELECT vendor_id, datediff('day', DATE '1970-01-01', shipped_at::DATE) AS d, sum(quantity)::HUGEINT AS q
+  FROM sale_lines WHERE flag = 'kept' AND quantity IS NOT NULL AND shipped_at IS NOT NULL GROUP BY ALL),
+spans AS (SELECT vendor_id, min(d) AS a, max(d) AS b FROM daily GROUP BY vendor_id),
+days AS (SELECT vendor_id, unnest(generate_series(a, b)) AS d FROM spans),
+sums AS (SELECT t.vendor_id, t.d, sum(coalesce(q, 0)) OVER w AS s, sum(coalesce(q * q, 0)) OVER w AS r
+  FROM days t LEFT JOIN daily x ON x.vendor_id IS NOT DISTINCT FROM t.vendor_id AND x.d = t.d WINDOW w AS (PARTITION BY t.vendor_id ORDER BY t.d ROWS UNBOUNDED PRECEDING)),
+series AS (SELECT vendor_id, min(d) AS a, count(*) AS n, list_prepend(0::HUGEINT, list(s::HUGEINT ORDER BY d)) AS s, list_prepend(0::HUGEINT, list(r::HUGEINT ORDER BY d)) AS r FROM sums GROUP BY vendor_id),
+cut AS (
+  SELECT vendor_id, a, n, s, r, 0::BIGINT AS j, [{'c': 0::HUGEINT, 'k': 0::BIGINT, 'i': 0::BIGINT}] AS best FROM series
+  UNION ALL
+  SELECT vendor_id, a, n, s, r, j + 1, list_append(best, CASE WHEN j + 1 = n OR (j + 1 >= 7 AND n - j - 1 >= 7) THEN list_min(list_transform(
+    list_filter(generate_series(0, j), lambda i: best[i + 1].c >= 0 AND (j + 1 - i >= 7 OR (i = 0 AND j + 1 = n))),
+    lambda i: {'c': best[i + 1].c + CASE WHEN i > 0 THEN 20000 ELSE 0 END + ((j + 1 - i) * floor(1000 * ln((1 + ((j + 1 - i) * (r[j + 2] - r[i + 1]) - (s[j + 2] - s[i + 1]) * (s[j + 2] - s[i + 1])) // ((j + 1 - i) * (j + 1 - i)))::DOUBLE))::BIGINT)::HUGEINT,
+      'k': best[i + 1].k + 1, 'i': i})) ELSE {'c': (-1)::HUGEINT, 'k': 0::BIGINT, 'i': 0::BIGINT} END)
+  FROM cut WHERE j < n),
+whole AS (SELECT vendor_id, a, s, r, n, best, best[n + 1].c AS best_cost, best[n + 1].k AS n_segments FROM cut WHERE j = n),
+back AS (
+  SELECT *, n AS e, best[n + 1].i AS i, n_segments AS segment_no FROM whole
+  UNION ALL
+  SELECT * EXCLUDE (e, i, segment_no), i, best[i + 1].i, segment_no - 1 FROM back WHERE i > 0),
+pieces AS (SELECT *, (e - i)::HUGEINT AS m, s[e + 1] - s[i + 1] AS t, r[e + 1] - r[i + 1] AS q FROM back),
+told AS (SELECT *, (1 + (m * q - t * t) // (m * m))::BIGINT AS v FROM pieces)
+SELECT vendor_id, segment_no::INT AS segment_no, (a + i)::BIGINT AS first_day, m::BIGINT AS n_days, t::BIGINT AS total, v AS spread,
+  (m * floor(1000 * ln(v::DOUBLE))::BIGINT)::BIGINT AS cost, n_segments::BIGINT AS n_segments, best_cost::BIGINT AS best_cost FROM told""",
+    "op12_fill_in_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS h FROM d),
+c AS (SELECT *, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, t, form, len(u) AS n, array_to_string(u[1:a], '') AS x, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(x)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || x || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""",
+    "op13_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN l ON l.x = r.y),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN least ON least.x = vec_id LEFT JOIN n ON n.x = vec_id""",
 }
