@@ -11,7 +11,7 @@ from tidewater.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "sale_lines", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
     df = queries.QUERIES[name](spark, DATA)
     got = sorted(tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect())
