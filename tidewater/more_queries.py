@@ -132,6 +132,22 @@ def territory_row_filter(ctx: Context) -> DataFrame:
     return governance.read_as(ctx, "accounts", ANALYST, POLICY, _mapping(ctx)).select("account_id", "territory_id")
 
 
+#: Tags of source columns only: what was made from them is found by lineage.
+SOURCE_TAGS = [("crm_accounts", "account_name", "free_text"), ("erp_customers", "customer_name", "free_text"), ("erp_customers", "payment_contact_email", "email"), ("crm_accounts", "territory_id", "territory")]
+
+
+def policy_account_health(ctx: Context) -> DataFrame:
+    """A mart as an analyst sees it when only its sources are tagged."""
+    policy = governance.policy_from_lineage(ctx, ["gold_account_health"], SOURCE_TAGS)
+    return governance.read_as(ctx, "gold_account_health", ANALYST, policy, _mapping(ctx)).select("customer_sk", "company_name", "country", "health_tier")
+
+
+def policy_accounts(ctx: Context) -> DataFrame:
+    """Accounts of an analyst's territories, their names masked, by tags of the sources."""
+    policy = governance.policy_from_lineage(ctx, ["accounts"], SOURCE_TAGS)
+    return governance.read_as(ctx, "accounts", ANALYST, policy, _mapping(ctx)).select("account_id", "account_name", "territory_id", "region")
+
+
 def fiscal_calendar(ctx: Context) -> DataFrame:
     days = ctx.read("orders").select(F.col("o_orderdate").cast("date").alias("date_key")).distinct()
     return days.select("date_key", c.fiscal_year("date_key").alias("fiscal_year"), c.fiscal_quarter("date_key").alias("fiscal_quarter"), c.fiscal_period("date_key").alias("fiscal_period"), c.is_weekend("date_key").alias("is_weekend"))
@@ -228,7 +244,7 @@ def stream_event_counts(ctx: Context) -> DataFrame:
 
 BUILDS = {f.__name__: f for f in (
     doc_pii_mask, doc_addresses, doc_token_estimate, doc_chunks, doc_metadata, doc_contract_type, vector_topk, keyword_topk, hybrid_topk, answer_scores, eval_gates, retrieval_scores, actionable_accounts, proposals,
-    masked_customers, finance_customers, masked_cases, territory_row_filter, fiscal_calendar, dq_expectations, dq_unique_key, dq_row_count_band, fifo_allocation, golden_customers, product_current,
+    masked_customers, finance_customers, masked_cases, territory_row_filter, policy_account_health, policy_accounts, fiscal_calendar, dq_expectations, dq_unique_key, dq_row_count_band, fifo_allocation, golden_customers, product_current,
     merge_upsert, merge_soft_delete, merge_scoped_delete, contract_amendments, registry_lineage, stream_event_counts,
 )}
 
@@ -327,6 +343,8 @@ SELECT l_orderkey, CASE WHEN len(want) > 0 THEN round(len(list_distinct(hits)) /
     "actionable_accounts": with_relations(f"SELECT account_id, {_P} AS priority, CASE WHEN {_P} = 'P1' THEN 'csm_escalation' ELSE 'dunning_email' END AS action_type, {_SIGNAL} AS signal, left(sha256(account_id || '::run-1'), 24) AS action_id FROM ({_MONITORED})"),
     "masked_customers": with_relations("SELECT customer_id, '****@' || split_part(payment_contact_email, '@', 2) AS payment_contact_email, '***-***-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4) AS phone, '***-**-' || right(tax_id, 4) AS tax_id, batch FROM erp_customers"),
     "finance_customers": with_relations("SELECT customer_id, '****@' || split_part(payment_contact_email, '@', 2) AS payment_contact_email, '***-***-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4) AS phone, tax_id, batch FROM erp_customers"),
+    "policy_account_health": with_relations("SELECT customer_sk, CASE WHEN company_name IS NOT NULL THEN '[REDACTED]' END AS company_name, country, health_tier FROM gold_account_health"),
+    "policy_accounts": with_relations("SELECT account_id, CASE WHEN account_name IS NOT NULL THEN '[REDACTED]' END AS account_name, territory_id, region FROM accounts WHERE territory_id IN ('T1', 'T7')"),
     "masked_cases": with_relations("SELECT case_id, CASE WHEN subject_text IS NOT NULL THEN '[REDACTED]' END AS subject_text, CASE WHEN description_text IS NOT NULL THEN '[REDACTED]' END AS description_text FROM silver_case"),
     "territory_row_filter": with_relations("SELECT account_id, territory_id FROM accounts WHERE territory_id IN ('T1', 'T7')"),
     "fiscal_calendar": "SELECT DISTINCT o_orderdate::DATE AS date_key, year(o_orderdate) + CASE WHEN month(o_orderdate) >= 2 THEN 1 ELSE 0 END AS fiscal_year, 'FY' || (year(o_orderdate) + CASE WHEN month(o_orderdate) >= 2 THEN 1 ELSE 0 END) || '-Q' || ((((month(o_orderdate) + 10) % 12) // 3) + 1) AS fiscal_quarter, (month(o_orderdate) + 10) % 12 + 1 AS fiscal_period, isodow(o_orderdate) >= 6 AS is_weekend FROM orders",

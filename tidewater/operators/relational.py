@@ -65,7 +65,7 @@ def history(df: DataFrame, keys: list[str], sequence: str, start: str = "__START
     Rows may come in any order; of rows with the same key and sequence the greatest
     by their other columns stays.
     """
-    one = latest(df, [*keys, sequence], *[F.col(c).desc_nulls_last() for c in df.columns if c not in keys and c != sequence])
+    one = latest(df, [*keys, sequence], F.col(sequence), *[F.col(c).desc_nulls_last() for c in df.columns if c not in keys and c != sequence])
     return one.withColumn(start, F.col(sequence)).withColumn(end, F.lead(sequence).over(Window.partitionBy(*keys).orderBy(sequence)))
 
 

@@ -39,30 +39,41 @@ def _count(array: str, word: str) -> Column:
     return F.size(F.filter(array, lambda x: x == word))
 
 
+def asked_words(query: str) -> list[str]:
+    """A query's distinct words, sorted."""
+    return sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
+
+
 def _counted(chunks: DataFrame, query: str, text: str, *kept: Column | str) -> tuple[DataFrame, int]:
     """``kept`` columns, length in words and counts of the query's words (their number comes second) of every row."""
-    asked = sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
+    asked = asked_words(query)
     rows = chunks.select(*kept, words(F.coalesce(text, F.lit(""))).alias("_w"))
     own = [c for c in rows.columns if c != "_w"]
     return rows.select(*own, F.size("_w").alias("_n"), *[_count("_w", w).alias(f"_f{i}") for i, w in enumerate(asked)]), len(asked)
 
 
-def _bm25(counted: DataFrame, asked: int, k1: float = 1.2, b: float = 0.75) -> tuple[Column, Column]:
-    """Okapi BM25 of counted rows, and whether they have any of the words.  Document frequencies and the mean length come from one aggregation over all rows."""
+def bm25(counted: DataFrame, asked: int, rows: int | None = None, mean: float | None = None, k1: float = 1.2, b: float = 0.75) -> tuple[Column, Column]:
+    """Okapi BM25 of counted rows, and whether they have any of the words.
+
+    Document frequencies, and unless given the number of rows and their mean
+    length, come from one aggregation over the counted rows.
+    """
     s = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("_n").alias("mean"), *[F.sum((F.col(f"_f{i}") > 0).cast("int")).alias(f"d{i}") for i in range(asked)]).first()
+    n, mean = s["n"] if rows is None else rows, s["mean"] if mean is None else mean
     score = F.lit(0.0)
     for i in range(asked):
         d = s[f"d{i}"] or 0
-        idf = math.log(1 + (s["n"] - d + 0.5) / (d + 0.5))
+        idf = math.log(1 + (n - d + 0.5) / (d + 0.5))
         f = F.col(f"_f{i}")
-        score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_n") / max(s["mean"] or 0.0, 1e-9)))
+        score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("_n") / max(mean or 0.0, 1e-9)))
     return score, F.greatest(F.lit(0), F.lit(0), *[F.col(f"_f{i}") for i in range(asked)]) > 0
 
 
 def keyword_top(chunks: DataFrame, query: str, key: str, text: str, k: int = 5, where: Column | None = None, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """The k best by Okapi BM25."""
+    """The k best by Okapi BM25; the texts are read once, their counts are written."""
     counted, asked = _counted(chunks if where is None else chunks.where(where), query, text, key)
-    score, hit = _bm25(counted, asked, k1, b)
+    counted = written(counted)
+    score, hit = bm25(counted, asked, k1=k1, b=b)
     return top(counted.where(hit), score, key, k).select(key, "score", "rank")
 
 
@@ -85,7 +96,7 @@ def enough(lists: int, k: int, c: int = 60) -> int:
     return max(k, math.ceil(lists / gap) - c) if gap > 0 else (1 << 31) - 1
 
 
-def _ranks(scored: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+def ranks_among(scored: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """(key, rank) among all rows of ``scored`` (key, score) of those that ``wanted`` has.
 
     No row is shuffled: each counts how many wanted rows are before it, and of
@@ -107,14 +118,14 @@ def hybrid_top(chunks: DataFrame, vector_query: list[float], text_query: str, ke
     similar = F.when(F.col(vector).isNotNull(), F.round(cosine(vector, vector_query), 6)).alias("_v")
     counted, asked = _counted(chunks if where is None else chunks.where(where), text_query, text, key, similar)
     counted = written(counted)
-    score, hit = _bm25(counted, asked)
+    score, hit = bm25(counted, asked)
     lists = [counted.where("_v is not null").select(key, F.col("_v").alias("score")), counted.where(hit).select(key, F.round(score, 6).alias("score"))]
     wanted = None
     for one in lists:
         own = one.orderBy(F.desc("score"), key).limit(enough(len(lists), k)).select(key)
         wanted = own if wanted is None else wanted.unionByName(own)
     wanted = written(wanted.distinct())
-    return fuse([_ranks(one, wanted, key) for one in lists], key, k)
+    return fuse([ranks_among(one, wanted, key) for one in lists], key, k)
 
 
 def context(hits: DataFrame, file: str, page: str, text: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 
 #: Which side knows a customer: every 5th only the CRM; of the others every third is linked, every third shares name and domain, the rest are known to the ERP alone.
 _BOTH_NAMED = """

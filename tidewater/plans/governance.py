@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from . import lineage
 from .registry import Context, Principal
 
 # Groups that see clear values, or all territories.
@@ -38,6 +39,30 @@ class Policy:
         return cls(masks={(d, col): kind for d, col, kind in tags if kind in MASKS}, **rest)
 
 
+#: Masks from the strictest: what the fewest groups see comes first.
+STRICTEST = ["free_text", "tax_id", "phone", "email"]
+TERRITORY = "territory"
+
+
+def policy_from_lineage(ctx: Context, names: list[str], tags: list[tuple[str, str, str]], **rest) -> Policy:
+    """A policy for datasets from tags (dataset, column, kind) of base columns.
+
+    Tags follow the values of tagged columns through the plans of all datasets on
+    the way, the strictest wins; a column tagged ``territory`` makes every dataset
+    that carries its values filter rows by it.  Masks are for texts: a count or a
+    date made from a tagged column stays.
+    """
+    traced = Context(ctx.spark, ctx.source, ctx.as_of, traced=True)
+    edges = lineage.all_edges(traced, names)
+    masks = lineage.spread({(d, c): k for d, c, k in tags}, edges, STRICTEST)
+    where = lineage.spread({(d, c): k for d, c, k in tags}, edges, [TERRITORY])
+    texts = {n: {f.name for f in traced.read(n).schema.fields if f.dataType.typeName() in ("string", "varchar", "char")} for n in {d for d, _ in masks}}
+    filtered_by: dict[str, str] = {}
+    for dataset, column in sorted(where):
+        filtered_by.setdefault(dataset, column)
+    return Policy(masks={(d, c): k for (d, c), k in masks.items() if c in texts[d]}, territory_filtered=filtered_by, **rest)
+
+
 def may_read(policy: Policy, who: Principal, name: str) -> bool:
     """Whether any of a reader's groups was granted the dataset; without grants all may."""
     return not policy.grants or any(name in policy.grants.get(g, ()) for g in who.groups)

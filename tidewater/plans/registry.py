@@ -56,15 +56,24 @@ class Principal:
     groups: frozenset[str] = frozenset()
 
 
+_TRACE = "_read_from_"
+
+
+def traced_name(alias: str) -> str | None:
+    """The dataset that a traced context handed out under an alias."""
+    return alias.removeprefix(_TRACE) if alias.startswith(_TRACE) else None
+
+
 class Context:
     """Builds datasets over one set of source tables, as of one date.
 
     ``stamp`` adds load times and counts broken expectations; ``staged`` writes
-    shared datasets to the shared folder when a second dataset needs them.
+    shared datasets to the shared folder when a second dataset needs them;
+    ``traced`` marks in every plan which columns come from which dataset.
     """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], as_of: dt.date, stamp: bool = False, staged: bool = False):
-        self.spark, self.source, self.as_of, self.stamp, self.staged = spark, source, as_of, stamp, staged
+    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], as_of: dt.date, stamp: bool = False, staged: bool = False, traced: bool = False):
+        self.spark, self.source, self.as_of, self.stamp, self.staged, self.traced = spark, source, as_of, stamp, staged, traced
         self._written: set[str] = set()
         self.edges: set[tuple[str, str]] = set()
         self.failures: dict[str, Observation] = {}
@@ -98,7 +107,7 @@ class Context:
         if self.staged and self._open and name in DATASETS and DATASETS[name].shared and name not in self._written:
             self._built[name] = written(self._built[name])
             self._written.add(name)
-        return self._built[name]
+        return self._built[name].alias(f"{_TRACE}{name}") if self.traced and self._open else self._built[name]
 
     def lineage(self) -> DataFrame:
         """(source, target) of every read so far."""

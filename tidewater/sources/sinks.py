@@ -39,6 +39,12 @@ def nulls_for_empty(df: DataFrame) -> DataFrame:
     return df.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name) for f in df.schema.fields])
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Ledger:
     """Numbered JSON records below a folder; the last whole one counts, so a record takes effect at once or not at all."""
 

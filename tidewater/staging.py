@@ -52,6 +52,15 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def place(spark: SparkSession) -> str:
+    """A new folder below the shared one, for tables that are kept up in steps; it goes when the driver ends."""
+    name = f"{folder(spark)}/tidewater-{uuid.uuid4().hex}"
+    path, system = _path(spark, name)
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return name
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that written() returned, once nothing that reads them is still to be computed."""
     for table in tables:
