@@ -26,6 +26,7 @@ def _index(ctx: Context) -> ChunkIndex:
     for version in (docs.where("lang <> 'fr'").withColumn("text", half), docs.where("lang <> 'es'"), docs):
         table.write(version)
         consumer.poll(index.sync)
+        table.vacuum(consumer.seen)  # only the version that the next feed starts from is needed
     return index
 
 

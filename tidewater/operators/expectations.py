@@ -39,10 +39,14 @@ def _holds(e: Expectation):
     return F.coalesce(F.expr(e.predicate), F.lit(False))
 
 
-def apply(df: DataFrame, rules: list[Expectation], observation: Observation | None = None) -> DataFrame:
-    """``df`` without rows that break a drop rule; a row that breaks a fail rule raises when it is computed."""
+#: The metric that holds how many rows an observation saw.
+ROWS = "_rows"
+
+
+def apply(df: DataFrame, rules: list[Expectation], observation: Observation | None = None, total: bool = False) -> DataFrame:
+    """``df`` without rows that break a drop rule; a row that breaks a fail rule raises when it is computed.  ``total`` has the observation count all rows too."""
     if observation is not None and rules:
-        df = df.observe(observation, *[F.sum(F.when(_holds(e), 0).otherwise(1)).alias(e.name) for e in rules])
+        df = df.observe(observation, *[F.sum(F.when(_holds(e), 0).otherwise(1)).alias(e.name) for e in rules], *([F.count(F.lit(1)).alias(ROWS)] if total else []))
     for e in rules:
         if e.action == "drop":
             df = df.where(_holds(e))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.sinks import Ledger, delete_folder
-from ..staging import written
 
 CHANGE, VERSION = "_change", "_version"
 INSERT, BEFORE, AFTER, DELETE = "insert", "update_before", "update_after", "delete"
@@ -149,12 +148,12 @@ class Consumer:
     def poll(self, take) -> int:
         """Hand the net changes since the version seen to ``take(feed, version)``, then note the new one; returns it.
 
-        If ``take`` fails nothing is noted, and the next poll gives the same
-        changes again, so it should change nothing when it gets a version twice.
+        The feed is worked out each time that ``take`` runs something on it.  If
+        ``take`` fails nothing is noted, and the next poll gives the same changes
+        again, so it should change nothing when it gets a version twice.
         """
         last, seen = self.table.version, self.seen
         if last > seen:
-            feed = written(self.table.changes(seen, last))
-            take(feed, last)
+            take(self.table.changes(seen, last), last)
             self.ledger.put({"seen": last})
         return last

@@ -17,27 +17,74 @@ neighbours of sampled vectors.  ``exact`` searches read all cells.
 from __future__ import annotations
 
 import math
+import re
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import Ledger, delete_folder
-from ..staging import written
+from ..staging import discard, written
 from .feed import AFTER, BEFORE, CHANGE, DELETE, INSERT, VERSION
 from .search import asked_words, bm25, enough, fuse, ranks_among, top, words
 from .vectors import cosines, nearest, unit
 
 #: Segments before a sync compacts them.
 MOST_SEGMENTS = 12
+#: The words of a text in lower case, as search.words() has them.
+WORD = re.compile("[a-z0-9]+")
 #: Vectors that cells are fitted on for each cell, and questions by which the number of cells to read is measured.
 SAMPLE_A_CELL, QUESTIONS = 64, 100
 
 
+#: What a word's posting row holds of the rows that have it.
+ENTRIES = "entries array<struct<key: {k}, current: boolean, length: int, count: int>>"
+
+
+def _entries(key: pa.Array, current: pa.Array, length: pa.Array, count: pa.Array, cuts: np.ndarray) -> pa.ListArray:
+    fields = pa.StructArray.from_arrays([key, current, length.cast(pa.int32()), count.cast(pa.int32())], names=["key", "current", "length", "count"])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), fields)
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, entries) of (key, current, text): a row for each term of a batch, so that what is shuffled is entries, not words."""
+    for b in batches:
+        number: dict[str, int] = {}
+        terms, rows, counts, lengths = [], [], [], []
+        for i, text in enumerate(b.column(2).to_pylist()):
+            found = WORD.findall(text.lower())
+            lengths.append(len(found))
+            own = Counter(found)
+            terms += [number.setdefault(w, len(number)) for w in own]
+            rows += [i] * len(own)
+            counts += own.values()
+        if not terms:
+            continue
+        term, row = np.array(terms), np.array(rows)
+        order = np.argsort(term, kind="stable")
+        term, row = term[order], pa.array(row[order])
+        cuts = np.searchsorted(term, np.arange(len(number) + 1))
+        entries = _entries(b.column(0).take(row), b.column(1).take(row), pa.array(lengths, pa.int32()).take(row), pa.array(counts, pa.int32()).take(pa.array(order)), cuts)
+        yield pa.RecordBatch.from_arrays([pa.array(list(number)), entries], names=["term", "entries"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_bucket, term, entries) of single entries sorted by bucket and term; a term's run ends with its batch, so no row grows without bound."""
+    for b in batches:
+        if b.num_rows:
+            term = np.array(b.column(1).to_pylist(), object)
+            starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+            at = pa.array(starts)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), _entries(*[b.column(i) for i in range(2, 6)], np.r_[starts, b.num_rows])], names=["_bucket", "term", "entries"])
+
+
 @dataclass
 class Reading:
     """What a search reads, against the size of all of its kind."""
@@ -71,23 +118,26 @@ class ChunkIndex:
         state = self.ledger.last()
         if version <= state.get("version", 0):
             return
-        feed = written(feed)
-        added = feed.where(F.col(CHANGE).isin(INSERT, AFTER)).drop(CHANGE, VERSION)
-        gone = feed.where(F.col(CHANGE).isin(BEFORE, DELETE)).select(F.col(self.key).alias("key"))
+        columns = dict.fromkeys([self.key, self.text, self.vector, *([self.current] if self.current else []), *self.attributes, CHANGE])
+        own = written(feed.select(*columns))
+        added = own.where(F.col(CHANGE).isin(INSERT, AFTER)).drop(CHANGE)
+        gone = own.where(F.col(CHANGE).isin(BEFORE, DELETE)).select(F.col(self.key).alias("key"))
         segments = state.get("segments", [])
         self._put(state, added, gone, segments, version)
+        discard(own)
         if len(segments) + 1 > MOST_SEGMENTS:
             self.compact()
 
     def _put(self, state: dict, added: DataFrame, gone: DataFrame, before: list[dict], version: int) -> None:
         flag = F.coalesce(F.col(self.current), F.lit(False)) if self.current else F.lit(True)
         rows = added.select(F.col(self.key).alias("key"), F.coalesce(F.col(self.text), F.lit("")).alias("_t"), F.col(self.vector).cast("array<double>").alias("vector"), flag.alias("current"), *[F.col(a).alias(f"a_{a}") for a in self.attributes])
-        rows = rows.withColumn("_w", words("_t"))
         place = f"{self.path}/s={uuid.uuid4().hex}"
-        rows.select("key", F.size("_w").alias("length"), "current", *[f"a_{a}" for a in self.attributes]).write.parquet(f"{place}/rows")
+        rows.select("key", F.size(words("_t")).alias("length"), "current", *[f"a_{a}" for a in self.attributes]).write.parquet(f"{place}/rows")
         gone.distinct().write.parquet(f"{place}/gone")
-        terms = rows.select("key", "current", F.size("_w").alias("length"), F.explode("_w").alias("term")).groupBy("term", "key", "current", "length").agg(F.count(F.lit(1)).alias("count"))
-        self._deal(terms.withColumn("_bucket", self._bucket(F.col("term"))), "_bucket", "term").write.partitionBy("_bucket").parquet(f"{place}/postings")
+        kind = rows.schema["key"].dataType.simpleString()
+        terms = rows.select("key", "current", "_t").mapInArrow(_postings, f"term string, {ENTRIES.format(k=kind)}").withColumn("_bucket", self._bucket(F.col("term")))
+        terms = terms.repartition("_bucket", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(4))).sortWithinPartitions("_bucket", "term")
+        terms.write.partitionBy("_bucket").parquet(f"{place}/postings")
         vectors = rows.where("vector is not null").select("key", "current", "vector")
         state = state | self._fitted(state, vectors)
         self._deal(self._placed(state, vectors), "_cell", "key").write.partitionBy("_cell").parquet(f"{place}/vectors")
@@ -143,7 +193,9 @@ class ChunkIndex:
             return
         place = f"{self.path}/s={uuid.uuid4().hex}"
         self._live("rows", old).write.parquet(f"{place}/rows")
-        self._deal(self._live("postings", old), "_bucket", "term").write.partitionBy("_bucket").parquet(f"{place}/postings")
+        entries = self._deal(self._live("postings", old), "_bucket", "term").select("_bucket", "term", "key", "current", "length", "count")
+        kind = entries.schema["key"].dataType.simpleString()
+        entries.mapInArrow(_gathered, f"_bucket int, term string, {ENTRIES.format(k=kind)}").write.partitionBy("_bucket").parquet(f"{place}/postings")
         self._deal(self._live("vectors", old), "_cell", "key").write.partitionBy("_cell").parquet(f"{place}/vectors")
         self.spark.read.parquet(f"{old[0]['place']}/gone").limit(0).write.parquet(f"{place}/gone")
         self.ledger.put(state | {"segments": [{"place": place, "number": 1}]})
@@ -154,7 +206,7 @@ class ChunkIndex:
 
     def _table(self, kind: str, segment: dict) -> DataFrame:
         """A segment's table; the parts of one that has none are an empty table."""
-        schema = {"postings": "term string, key {k}, current boolean, length int, count long, _bucket int", "vectors": "key {k}, current boolean, vector array<double>, _cell int"}.get(kind)
+        schema = {"postings": f"term string, {ENTRIES}, _bucket int", "vectors": "key {k}, current boolean, vector array<double>, _cell int"}.get(kind)
         if schema is None:
             return self.spark.read.parquet(f"{segment['place']}/{kind}")
         rows = self.spark.read.parquet(f"{segment['place']}/rows")
@@ -168,7 +220,9 @@ class ChunkIndex:
         entries = gone = None
         for s in segments:
             own = self._table(kind, s)
-            own = (own if where is None else own.where(where)).withColumn("_s", F.lit(s["number"]))
+            own = own if where is None else own.where(where)
+            own = own.select("_bucket", "term", F.inline("entries")) if kind == "postings" else own
+            own = own.withColumn("_s", F.lit(s["number"]))
             entries = own if entries is None else entries.unionByName(own)
             if s["number"] > segments[0]["number"]:
                 out = self._table("gone", s).select(F.col("key").alias("_gone"), F.lit(s["number"]).alias("_until"))

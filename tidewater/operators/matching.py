@@ -219,8 +219,8 @@ def assign_keys(groups: DataFrame, xref: DataFrame | None = None, overrides: Dat
     Records that are no longer there keep their row.
     """
     new = F.sha2(F.concat(F.lit("customer:"), F.col("group_id").cast("string")), 256)
-    names = groups.select("group_id").distinct()
     if xref is not None:
+        names = groups.select("group_id").distinct()
         free = groups if overrides is None else groups.join(overrides.select("id"), "id", "left_anti")
         votes = free.join(xref, "id").groupBy("group_id", "customer_key").agg(F.count(F.lit(1)).alias("n"))
         wish = votes.groupBy("group_id").agg(F.min_by(F.struct("customer_key", "n"), F.struct(-F.col("n"), "customer_key")).alias("w")).select("group_id", "w.*")
@@ -229,9 +229,9 @@ def assign_keys(groups: DataFrame, xref: DataFrame | None = None, overrides: Dat
         names = names.join(kept, "group_id", "left").withColumn("fresh", new).join(used, F.col("fresh") == F.col("used"), "left")
         again = F.sha2(F.concat(F.lit("again:"), "fresh", F.lit(":"), F.col("group_id").cast("string")), 256)
         names = names.select("group_id", F.coalesce("customer_key", F.when(F.col("used").isNotNull(), again).otherwise(F.col("fresh"))).alias("customer_key"))
+        out = groups.join(names, "group_id").select("id", "customer_key")
     else:
-        names = names.select("group_id", new.alias("customer_key"))
-    out = groups.join(names, "group_id").select("id", "customer_key")
+        out = groups.select("id", new.alias("customer_key"))
     if overrides is not None:
         own = overrides.groupBy("id").agg(F.max("customer_key").alias("_own"))
         out = out.join(own, "id", "left").select("id", F.coalesce("_own", "customer_key").alias("customer_key"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import citations, grounded_share, injection_obeyed, is_refusal, pii_found
@@ -45,3 +45,46 @@ def agreement(rows: DataFrame, a: str, b: str) -> DataFrame:
     s = rows.agg(F.avg((x == y).cast("double")).alias("same"), F.avg(x).alias("x"), F.avg(y).alias("y"))
     chance = F.col("x") * F.col("y") + (1 - F.col("x")) * (1 - F.col("y"))
     return s.select(F.when(chance < 1, (F.col("same") - chance) / (1 - chance)).otherwise(1.0).alias("kappa"))
+
+
+def _words(text: str):
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def _runs(rows: DataFrame, ids: list[str], text: str, least: int) -> DataFrame:
+    """Every run of ``least`` words of a text: ids, place (from 0), run."""
+    w = rows.select(*ids, _words(text).alias("_w")).where(F.size("_w") >= least)
+    runs = F.transform(F.sequence(F.lit(1), F.size("_w") - least + 1), lambda i: F.array_join(F.slice("_w", i, least), " "))
+    return w.select(*ids, F.posexplode(runs).alias("place", "run"))
+
+
+def chunk_use(answers: DataFrame, retrieved: DataFrame, least: int = 5) -> DataFrame:
+    """(answer_id, chunk_id, words, used_words, longest_run, used) of every retrieved chunk.
+
+    ``answers`` has (answer_id, answer), ``retrieved`` (answer_id, chunk_id,
+    chunk_text).  A chunk is used where the answer has ``least`` or more of its
+    words in a row; runs meet by a hash of theirs and are then compared.  Words
+    that several runs cover count once, whichever of the answer's places they
+    match.
+    """
+    mine = _runs(answers, ["answer_id"], "answer", least).select("answer_id", "run").distinct()
+    theirs = _runs(retrieved, ["answer_id", "chunk_id"], "chunk_text", least)
+    hashed = lambda df: df.withColumn("h", F.xxhash64("run"))
+    hits = hashed(theirs).join(hashed(mine), ["answer_id", "h", "run"]).select("answer_id", "chunk_id", "place").distinct()
+    by = Window.partitionBy("answer_id", "chunk_id").orderBy("place")
+    island = F.col("place") - F.row_number().over(by)
+    # a run's words that no later run covers too
+    own = F.least(F.lit(least), F.coalesce(F.lead("place").over(by) - F.col("place"), F.lit(least)))
+    marked = hits.withColumn("own", own).withColumn("island", island)
+    islands = marked.groupBy("answer_id", "chunk_id", "island").agg(F.sum("own").alias("own"), (F.count(F.lit(1)) + least - 1).alias("length"))
+    used = islands.groupBy("answer_id", "chunk_id").agg(F.sum("own").alias("used_words"), F.max("length").alias("longest_run"))
+    every = retrieved.select("answer_id", "chunk_id", F.size(_words("chunk_text")).alias("words"))
+    out = every.join(used, ["answer_id", "chunk_id"], "left")
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return out.select("answer_id", "chunk_id", F.col("words").cast("long").alias("words"), n("used_words"), n("longest_run"), (F.coalesce("used_words", F.lit(0)) > 0).alias("used"))
+
+
+def utilisation(use: DataFrame) -> DataFrame:
+    """(answer_id, chunks, used_chunks, utilisation): the share of an answer's chunks that it used."""
+    rows = use.groupBy("answer_id").agg(F.count(F.lit(1)).alias("chunks"), F.count_if("used").alias("used_chunks"))
+    return rows.withColumn("utilisation", F.round(F.col("used_chunks") / F.col("chunks"), 6))

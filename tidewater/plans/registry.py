@@ -8,7 +8,10 @@ builder needs to know of them.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import expectations
 from ..operators.expectations import Expectation
 from ..staging import written
+from .runlog import RunLog
 
 
 @dataclass(frozen=True)
@@ -74,6 +78,7 @@ class Context:
 
     def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], as_of: dt.date, stamp: bool = False, staged: bool = False, traced: bool = False):
         self.spark, self.source, self.as_of, self.stamp, self.staged, self.traced = spark, source, as_of, stamp, staged, traced
+        self.counted = False
         self._written: set[str] = set()
         self.edges: set[tuple[str, str]] = set()
         self.failures: dict[str, Observation] = {}
@@ -100,9 +105,9 @@ class Context:
                 finally:
                     self._open.pop()
                 rules = list(DATASETS[name].expectations)
-                if rules and self.stamp:
-                    self.failures[name] = Observation(f"{name}_{len(self.failures)}")
-                df = expectations.apply(df, rules, self.failures.get(name))
+                if rules and (self.stamp or self.counted):
+                    self.failures[name] = Observation(f"{name}_{uuid.uuid4().hex}")
+                df = expectations.apply(df, rules, self.failures.get(name), self.counted)
                 self._built[name] = df.withColumn(f"_{DATASETS[name].layer}_loaded_at", F.current_timestamp()) if self.stamp else df
         if self.staged and self._open and name in DATASETS and DATASETS[name].shared and name not in self._written:
             self._built[name] = written(self._built[name])
@@ -132,16 +137,30 @@ def order(targets: list[str], context: Context) -> list[str]:
     return out
 
 
-def materialize(context: Context, targets: list[str], folder: str) -> dict[str, str]:
-    """Write datasets in dependency order as Parquet; each is read back before those that need it, so nothing is computed twice."""
+def materialize(context: Context, targets: list[str], folder: str, log: RunLog | None = None) -> dict[str, str]:
+    """Write datasets in dependency order as Parquet; each is read back before those that need it, so nothing is computed twice.
+
+    With a ``log``, this is a run of it: every dataset's rows, seconds and
+    expectations are noted, counted by the job that writes it.
+    """
     paths = {}
-    for name in order(targets, context):
-        if name not in DATASETS:
-            continue
-        path = f"{folder}/{DATASETS[name].layer}/{name}"
-        # built anew, over datasets that are already written
-        context._built.pop(name)
-        context.read(name).write.mode("overwrite").parquet(path)
-        context._built[name] = context.spark.read.parquet(path)
-        paths[name] = path
+    with log.run(f"materialize {', '.join(targets)}") if log else contextlib.nullcontext():
+        for name in order(targets, context):
+            if name not in DATASETS:
+                continue
+            path = f"{folder}/{DATASETS[name].layer}/{name}"
+            # built anew, over datasets that are already written
+            context._built.pop(name)
+            context.counted = log is not None
+            try:
+                began = time.monotonic()
+                context.read(name).write.mode("overwrite").parquet(path)
+                context._built[name] = context.spark.read.parquet(path)
+                if log:
+                    seen = context.failures[name].get if DATASETS[name].expectations else {}
+                    counts = [(e.name, seen[expectations.ROWS] - (seen[e.name] or 0), seen[e.name] or 0) for e in DATASETS[name].expectations]
+                    log.built(name, time.monotonic() - began, context._built[name].count(), counts)
+            finally:
+                context.counted = False
+            paths[name] = path
     return paths

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import identity_queries, kept_queries, more_queries
+from . import identity_queries, kept_queries, more_queries, quality_queries
 from .plans import dashboards as d
 from .plans import gold, shapes, silver  # noqa: F401  (they register datasets)
 from .plans.bronze import spark_source
@@ -98,6 +98,6 @@ for _name, _build in REPORTS.items():
     _register(_name, _build, text(_name))
 for _name, _build in more_queries.BUILDS.items():
     _register(_name, _build, more_queries.ORACLES.get(_name))
-for _part in (kept_queries, identity_queries):
+for _part in (kept_queries, identity_queries, quality_queries):
     for _name, _build in _part.BUILDS.items():
         _register(_name, _build, _part.ORACLES.get(_name))
