@@ -42,6 +42,15 @@ def test_documents(docs, operator):
     assert len(out.collect()) >= 4 and len(set(out.columns)) == len(out.columns)
 
 
+def test_columns_of_the_user_stay_with_their_values(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "mine", "two")], "doc_id long, text string, _tw_note string, hits string").withColumns({"names": F.lit("three"), "hits_": F.lit("four")})
+    items = spark.createDataFrame([("x", "a b"), ("y", "c d"), ("z", "e f f")], "item_id string, text string")
+    for options in ({}, {"block_bytes": 4}):
+        row = decontaminate.find_contamination(docs, items, 2, **options).first()
+        assert (row["_tw_note"], row["hits"], row["names"], row["hits_"]) == ("mine", "two", "three", "four")
+        assert (row["items"], row["hit_words"]) == (["x", "y", "z"], [0, 1, 2, 3, 4, 5]) and [tuple(s) for s in row["spans"]] == [(0, 11)]
+
+
 def test_labels(spark, docs):
     labels = wide(spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int"))
     assert toxicity.score(docs, labels).count() == 4

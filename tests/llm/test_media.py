@@ -78,3 +78,55 @@ def test_query(spark):
 
 def test_empty_table(spark):
     assert media.sniff_column(media.store_texts(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
+
+
+def plain_sniff(value):
+    """Every candidate searched to the end of the value, as the formats say."""
+    found, past = [], 0
+    for at in range(len(value)):
+        end = None
+        if at < past:
+            continue
+        if value.startswith(b"%PDF-", at) and value[at + 5 : at + 6].isdigit():
+            last = value.rfind(b"%%EOF", at)
+            end = last + 5 if last >= 0 and value.find(b"startxref", at, last) >= 0 else None
+            kind = "application/pdf"
+        elif value.startswith(b"PK\x03\x04", at):
+            kind, tail = "application/zip", value.find(b"PK\x05\x06", at)
+            while tail >= 0 and tail + 22 <= len(value) and end is None:
+                size, start, note = struct.unpack_from("<IIH", value, tail + 12)
+                if start + size == tail - at and value[at + start : at + start + 4] == b"PK\x01\x02" and tail + 22 + note <= len(value):
+                    end = tail + 22 + note
+                tail = value.find(b"PK\x05\x06", tail + 4)
+        elif value.startswith(b"OggS", at):
+            kind, p = "audio/ogg", at
+            while end is None and value[p : p + 4] == b"OggS" and p + 27 <= len(value) and value[p + 4] == 0:
+                table = value[p + 27 : p + 27 + value[p + 26]]
+                last, p = value[p + 5] & 4, p + 27 + len(table) + sum(table)
+                if p > len(value):
+                    break
+                end = p if last else None
+        if end is not None:
+            found.append((kind, at, end))
+            past = end
+    return found
+
+
+def test_carving_is_that_of_a_plain_search():
+    import random
+
+    rng = random.Random(2)
+    page = lambda last: b"OggS\0" + (b"\4" if last else b"\0") + b"\0" * 20 + b"\1\3abc"
+    parts = [b"%PDF-", b"%PDF-1", b"startxref", b"%%EOF", b"PK\x03\x04", b"PK\x05\x06" + b"\0" * 18, zipped(), zipped()[:-5], page(False), page(True), PDF, OGG, b"text ", b"Og"]
+    for _ in range(300):
+        value = b"".join(rng.choices(parts, k=rng.randint(0, 12)))
+        assert media.sniff(value) == plain_sniff(value), value
+
+
+def test_a_million_markers_take_linear_time():
+    import time
+
+    for mark in (b"%PDF-1 ", b"PK\x03\x04 ", b"PK\x05\x06" + b" " * 18, b"OggS\0\0" + b"\0" * 21):
+        began = time.time()
+        assert media.sniff(mark * (1_000_000 if len(mark) < 10 else 200_000)) == []
+        assert time.time() - began < 20, mark

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..staging import written
 from .fmindex import FMIndex
+from .tables import unused
 from .textbuf import LOWER, WORD_BYTE, chunk_word_hashes, flat, gathered, tidy
 
 NEW = ("n_words", "hit_words", "items", "spans")
@@ -91,7 +92,9 @@ def _lists(counts: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), values)
 
 
-def _search(phrases, text_at: int, shard: int):
+def _search(phrases, text_at: int, shard: int, hits_at: int | None = None):
+    """The block's columns and the new ones; with ``hits_at``, the place of hit_words and items of an earlier pass, which are taken up and left out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Phrases = phrases.value
         for block in gathered(batches, "text", shard):
@@ -99,52 +102,61 @@ def _search(phrases, text_at: int, shard: int):
             buf, offs = flat(block.column(text_at))
             starts, ends, rows, hit, doc, which = own.search(buf, offs)
             words = np.bincount(rows, minlength=n)
-            at = np.flatnonzero(hit)
+            base = np.searchsorted(rows, np.arange(n))
             items: dict[int, set[str]] = {}
             for d, w in np.unique(np.stack([doc, which]), axis=1).T.tolist():
                 items.setdefault(d, set()).update(own.items[w])
+            kept = list(range(block.num_columns))
+            if hits_at is not None:
+                kept = kept[:hits_at] + kept[hits_at + 2 :]
+                before = block.column(hits_at)
+                hit[np.repeat(base, np.diff(before.offsets.to_numpy())) + before.flatten().to_numpy()] = True
+                for d, names in enumerate(block.column(hits_at + 1).to_pylist()):
+                    if names:
+                        items.setdefault(d, set()).update(names)
+            at = np.flatnonzero(hit)
             names = [sorted(items.get(i, ())) for i in range(n)]
             # runs of words that are hit, as bytes from the start of the first to the end of the last
             head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (rows[at[1:]] != rows[at[:-1]])]) if len(at) else at
             tail = np.r_[head[1:], len(at)] - 1 if len(at) else at
             of = rows[at[head]]
             spans = pa.StructArray.from_arrays([pa.array(starts[at[head]] - offs[of]), pa.array(ends[at[tail]] - offs[of])], names=["start", "end"])
-            base = np.searchsorted(rows, np.arange(n))
             yield pa.RecordBatch.from_arrays(
-                [*block.columns, pa.array(words.astype(np.int64)), _lists(np.bincount(rows[at], minlength=n), pa.array((at - base[rows[at]]).astype(np.int64))), pa.array(names, pa.list_(pa.string())), _lists(np.bincount(of, minlength=n), spans)],
-                names=[*block.schema.names, *NEW],
+                [*[block.column(i) for i in kept], pa.array(words.astype(np.int64)), _lists(np.bincount(rows[at], minlength=n), pa.array((at - base[rows[at]]).astype(np.int64))), pa.array(names, pa.list_(pa.string())), _lists(np.bincount(of, minlength=n), spans)],
+                names=[*[block.schema.names[i] for i in kept], *NEW],
             )
 
     return run
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 16 << 20, block_bytes: int = 16 << 20) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with n_words, hit_words (array of word numbers from 0), items (array of item ids as strings, sorted) and spans (array of start and end bytes).
+    """``docs`` (doc_id, text, ...) with n_words, hit_words (array of word numbers from 0), items (array of item ids as strings, sorted) and spans (array of start and end bytes of maximal runs of hit words).
 
     A document word is hit if it is inside any occurrence of a window:
     ``window`` consecutive words of an item of ``benchmark`` (item_id, text), or
-    the whole of a shorter item.
+    the whole of a shorter item.  Words are equal if their 64-bit hashes are.  Of
+    columns that are called like a new one only the new one is left.  A benchmark
+    of more than ``block_bytes`` is searched for in several passes over the
+    documents, with the same result.
     """
     spark = docs.sparkSession
-    docs = docs.select(*[c for c in docs.columns if c not in NEW and not c.startswith("_tw_")])
+    docs = docs.select(*[c for c in docs.columns if c not in NEW])
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / block_bytes))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     new = "n_words long, hit_words array<long>, items array<string>, spans array<struct<start: long, end: long>>"
-    out = None
+    hits = unused(docs.columns, "hits")
+    names = unused([*docs.columns, hits], "names")
+    out, text_at = None, docs.columns.index("text")
     for k in range(parts):
         own = bench if parts == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         phrases = spark.sparkContext.broadcast(Phrases([(r[0], r[1]) for r in own.toLocalIterator()], window))
         if out is None:
-            out = docs.mapInArrow(tidy(_search(phrases, docs.columns.index("text"), shard_bytes)), f"{kinds}, {new}")
+            out = docs.mapInArrow(tidy(_search(phrases, text_at, shard_bytes)), f"{kinds}, {new}")
         else:
-            before = [F.col(c).alias(f"_tw_{c}") for c in NEW]
-            out = written(out).select(*docs.columns, *before)
-            more = ", ".join(f"_tw_{x}" for x in new.replace("start: long, end: long", "start:long;end:long").split(", ")).replace(";", ", ")
-            out = out.mapInArrow(tidy(_search(phrases, docs.columns.index("text"), shard_bytes)), f"{kinds}, {more}, {new}")
-            merged = {"hit_words": F.array_sort(F.array_union("hit_words", "_tw_hit_words")), "items": F.array_sort(F.array_union("items", "_tw_items")), "spans": F.array_sort(F.array_union("spans", "_tw_spans"))}
-            out = out.select(*docs.columns, "n_words", *[e.alias(c) for c, e in merged.items()])
+            before = written(out).select(*docs.columns, F.col("hit_words").alias(hits), F.col("items").alias(names))
+            out = before.mapInArrow(tidy(_search(phrases, text_at, shard_bytes, len(docs.columns))), f"{kinds}, {new}")
     return out
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,19 +119,34 @@ def _bmp(b: bytes, at: int) -> int | None:
     return at + size if zero == 0 and head in (40, 108, 124) and planes == 1 and bits in (1, 4, 8, 16, 24, 32) and 14 + head <= data <= size <= len(b) - at else None
 
 
-def _pdf(b: bytes, at: int) -> int | None:
-    end = b.rfind(b"%%EOF", at)
-    return end + 5 if end >= 0 and b.find(b"startxref", at, end) >= 0 and b[at + 5 : at + 6].isdigit() else None
+def _places(b: bytes, mark: bytes) -> list[int]:
+    """Where ``mark`` begins, in order."""
+    found, at = [], b.find(mark)
+    while at >= 0:
+        found.append(at)
+        at = b.find(mark, at + 1)
+    return found
 
 
-def _zip(b: bytes, at: int) -> int | None:
-    tail = b.find(b"PK\x05\x06", at)
-    while tail >= 0 and tail + 22 <= len(b):
-        size, start, note = struct.unpack_from("<IIH", b, tail + 12)
-        if start + size == tail - at and b[at + start : at + start + 4] == b"PK\x01\x02" and tail + 22 + note <= len(b):
-            return tail + 22 + note
-        tail = b.find(b"PK\x05\x06", tail + 4)
-    return None
+def _pdf(b: bytes, at: int, memo: dict) -> int | None:
+    if "pdf" not in memo:
+        memo["pdf"] = b.rfind(b"%%EOF"), _places(b, b"startxref")
+    end, tables = memo["pdf"]
+    i = bisect_left(tables, at)
+    return end + 5 if end >= at and i < len(tables) and tables[i] + 9 <= end and b[at + 5 : at + 6].isdigit() else None
+
+
+def _zip(b: bytes, at: int, memo: dict) -> int | None:
+    if "zip" not in memo:
+        # an end record says how far before it its archive begins, so one pass over the records tells all archives' ends
+        ends: dict[int, int] = {}
+        for tail in _places(b, b"PK\x05\x06"):
+            if tail + 22 <= len(b):
+                size, start, note = struct.unpack_from("<IIH", b, tail + 12)
+                if tail + 22 + note <= len(b) and size <= tail and b[tail - size : tail - size + 4] == b"PK\x01\x02":
+                    ends.setdefault(tail - size - start, tail + 22 + note)
+        memo["zip"] = ends
+    return memo["zip"].get(at)
 
 
 def _flac(b: bytes, at: int) -> int | None:
@@ -145,17 +161,23 @@ def _flac(b: bytes, at: int) -> int | None:
     return None
 
 
-def _ogg(b: bytes, at: int) -> int | None:
-    p = at
-    while b[p : p + 4] == b"OggS" and p + 27 <= len(b) and b[p + 4] == 0:
+def _ogg(b: bytes, at: int, memo: dict) -> int | None:
+    # pages follow one another, so a page's stream ends where that of the page behind it does
+    ends, p, seen, out = memo.setdefault("ogg", {}), at, [], None
+    while p not in ends and b[p : p + 4] == b"OggS" and p + 27 <= len(b) and b[p + 4] == 0:
+        seen.append(p)
         table = b[p + 27 : p + 27 + b[p + 26]]
         end = p + 27 + len(table) + sum(table)
         if end > len(b):
-            return None
+            break
         last, p = b[p + 5] & 4, end
         if last:
-            return p
-    return None
+            out = p
+            break
+    else:
+        out = ends.get(p)
+    ends.update(dict.fromkeys(seen, out))
+    return out
 
 
 def _gzip(b: bytes, at: int) -> int | None:
@@ -172,6 +194,9 @@ def _gzip(b: bytes, at: int) -> int | None:
 
 VALIDATORS = {"audio/wav": _wav, "image/png": _png, "image/gif": _gif, "image/jpeg": _jpeg, "image/bmp": _bmp, "application/pdf": _pdf, "application/zip": _zip, "audio/flac": _flac, "audio/ogg": _ogg, "application/gzip": _gzip}
 
+#: Those that look beyond their own structure get what was found out about the value before, so that many candidates cost one pass.
+WITH_MEMO = frozenset({_pdf, _zip, _ogg})
+
 _automata: list = []
 
 
@@ -190,10 +215,10 @@ def automaton():
 
 def sniff(value: bytes) -> list[tuple[str, int, int]]:
     """(type, start, end) of every valid medium that isn't inside an earlier one, in order; media inside are found by sniffing the part."""
-    found, past = [], 0
+    found, past, memo = [], 0, {}
     for last, (size, kind) in automaton().iter(value.decode("latin-1")):
-        start = last + 1 - size
-        if start >= past and (end := VALIDATORS[kind](value, start)) is not None:
+        start, valid = last + 1 - size, VALIDATORS[kind]
+        if start >= past and (end := valid(value, start, memo) if valid in WITH_MEMO else valid(value, start)) is not None:
             found.append((kind, start, end))
             past = end
     return found
