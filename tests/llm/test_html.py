@@ -171,6 +171,60 @@ def test_declared_main_branch_is_shown(spark):
     assert all(got[i].startswith(f"w{i}x0 ") for i in range(20)) and got[100] == "Site menu"
 
 
+def invented(n, seed):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+def read(spark, rows, **options):
+    return {r["page_id"]: r["main_text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), **options).collect()}
+
+
+def test_cards_that_are_articles_dont_hide_the_story(spark):
+    def body(i):
+        cards = "".join(f"<article><h2>{invented(2, 10 * i + k)}</h2><p>{invented(4, 10 * i + k + 5)}</p></article>" for k in range(3))
+        return "<body><div class=story>" + "".join(f"<p>{invented(40, 1000 * i + k)}</p>" for k in range(8)) + f"</div><div class=grid>{cards}</div></body>"
+
+    rows = [*pages(40, body), (100, "http://small.example/", body(7))]
+    got = read(spark, rows)
+    for i in range(40):
+        assert got[i].split("\n") == [invented(40, 1000 * i + k) for k in range(8)]
+    # a lone page has no tree: its names decide
+    assert got[100].startswith(invented(2, 70))
+    assert read(spark, rows[:40], least_pages=1000) != {i: got[i] for i in range(40)}  # it is the tree that tells
+
+
+def test_a_teaser_in_main_isnt_the_page(spark):
+    body = lambda i: f"<body><main><p>{invented(5, i)}</p></main><div class=text><h1>{invented(3, 50 + i)}</h1><p>{invented(120, 100 + i)}</p></div></body>"
+    got = read(spark, pages(30, body))
+    assert all(got[i] == f"{invented(3, 50 + i)}\n{invented(120, 100 + i)}" for i in range(30))
+
+
+def test_comments_that_are_articles_are_no_text(spark):
+    r = random.Random(3)
+
+    def body(i, own="article"):
+        comments = "".join(f"<article><p>{invented(r.randint(3, 12), 7000 + 10 * i + k)}</p></article>" for k in range(r.randint(0, 4)))
+        return f"<body><{own} class=post><h1>{invented(4, i)}</h1><p>{invented(90, 500 + i)}</p></{own}><div class=below>{comments}</div></body>"
+
+    want = {i: f"{invented(4, i)}\n{invented(90, 500 + i)}" for i in range(30)}
+    assert read(spark, pages(30, body)) == want
+    # the same label for both: the longest of a page's articles counts
+    alike = lambda i: body(i).replace(" class=post", "").replace("<div class=below>", "").replace("</div>", "")
+    assert read(spark, pages(30, alike)) == want
+    # on a host without a tree too
+    assert read(spark, [(3, "http://few.example/", body(3))]) == {3: want[3]}
+
+
+def test_the_region_that_says_most_is_chosen(spark):
+    body = lambda i: f"<body><main><div class=lead><p>{invented(20, i)}</p></div><article><p>{invented(60, 100 + i)}</p></article></main><div class=menu>Same menu here</div></body>"
+    df = spark.createDataFrame(pages(20, body), "page_id long, url string, html string")
+    chosen = [r for r in html.judged(html.style_tree(df)).where("region").collect()]
+    assert len(chosen) == 1 and chosen[0]["path"] != 0
+    assert {r["page_id"]: r["main_text"] for r in html.extract(df).collect()} == {i: invented(60, 100 + i) for i in range(20)}
+    assert [r["path"] for r in html.judged(html.style_tree(df, False)).where("region").collect()] == [0]  # without names no region counts
+
+
 def test_empty_table_and_other_columns(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string, main_text string, _cut string")
     assert html.extract(df).collect() == []

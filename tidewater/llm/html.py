@@ -24,15 +24,22 @@ importance.  What is cut from every page of the host, on nodes of enough pages:
   headings and the like without a class or an id), none with an h1 in it, and only
   outside an ``article`` or ``main``, where short branches are parts of the text.
 
-The tree alone can't tell readers' comments from an article, or see anything on a
-host with few pages.  So elements that declare themselves (``nav``, ``footer``,
-``aside``, ``form``, roles, and class or id words such as ``ad`` or ``comments``) go
-too, unless the tree shows one of them to be its page's main branch, and ``article``
-and ``main`` set the region from which text is taken, if there is one.  Inside it
-only repeated branches with a class or an id of their own are cut.  A region that
-the tree would cut all or most of keeps its whole text; a page without one does if
-the tree would leave nothing.  With ``declared`` off, names count for nothing and
-the tree alone decides.
+The tree chooses the region that text is taken from, too: of a host's ``article``
+and ``main`` nodes the one with the most information (an ``article`` counts twice, as
+``main`` may hold more than one), if no node outside of regions has more.  If one has,
+as beside cards that are articles, or a teaser in ``main``, no region counts, and the
+whole page is cut as above.  Inside a region only repeated branches with a class or
+an id of their own are cut.  Of several regions at one node of a page the longest
+counts, if it has half of their words (readers' comments can be articles).  A region
+that the tree would cut all or most of keeps its whole text; a page without one does
+if the tree would leave nothing.
+
+Names come second: elements that declare themselves (``nav``, ``footer``, ``aside``,
+``form``, roles, and class or id words such as ``ad`` or ``comments``) go from what
+the tree has left, unless the tree shows one of them to be its page's main branch.
+On a host with too few pages for a tree names alone decide, and an ``article``, else
+``main``, sets the region.  With ``declared`` off, names count for nothing and the
+tree alone decides.
 
 A null or empty html has no text; a null url, or one without ``://``, is of the
 host ''.  Repeated rows are extracted one by one.  An empty table gives an empty
@@ -44,7 +51,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -92,14 +99,14 @@ PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol b i em strong span a article mai
 
 
 REGIONS = ("article", "main", "section")
-#: What is known of a node besides its path.
-PLAIN_NODE, DECLARED, INSIDE, TITLED = 1, 2, 4, 8
+#: What is known of a node besides its path; HOLDS: a region is below it.
+PLAIN_NODE, DECLARED, INSIDE, TITLED, ARTICLE, MAIN, HOLDS = 1, 2, 4, 8, 16, 32, 64
 
 
 class Element:
     """An open element.  ``path`` is None beyond DEEPEST; ``noisy`` is the chain of elements that are noise, from the innermost on, ``block`` and ``region`` the places of the innermost block and article or main (-1: none), itself included."""
 
-    __slots__ = ("tag", "at", "path", "parent", "noisy", "noise", "outer", "inside", "plain", "block", "region", "titled", "children")
+    __slots__ = ("tag", "at", "path", "parent", "noisy", "noise", "outer", "inside", "plain", "block", "region", "titled", "holds", "children")
 
     def __init__(self, tag: str, parent: Element | None, path: int | None, noise: bool, inside: str, plain: bool):
         self.tag, self.path, self.inside, self.plain, self.noise = tag, path, inside, plain, noise
@@ -110,10 +117,11 @@ class Element:
         self.block = self.at if tag in BLOCK else parent.block if parent else -1
         self.region = self.at if tag in ("article", "main") else parent.region if parent else -1
         self.titled = tag == "h1"
+        self.holds = False
         self.children: list[str] = []
 
     def flags(self) -> int:
-        return PLAIN_NODE * (self.plain and self.tag not in REGIONS) | DECLARED * self.noise | INSIDE * bool(self.inside) | TITLED * self.titled
+        return PLAIN_NODE * (self.plain and self.tag not in REGIONS) | DECLARED * self.noise | INSIDE * bool(self.inside) | TITLED * self.titled | ARTICLE * (bool(self.inside) and self.tag == "article") | MAIN * (bool(self.inside) and self.tag == "main") | HOLDS * self.holds
 
 
 def _label(tag: str, attributes: str, declared: bool = True) -> tuple[str, bool, bool]:
@@ -132,9 +140,9 @@ def _label(tag: str, attributes: str, declared: bool = True) -> tuple[str, bool,
 
 
 class Block:
-    """A block's text and the elements it is in: all paths from the outermost on, those of noise, the region, and what is below it and not plain."""
+    """A block's text and the elements it is in: all paths from the outermost on, those of noise, the region, what is below it and not plain, and the path of each region around it with what tells it from others there."""
 
-    __slots__ = ("text", "paths", "noise", "inside", "noise_inside", "named")
+    __slots__ = ("text", "paths", "noise", "inside", "noise_inside", "named", "regions")
 
     def __init__(self, text: str, nodes: list[Element], last: Element | None):
         self.text = text
@@ -148,6 +156,7 @@ class Block:
             e = e.outer if e.path is not None else None  # what is too deep for a node is never shown
         self.noise_inside = at < 0 or last.noisy is not None and last.noisy.at >= at
         self.named = [e.path for e in nodes[at + 1 :] if not e.plain] if at >= 0 else self.paths
+        self.regions = {e.path: id(e) for e in nodes if e.tag in ("article", "main")} if self.inside else {}
 
 
 def parse(page: str, declared: bool = True) -> tuple[list[Block], dict[int, tuple[int, int, list[str]]]]:
@@ -186,6 +195,8 @@ def parse(page: str, declared: bool = True) -> tuple[list[Block], dict[int, tupl
                 flush()
             if e.titled and stack:
                 stack[-1].titled = True
+            if stack and (e.holds or e.inside and e.tag in ("article", "main")):
+                stack[-1].holds = True
             if e.path is not None:
                 had = styles.get(e.path)
                 styles[e.path] = (e.parent, e.flags() | had[1], had[2]) if had else (e.parent, e.flags(), e.children)
@@ -253,15 +264,32 @@ def parse(page: str, declared: bool = True) -> tuple[list[Block], dict[int, tupl
 NOTHING: frozenset[int] = frozenset()
 
 
-def main_text(found: list[Block], cut: frozenset[int] | set[int] = NOTHING, cut_inside: frozenset[int] | set[int] = NOTHING, shown: frozenset[int] | set[int] = NOTHING) -> str:
-    """Text of the article: of the first kind of region that has any.  ``cut`` holds unimportant paths, ``cut_inside`` those unimportant enough to go from an article too, ``shown`` declared ones that are main branches."""
+def _one_of(own: list[Block], place: Callable[[Block], int | None]) -> list[Block]:
+    """The blocks of the longest of several regions, if it has half of all words; else all blocks."""
+    words: dict[int | None, int] = {}
+    for b in own:
+        words[place(b)] = words.get(place(b), 0) + b.text.count(" ") + 1
+    most = max(words, key=words.__getitem__)
+    return [b for b in own if place(b) == most] if 2 * words[most] >= sum(words.values()) else own
+
+
+def main_text(found: list[Block], cut: frozenset[int] | set[int] = NOTHING, cut_inside: frozenset[int] | set[int] = NOTHING, shown: frozenset[int] | set[int] = NOTHING, regions: frozenset[int] | set[int] = NOTHING) -> str:
+    """Text of the article.  ``cut`` holds unimportant paths, ``cut_inside`` those unimportant enough to go from a region too, ``shown`` declared ones that are main branches, and ``regions`` the region that the tree has chosen, or 0 if none; empty without a tree."""
+
+    def within(own: list[Block]) -> str:
+        left = [b.text for b in own if not any(p in cut_inside for p in b.named)]
+        every = [b.text for b in own]
+        return "\n".join(left if sum(map(len, left)) >= LEAST_LEFT * sum(map(len, every)) else every)
 
     clean = [b for b in found if not b.noise or shown and all(p in shown for p in b.noise)]
-    for region in ("article", "main"):
-        own = [b.text for b in clean if b.inside == region]
-        if own:
-            left = [b.text for b in clean if b.inside == region and not any(p in cut_inside for p in b.named)]
-            return "\n".join(left if sum(map(len, left)) >= LEAST_LEFT * sum(map(len, own)) else own)
+    for path in regions:
+        if own := [b for b in clean if path in b.regions]:
+            return within(_one_of(own, lambda b, path=path: b.regions[path]))
+    if not regions:
+        for region in ("article", "main"):
+            if own := [b for b in clean if b.inside == region]:
+                # the outermost regions of a kind are apart
+                return within(_one_of(own, lambda b: next(iter(b.regions.values()), None)))
     if clean:
         return "\n".join([b.text for b in clean if not any(p in cut for p in b.paths)] or [b.text for b in clean])
     return "\n".join(b.text for b in found if b.inside and not b.noise_inside)
@@ -343,29 +371,37 @@ def style_tree(pages: DataFrame, declared: bool = True) -> DataFrame:
 
 
 def judged(tree: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES, minor: float = MINOR) -> DataFrame:
-    """(host, path, cut, cut_inside, shown) of the nodes that a decision is made about; ``tree`` as of :func:`style_tree`."""
+    """(host, path, cut, cut_inside, shown, region) of the nodes that a decision is made about; ``tree`` as of :func:`style_tree`.  Every host with enough pages has one region, of path 0 if none holds what its pages say."""
     has = lambda bit: F.col("flags").bitwiseAND(F.lit(bit)) != 0
-    enough = F.col("pages") >= least_pages
-    beside = tree.where(enough).groupBy("host", "parent").agg(
+    nodes = tree.where(F.col("pages") >= least_pages)
+    # what a region says, against what is said outside of all regions
+    weight = F.when(has(ARTICLE), 2.0).when(has(MAIN) & ~has(DECLARED), 1.0)
+    rival = F.max(F.when(~has(INSIDE) & ~has(HOLDS) & ~has(DECLARED), F.col("information")))
+    chosen = nodes.groupBy("host").agg(rival.alias("rival"), F.max_by(F.struct("path", "information"), F.when(weight.isNotNull(), F.struct(weight * F.col("information"), "path"))).alias("best"))
+    wins = F.col("best").isNotNull() & (F.col("best.information") >= F.coalesce("rival", F.lit(0.0)))
+    chosen = chosen.select("host", F.when(wins, F.col("best.path")).otherwise(F.lit(0).cast("long")).alias("region"))
+    beside = nodes.groupBy("host", "parent").agg(
         F.max(F.struct("information", F.when(has(PLAIN_NODE), 0).otherwise(1).alias("container"), "path")).alias("top"),
         F.sum(F.when(~has(DECLARED), F.col("information"))).alias("undeclared"),
         F.sum("information").alias("all"),
     )
-    both = tree.where(enough).join(beside, ["host", "parent"])
+    both = nodes.join(beside, ["host", "parent"]).join(chosen, "host")
     composite = 0.2 * F.col("presentation") + 0.8 * F.col("information") / F.col("top.information")
     small = (F.col("top.information") > 0) & (F.col("top.container") == 1) & (composite < minor) & ~has(PLAIN_NODE) & ~has(TITLED)
     main = has(DECLARED) & (F.col("top.path") == F.col("path")) & (F.col("information") >= MAIN_SHARE * F.col("all")) & (F.col("content") >= MAIN_CONTENT) & (F.coalesce("undeclared", F.lit(0.0)) * 2 < F.col("information"))
     inside = has(INSIDE) & ~has(PLAIN_NODE) & (F.col("importance") < THRESHOLD_INSIDE) & (F.col("pages") >= LEAST_PAGES_INSIDE)
-    out = both.select("host", "path", (~has(INSIDE) & ((F.col("importance") < threshold) | small)).alias("cut"), inside.alias("cut_inside"), main.alias("shown"))
-    return out.where("cut or cut_inside or shown")
+    free = ~has(INSIDE) | (F.col("region") == 0)
+    out = both.select("host", "path", (free & ((F.col("importance") < threshold) | small)).alias("cut"), inside.alias("cut_inside"), main.alias("shown"), F.lit(False).alias("region"))
+    no = F.lit(False)
+    return out.where("cut or cut_inside or shown").unionByName(chosen.select("host", F.col("region").alias("path"), no.alias("cut"), no.alias("cut_inside"), no.alias("shown"), F.lit(True).alias("region")))
 
 
 def _extract(html_at: int, declared: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "html", 4 << 20):
-            n = block.num_columns - 3
+            n = block.num_columns - 4
             texts = []
-            for page, *sets in zip(*(block.column(i).to_pylist() for i in (html_at, n, n + 1, n + 2)), strict=True):
+            for page, *sets in zip(*(block.column(i).to_pylist() for i in (html_at, n, n + 1, n + 2, n + 3)), strict=True):
                 texts.append(main_text(parse(page, declared)[0], *(set(x or ()) for x in sets)) if page else "")
             yield pa.RecordBatch.from_arrays([*block.columns[:n], pa.array(texts, pa.string())], names=[*block.schema.names[:n], "main_text"])
 
@@ -380,9 +416,9 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
     else it is joined to the pages of its host, dealt out by ``salts``.
     """
     pages = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c != "main_text"])
-    host, salt, *lists = (unused(pages.columns, c) for c in ("_host", "_salt", "_cut", "_inside", "_shown"))
+    host, salt, *lists = (unused(pages.columns, c) for c in ("_host", "_salt", "_cut", "_inside", "_shown", "_region"))
     tree = judged(style_tree(pages, declared), threshold, least_pages, minor)
-    decided = [F.collect_list(F.when(F.col(flag), F.col("path"))).alias(name) for flag, name in zip(("cut", "cut_inside", "shown"), lists, strict=True)]
+    decided = [F.collect_list(F.when(F.col(flag), F.col("path"))).alias(name) for flag, name in zip(("cut", "cut_inside", "shown", "region"), lists, strict=True)]
     cut = written(tree.groupBy(F.col("host").alias(host)).agg(*decided))
     paths = cut.agg(F.sum(1 + sum(F.size(c) for c in lists))).first()[0] or 0
     own = host_of("url")
