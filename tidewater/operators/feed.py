@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.sinks import Ledger, delete_folder
+from ..staging import written
 
 CHANGE, VERSION = "_change", "_version"
 INSERT, BEFORE, AFTER, DELETE = "insert", "update_before", "update_after", "delete"
+#: So many changed keys can be sent to all tasks.
+FEW = 200_000
 
 
 def quoted(columns: Iterable[str]) -> list[Column]:
@@ -34,8 +37,9 @@ def diff(before: DataFrame | None, after: DataFrame, keys: list[str], version: i
     A key that only ``after`` has is an insert, one that only ``before`` has a
     delete (with the row that went), and a key whose rows differ in any column
     gives the row before and the row after.  Null keys meet each other.  Rows are
-    compared by two 64-bit hashes: only keys and hashes are shuffled, whole rows
-    of changed keys alone.  A column that ``before`` lacks counts as null there,
+    compared by two 64-bit hashes: keys and hashes are shuffled at once, which says
+    what changed.  Up to FEW changed keys go to the rows, which then stay where they
+    are; more are joined by shuffling.  A column that ``before`` lacks counts as null there,
     one that ``after`` lacks isn't compared.  A key must be unique in either
     version; a repeated one makes the feed fail when it runs.  Without ``before``
     every row is an insert.
@@ -56,7 +60,9 @@ def diff(before: DataFrame | None, after: DataFrame, keys: list[str], version: i
     count = lambda side: F.count_if(F.col("_side") == side)
     both = hashed(before, 0).unionByName(hashed(after, 1)).groupBy("_k").agg(count(0).alias("_n0"), count(1).alias("_n1"), *[own(s, h).alias(f"{h}_{s}") for s in (0, 1) for h in ("_h1", "_h2")])
     kind = F.when((F.col("_n0") > 1) | (F.col("_n1") > 1), several).when(F.col("_n0") == 0, INSERT).when(F.col("_n1") == 0, DELETE).when((F.col("_h1_0") != F.col("_h1_1")) | (F.col("_h2_0") != F.col("_h2_1")), "update")
-    changed = both.select("_k", kind.alias("_kind")).where("_kind is not null")
+    changed = written(both.select("_k", kind.alias("_kind")).where("_kind is not null"))
+    if changed.count() <= FEW:
+        changed = F.broadcast(changed)
     sides = ((before, {"update": BEFORE, DELETE: DELETE}), (after, {"update": AFTER, INSERT: INSERT}))
     out = None
     for df, names in sides:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import Ledger, delete_folder
-from ..staging import discard, written
+from ..staging import discard, reclaim, written
 from .feed import AFTER, BEFORE, CHANGE, DELETE, INSERT, VERSION
 from .search import asked_words, bm25, enough, fuse, ranks_among, top, words
 from .vectors import cosines, nearest, unit
@@ -125,6 +125,7 @@ class ChunkIndex:
         segments = state.get("segments", [])
         self._put(state, added, gone, segments, version)
         discard(own)
+        reclaim(self.spark)  # what was shuffled for the segment
         if len(segments) + 1 > MOST_SEGMENTS:
             self.compact()
 
