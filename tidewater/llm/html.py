@@ -106,10 +106,10 @@ PLAIN_NODE, DECLARED, INSIDE, TITLED, ARTICLE, MAIN, HOLDS = 1, 2, 4, 8, 16, 32,
 class Element:
     """An open element.  ``path`` is None beyond DEEPEST; ``noisy`` is the chain of elements that are noise, from the innermost on, ``block`` and ``region`` the places of the innermost block and article or main (-1: none), itself included."""
 
-    __slots__ = ("tag", "at", "path", "parent", "noisy", "noise", "outer", "inside", "plain", "block", "region", "titled", "holds", "children")
+    __slots__ = ("tag", "at", "path", "parent", "noisy", "noise", "outer", "inside", "plain", "block", "region", "titled", "holds", "number", "children")
 
-    def __init__(self, tag: str, parent: Element | None, path: int | None, noise: bool, inside: str, plain: bool):
-        self.tag, self.path, self.inside, self.plain, self.noise = tag, path, inside, plain, noise
+    def __init__(self, tag: str, parent: Element | None, path: int | None, noise: bool, inside: str, plain: bool, number: int):
+        self.tag, self.path, self.inside, self.plain, self.noise, self.number = tag, path, inside, plain, noise, number
         self.at = parent.at + 1 if parent else 0
         self.parent = parent.path if parent else 0
         self.outer = parent.noisy if parent else None
@@ -140,7 +140,7 @@ def _label(tag: str, attributes: str, declared: bool = True) -> tuple[str, bool,
 
 
 class Block:
-    """A block's text and the elements it is in: all paths from the outermost on, those of noise, the region, what is below it and not plain, and the path of each region around it with what tells it from others there."""
+    """A block's text and the elements it is in: all paths from the outermost on, those of noise, the region, what is below it and not plain, and the path and place in the page of each region around it."""
 
     __slots__ = ("text", "paths", "noise", "inside", "noise_inside", "named", "regions")
 
@@ -156,7 +156,7 @@ class Block:
             e = e.outer if e.path is not None else None  # what is too deep for a node is never shown
         self.noise_inside = at < 0 or last.noisy is not None and last.noisy.at >= at
         self.named = [e.path for e in nodes[at + 1 :] if not e.plain] if at >= 0 else self.paths
-        self.regions = {e.path: id(e) for e in nodes if e.tag in ("article", "main")} if self.inside else {}
+        self.regions = {e.path: e.number for e in nodes if e.tag in ("article", "main")} if self.inside else {}
 
 
 def parse(page: str, declared: bool = True) -> tuple[list[Block], dict[int, tuple[int, int, list[str]]]]:
@@ -255,7 +255,7 @@ def parse(page: str, declared: bool = True) -> tuple[list[Block], dict[int, tupl
         if not m[0].endswith("/>") or tag in BLOCK:
             path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{label}") - (1 << 63) if len(stack) < DEEPEST else None
             places.setdefault(tag, []).append(len(stack))
-            stack.append(Element(tag, parent, path, noise, inside, tag in PLAIN and not named))
+            stack.append(Element(tag, parent, path, noise, inside, tag in PLAIN and not named, at))
     close(0)
     flush()
     return out, styles
