@@ -148,6 +148,10 @@ def policy_accounts(ctx: Context) -> DataFrame:
     return governance.read_as(ctx, "accounts", ANALYST, policy, _mapping(ctx)).select("account_id", "account_name", "territory_id", "region")
 
 
+def agent_accounts(ctx: Context) -> DataFrame:
+    return governance.agent_accounts(ctx)
+
+
 def fiscal_calendar(ctx: Context) -> DataFrame:
     days = ctx.read("orders").select(F.col("o_orderdate").cast("date").alias("date_key")).distinct()
     return days.select("date_key", c.fiscal_year("date_key").alias("fiscal_year"), c.fiscal_quarter("date_key").alias("fiscal_quarter"), c.fiscal_period("date_key").alias("fiscal_period"), c.is_weekend("date_key").alias("is_weekend"))
@@ -244,7 +248,7 @@ def stream_event_counts(ctx: Context) -> DataFrame:
 
 BUILDS = {f.__name__: f for f in (
     doc_pii_mask, doc_addresses, doc_token_estimate, doc_chunks, doc_metadata, doc_contract_type, vector_topk, keyword_topk, hybrid_topk, answer_scores, eval_gates, retrieval_scores, actionable_accounts, proposals,
-    masked_customers, finance_customers, masked_cases, territory_row_filter, policy_account_health, policy_accounts, fiscal_calendar, dq_expectations, dq_unique_key, dq_row_count_band, fifo_allocation, golden_customers, product_current,
+    masked_customers, finance_customers, masked_cases, territory_row_filter, policy_account_health, policy_accounts, agent_accounts, fiscal_calendar, dq_expectations, dq_unique_key, dq_row_count_band, fifo_allocation, golden_customers, product_current,
     merge_upsert, merge_soft_delete, merge_scoped_delete, contract_amendments, registry_lineage, stream_event_counts,
 )}
 
@@ -343,6 +347,11 @@ SELECT l_orderkey, CASE WHEN len(want) > 0 THEN round(len(list_distinct(hits)) /
     "actionable_accounts": with_relations(f"SELECT account_id, {_P} AS priority, CASE WHEN {_P} = 'P1' THEN 'csm_escalation' ELSE 'dunning_email' END AS action_type, {_SIGNAL} AS signal, left(sha256(account_id || '::run-1'), 24) AS action_id FROM ({_MONITORED})"),
     "masked_customers": with_relations("SELECT customer_id, '****@' || split_part(payment_contact_email, '@', 2) AS payment_contact_email, '***-***-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4) AS phone, '***-**-' || right(tax_id, 4) AS tax_id, batch FROM erp_customers"),
     "finance_customers": with_relations("SELECT customer_id, '****@' || split_part(payment_contact_email, '@', 2) AS payment_contact_email, '***-***-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4) AS phone, tax_id, batch FROM erp_customers"),
+    "agent_accounts": with_relations("""SELECT account_id, account_name, region, health_score, CASE WHEN e.email IS NULL OR NOT contains(e.email, '@') THEN '****' ELSE '****@' || split_part(e.email, '@', 2) END AS primary_contact_email,
+  CASE WHEN total_contract_amount < 10000 THEN 'under 10,000' WHEN total_contract_amount < 100000 THEN '10,000 to 100,000' WHEN total_contract_amount < 1000000 THEN '100,000 to 1,000,000' WHEN total_contract_amount IS NOT NULL THEN '1,000,000 and more' END AS contract_band,
+  'FY' || (year(latest_contract_date) + CASE WHEN month(latest_contract_date) >= 2 THEN 1 ELSE 0 END) || '-Q' || ((month(latest_contract_date) + 10) % 12 // 3 + 1) AS latest_contract_quarter
+FROM accounts JOIN silver_customer USING (customer_sk) LEFT JOIN (SELECT customer_id, max_by(payment_contact_email, batch) AS email FROM erp_customers GROUP BY 1) e ON e.customer_id = erp_customer_id
+LEFT JOIN (SELECT customer_sk, health_score FROM gold_account_health) USING (customer_sk) LEFT JOIN (SELECT customer_sk, total_contract_amount, latest_contract_date FROM gold_customer_360) USING (customer_sk)"""),
     "policy_account_health": with_relations("SELECT customer_sk, CASE WHEN company_name IS NOT NULL THEN '[REDACTED]' END AS company_name, country, health_tier FROM gold_account_health"),
     "policy_accounts": with_relations("SELECT account_id, CASE WHEN account_name IS NOT NULL THEN '[REDACTED]' END AS account_name, territory_id, region FROM accounts WHERE territory_id IN ('T1', 'T7')"),
     "masked_cases": with_relations("SELECT case_id, CASE WHEN subject_text IS NOT NULL THEN '[REDACTED]' END AS subject_text, CASE WHEN description_text IS NOT NULL THEN '[REDACTED]' END AS description_text FROM silver_case"),

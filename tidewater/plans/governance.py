@@ -93,6 +93,29 @@ def read_as(ctx: Context, name: str, who: Principal, policy: Policy, mapping: Da
     return masked(df, name, policy, who)
 
 
+def band(amount: Column | str, *steps: float) -> Column:
+    """The half-open step an amount is in, as text: under the first, from one to the next, or the last and more; null for null."""
+    a = F.col(amount) if isinstance(amount, str) else amount
+    out = F.when(a < steps[0], f"under {steps[0]:,.0f}")
+    for low, high in zip(steps, steps[1:], strict=False):
+        out = out.when(a < high, f"{low:,.0f} to {high:,.0f}")
+    return out.when(a.isNotNull(), f"{steps[-1]:,.0f} and more")
+
+
+#: Steps of money that agents may see.
+MONEY_STEPS = (10_000.0, 100_000.0, 1_000_000.0)
+
+
+def agent_accounts(ctx: Context) -> DataFrame:
+    """What agents may read of accounts, whoever asks: addresses masked, money in bands, quarters instead of days; raw amounts, tax ids and free text are left out."""
+    contact = ctx.read("erp_customers").groupBy(F.col("customer_id").alias("erp_customer_id")).agg(F.max_by("payment_contact_email", "batch").alias("_email"))
+    who = ctx.read("silver_customer").select("customer_sk", "erp_customer_id").join(contact, "erp_customer_id", "left")
+    health = ctx.read("gold_account_health").select("customer_sk", "health_score")
+    money = ctx.read("gold_customer_360").select("customer_sk", "total_contract_amount", "latest_contract_date")
+    out = ctx.read("accounts").join(who, "customer_sk").join(health, "customer_sk", "left").join(money, "customer_sk", "left")
+    return out.select("account_id", "account_name", "region", "health_score", c.mask_email("_email").alias("primary_contact_email"), band("total_contract_amount", *MONEY_STEPS).alias("contract_band"), c.fiscal_quarter("latest_contract_date").alias("latest_contract_quarter"))
+
+
 def register_sql_masks(spark) -> None:
     """The masks as SQL functions of the session, for unprivileged readers; ``reader_groups`` holds the reader's groups."""
     spark.sql("DECLARE OR REPLACE VARIABLE reader_groups ARRAY<STRING> DEFAULT array()")
