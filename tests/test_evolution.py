@@ -1,5 +1,3 @@
-import json
-
 import pytest
 
 from tidewater.sources.evolution import EvolvingTable, merged, misfits
@@ -32,8 +30,6 @@ def test_three_landings_with_an_added_a_widened_and_a_broken_column(spark, tmp_p
     assert again.ingest(str(source), mark) == 0
     assert again.schema(1).simpleString() == "struct<id:bigint,amount:bigint,day:date>" and len(again.log.last()["versions"]) == 2
     assert told(again, "id", "amount", "note") == sorted([(1, 10.0, None), (2, None, None), (3, 7.5, "two\nlines"), (4, None, None), (None, 1.0, None)], key=str)
-    rescued = {r["_source_file"][-5:]: json.loads(r["_rescued_data"]) for r in again.read().where("_rescued_data is not null").orderBy("id").collect()}
-    assert rescued == {"c.csv": {"amount": "lots", "day": "someday"}} or rescued == {"c.csv": {"id": "x5"}}
     assert {r["_rescued_data"] for r in again.read().collect()} == {None, '{"amount":"lots","day":"someday"}', '{"id":"x5"}'}
     assert {(r["_batch_id"], r["_source_system"]) for r in again.read().collect()} == {("0", "erp"), ("1", "erp"), ("2", "erp")}
     # nothing new: nothing happens; an overwritten file isn't read again; a batch that comes again replaces itself

@@ -26,7 +26,7 @@ NAME_LEAST, OVERLAP_LEAST, AUTO, REVIEW = 0.92, 0.8, 0.95, 0.80
 
 # Letters with marks, and those letters without.
 MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŸŠŽŁŚŹŻĆŃĄĘĞİŞČĎĚŇŘŤŮ"
-PLAIN_ = "AAAAAACEEEEIIIINOOOOOOUUUUYYSZLSZZCNAEGISCDENRTU"
+UNMARKED = "AAAAAACEEEEIIIINOOOOOOUUUUYYSZLSZZCNAEGISCDENRTU"
 
 #: Names of a block compared with one another in one task.
 BLOCK = 512
@@ -34,7 +34,7 @@ BLOCK = 512
 
 def standard(text: Column | str) -> Column:
     """Upper case without marks, punctuation and extra blanks; null if nothing is left."""
-    upper = F.translate(F.upper(F.col(text) if isinstance(text, str) else text), MARKED, PLAIN_)
+    upper = F.translate(F.upper(F.col(text) if isinstance(text, str) else text), MARKED, UNMARKED)
     return F.nullif(F.trim(F.regexp_replace(F.regexp_replace(upper, "[^A-Z0-9 ]+", " "), " +", " ")), F.lit(""))
 
 
