@@ -112,7 +112,15 @@ def history_clients(ctx: Context) -> DataFrame:
     return table.read().select("client_id", "change_id", "op", "segment", "city", "balance", F.col("__START_AT").alias("start_at"), F.col("__END_AT").alias("end_at"))
 
 
-BUILDS = {f.__name__: f for f in (index_keyword_topk, index_hybrid_topk, index_vector_topk, nearest_neighbours, change_feed_clients, file_actions, history_clients)}
+def stream_enriched_sales(ctx: Context) -> DataFrame:
+    """Sales with their client's segment and nation, joined as they stream in and drained to a table."""
+    static, at = ctx.read("clients").select("client_id", "segment", "nation_id"), place(ctx.spark)
+    stream = _stream_of(ctx, "sales").select("sale_id", "client_id", "status", "total")
+    flows.drain(flows.enrich(stream, static, "client_id"), f"{at}/_mark", f"{at}/rows")
+    return ctx.spark.read.parquet(f"{at}/rows").select("sale_id", "client_id", "status", "total", "segment", "nation_id")
+
+
+BUILDS = {f.__name__: f for f in (stream_enriched_sales, index_keyword_topk, index_hybrid_topk, index_vector_topk, nearest_neighbours, change_feed_clients, file_actions, history_clients)}
 
 
 def _clients(day: str) -> str:
@@ -123,6 +131,7 @@ def _clients(day: str) -> str:
 _FILES = """SELECT c.client_id::VARCHAR AS f, c.source, master_id::VARCHAR AS k, seq::INT AS v, sha256(concat_ws('|', c.segment, c.city, c.balance::DOUBLE)) AS h FROM {0} c LEFT JOIN clients USING (client_id)"""
 
 ORACLES = {
+    "stream_enriched_sales": "SELECT sale_id, s.client_id, status, total, segment, nation_id FROM sales s LEFT JOIN clients c ON c.client_id = s.client_id",
     "index_keyword_topk": SCANS["keyword_topk"],
     "index_hybrid_topk": SCANS["hybrid_topk"],
     "index_vector_topk": SCANS["vector_topk"],

@@ -14,6 +14,7 @@ from .plans.registry import Context, materialize
 from .plans.runlog import RunLog
 from .sources.evolution import EvolvingTable
 from .staging import place
+from .streaming import flows
 
 
 def dq_rule_catalog(ctx: Context) -> DataFrame:
@@ -33,8 +34,8 @@ def run_log_rules(ctx: Context) -> DataFrame:
     return dashboards.rule_pass_rates(told, dt.datetime.now(dt.UTC).replace(tzinfo=None) + dt.timedelta(hours=1), 24).where("dataset IN ('silver_invoice', 'silver_case', 'silver_contract')")
 
 
-def evolving_sales(ctx: Context) -> DataFrame:
-    """Sales as three landings of CSV files: without totals, with whole ones, and as they are, with statuses in place of some totals; all taken up by one stream."""
+def _evolved(ctx: Context) -> DataFrame:
+    """Sales as three landings of CSV files: without totals, with whole ones, and as they are, with a word in place of some totals; all taken up by one stream."""
     sales = ctx.read("sales").where("sale_id IS NOT NULL")
     month = F.month("sold_at")
     source, table = place(ctx.spark), EvolvingTable(ctx.spark, place(ctx.spark), "shop")
@@ -47,7 +48,18 @@ def evolving_sales(ctx: Context) -> DataFrame:
     for n, landing in enumerate(landings, 1):
         landing.write.option("header", True).csv(f"{source}/dt=2024-0{n}-01")
         table.ingest(source, checkpoint)
-    return table.read().select("sale_id", "status", "total", "priority", F.get_json_object("_rescued_data", "$.total").alias("rescued_total"))
+    return table.read()
+
+
+def evolving_sales(ctx: Context) -> DataFrame:
+    return _evolved(ctx).select("sale_id", "status", "total", "priority", F.get_json_object("_rescued_data", "$.total").alias("rescued_total"))
+
+
+def quarantined_sales(ctx: Context) -> DataFrame:
+    """How many rows of each status are clean, and how many are in quarantine with a total that is none."""
+    clean, held = flows.split_rescued(_evolved(ctx))
+    both = clean.select("status", F.lit("clean").alias("state")).unionByName(held.select("status", F.lit("quarantine").alias("state")))
+    return both.groupBy("status", "state").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def chunk_utilisation(ctx: Context) -> DataFrame:
@@ -62,7 +74,7 @@ def chunk_utilisation(ctx: Context) -> DataFrame:
     return evals.chunk_use(answers.select("answer_id", "answer"), retrieved)
 
 
-BUILDS = {f.__name__: f for f in (dq_rule_catalog, dq_scorecard, run_log_rules, evolving_sales, chunk_utilisation)}
+BUILDS = {f.__name__: f for f in (dq_rule_catalog, dq_scorecard, run_log_rules, evolving_sales, quarantined_sales, chunk_utilisation)}
 
 _CURRENCY = "currency NOT IN ('USD', 'EUR', 'GBP', 'JPY', 'AUD', 'CAD', 'INR')"
 #: By hand: dataset, rule, kind, and when a row breaks it.
@@ -103,6 +115,7 @@ ORACLES = {
     "dq_scorecard": with_relations(f"SELECT dataset, count(*) AS rules, count(*) FILTER (failed > 0) AS broken_rules, max(rows) AS rows, sum(failed)::BIGINT AS failed, coalesce(round(100.0 * (sum(rows) - sum(failed)) / nullif(sum(rows), 0), 2), 100.0) AS score FROM ({_CHECKED}) GROUP BY dataset"),
     "evolving_sales": """SELECT sale_id, status, CASE WHEN month(sold_at) = 1 THEN NULL WHEN month(sold_at) = 2 THEN trunc(total)::DOUBLE WHEN status = 'open' THEN NULL ELSE total END AS total,
   CASE WHEN month(sold_at) IN (1, 2) THEN NULL ELSE priority::BIGINT END AS priority, CASE WHEN coalesce(month(sold_at), 3) > 2 AND status = 'open' THEN 'unknown' END AS rescued_total FROM sales WHERE sale_id IS NOT NULL""",
+    "quarantined_sales": """SELECT status, CASE WHEN coalesce(month(sold_at), 3) > 2 AND status = 'open' THEN 'quarantine' ELSE 'clean' END AS state, count(*) AS rows FROM sales WHERE sale_id IS NOT NULL GROUP BY ALL""",
     "chunk_utilisation": f"""WITH t AS {_TURN},
 a AS (SELECT conv_id || '-' || turn AS answer_id, conv_id, turn, {_SPLIT.format("text")} AS w FROM t WHERE role = 'assistant'),
 g AS (SELECT DISTINCT answer_id, array_to_string(w[i:i + 4], ' ') AS run FROM (SELECT answer_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM a WHERE len(w) >= 5)),
