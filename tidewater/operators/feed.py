@@ -105,7 +105,7 @@ class VersionedTable:
     def write(self, df: DataFrame) -> int:
         """The next version, and its number; ``df`` may read earlier ones."""
         place = f"{self.path}/v={uuid.uuid4().hex}"
-        df.write.parquet(place)
+        df.write.option("compression", "zstd").parquet(place)
         versions = self._versions()
         number = max(map(int, versions), default=0) + 1
         schemas = self.ledger.last().get("schemas", {}) | {str(number): df.schema.json()}

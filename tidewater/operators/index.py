@@ -133,15 +133,15 @@ class ChunkIndex:
         flag = F.coalesce(F.col(self.current), F.lit(False)) if self.current else F.lit(True)
         rows = added.select(F.col(self.key).alias("key"), F.coalesce(F.col(self.text), F.lit("")).alias("_t"), F.col(self.vector).cast("array<double>").alias("vector"), flag.alias("current"), *[F.col(a).alias(f"a_{a}") for a in self.attributes])
         place = f"{self.path}/s={uuid.uuid4().hex}"
-        rows.select("key", F.size(words("_t")).alias("length"), "current", *[f"a_{a}" for a in self.attributes]).write.parquet(f"{place}/rows")
+        rows.select("key", F.size(words("_t")).alias("length"), "current", *[f"a_{a}" for a in self.attributes]).write.option("compression", "zstd").parquet(f"{place}/rows")
         gone.distinct().write.parquet(f"{place}/gone")
         kind = rows.schema["key"].dataType.simpleString()
         terms = rows.select("key", "current", "_t").mapInArrow(_postings, f"term string, {ENTRIES.format(k=kind)}").withColumn("_bucket", self._bucket(F.col("term")))
         terms = terms.repartition("_bucket", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(4))).sortWithinPartitions("_bucket", "term")
-        terms.write.partitionBy("_bucket").parquet(f"{place}/postings")
+        terms.write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{place}/postings")
         vectors = rows.where("vector is not null").select("key", "current", "vector")
         state = state | self._fitted(state, vectors)
-        self._deal(self._placed(state, vectors), "_cell", "key").write.partitionBy("_cell").parquet(f"{place}/vectors")
+        self._deal(self._placed(state, vectors), "_cell", "key").write.option("compression", "zstd").partitionBy("_cell").parquet(f"{place}/vectors")
         record = {k: state[k] for k in ("model", "centres", "probes") if k in state} | {"version": version}
         record["segments"] = [*before, {"place": place, "number": max((s["number"] for s in before), default=0) + 1}]
         self.ledger.put(record | {"totals": self._totals(record["segments"])})
@@ -193,11 +193,11 @@ class ChunkIndex:
         if len(old) < 2:
             return
         place = f"{self.path}/s={uuid.uuid4().hex}"
-        self._live("rows", old).write.parquet(f"{place}/rows")
+        self._live("rows", old).write.option("compression", "zstd").parquet(f"{place}/rows")
         entries = self._deal(self._live("postings", old), "_bucket", "term").select("_bucket", "term", "key", "current", "length", "count")
         kind = entries.schema["key"].dataType.simpleString()
-        entries.mapInArrow(_gathered, f"_bucket int, term string, {ENTRIES.format(k=kind)}").write.partitionBy("_bucket").parquet(f"{place}/postings")
-        self._deal(self._live("vectors", old), "_cell", "key").write.partitionBy("_cell").parquet(f"{place}/vectors")
+        entries.mapInArrow(_gathered, f"_bucket int, term string, {ENTRIES.format(k=kind)}").write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{place}/postings")
+        self._deal(self._live("vectors", old), "_cell", "key").write.option("compression", "zstd").partitionBy("_cell").parquet(f"{place}/vectors")
         self.spark.read.parquet(f"{old[0]['place']}/gone").limit(0).write.parquet(f"{place}/gone")
         self.ledger.put(state | {"segments": [{"place": place, "number": 1}]})
         for s in old:
