@@ -68,6 +68,11 @@ def test_mask_pii(spark, text, want):
     assert one(spark, F.size(t.pii_found(t.mask_pii("v"))), v=text) == 0
 
 
+@pytest.mark.parametrize(("text", "want"), [("Call 415-555-0199,415-555-0198 now", "Call [PHONE],[PHONE] now"), ("4270558249789290 +1 (427) 555-1339", "4270558249789290 [PHONE]")])
+def test_mask_pii_of_numbers_that_follow_at_once(spark, text, want):
+    assert one(spark, t.mask_pii("v"), v=text) == want
+
+
 def test_pii_found(spark):
     assert one(spark, t.pii_found("v"), v="415-555-0199, CD-2025-0142, 2025-01-15, a@b.co") == ["a@b.co", "415-555-0199"]
 

@@ -81,6 +81,12 @@ def test_no_close_pair_is_lost_by_the_bound():
     assert {(i, j) for i, j, _ in matching.close_names(names, names, 0.9)} == want
 
 
+def test_u_is_a_vowel_and_v_sounds_like_b(spark):
+    """As in Soundex: the first pair shares A515 by its V, the second doesn't share a sound, as U has no digit."""
+    names = spark.createDataFrame([("D", "ANVINI VICGUKOSTROM"), ("D", "ANVINIAVICGUKOSTROM"), ("F", "ELOLLU MALOLOSTROM"), ("F", "ELOLLUMALOLOSTROM")], "country string, name string")
+    assert [(r["a"], r["b"]) for r in matching.similar_names(names).collect()] == [("ANVINI VICGUKOSTROM", "ANVINIAVICGUKOSTROM")]
+
+
 @pytest.mark.parametrize("block", [512, 3])
 def test_matches_are_those_of_all_pairs(spark, block, monkeypatch):
     rows = matching.standardized(spark.createDataFrame(people(block, 160), SCHEMA))
