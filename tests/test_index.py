@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,20 @@ def test_queries_of_the_index_match_a_scan(spark):
 
     for one, other in (("index_keyword_topk", "keyword_topk"), ("index_hybrid_topk", "hybrid_topk"), ("index_vector_topk", "vector_topk")):
         assert sorted(map(tuple, queries.QUERIES[one](spark, DATA).collect())) == sorted(map(tuple, queries.QUERIES[other](spark, DATA).collect()))
+
+
+def test_many_questions_hold_little_at_once():
+    """The first rows of a task are candidates of every question, but only the k best of them are kept."""
+    rows = np.random.default_rng(3).standard_normal((1500, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows.tolist(), pa.list_(pa.float64()))], names=["k", "v"])
+    run = vectors._best(vectors.unit(rows[:1000]), list(range(1000)), 3)
+    tracemalloc.start()
+    (found,) = run(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {}
+    for q, key, _ in zip(*[c.to_pylist() for c in found.columns], strict=True):
+        got.setdefault(q, []).append(key)
+    scores = np.round(vectors.unit(rows) @ vectors.unit(rows[:1000]).T, 6) + 0.0
+    assert got == {q: sorted(range(len(rows)), key=lambda i, q=q: (-scores[i, q], i))[:3] for q in range(1000)}
+    assert peak < 64 << 20

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Numbers of questions' vectors that go to the tasks at once.
 MOST_NUMBERS = 1 << 20
+#: Scores that a task holds at once.
+MOST_SCORES = 1 << 20
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -54,14 +56,18 @@ def _best(asked: np.ndarray, names: list, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple[float, object]]] = [[] for _ in names]
         least = np.full(len(names), -np.inf)  # of the k best so far
+        step = max(1, min(1024, MOST_SCORES // len(names)))
         kind = None
         for b in batches:
             kind = b.column(0).type
             at, own = matrix(b.column(1), asked.shape[1])
-            for start in range(0, len(at), 1024):
-                keys = b.column(0).take(pa.array(at[start : start + 1024])).to_pylist()
-                scores = np.round(unit(own[start : start + 1024]) @ asked.T, 6) + 0.0
-                row, question = np.nonzero(scores >= least)
+            for start in range(0, len(at), step):
+                keys = b.column(0).take(pa.array(at[start : start + step])).to_pylist()
+                scores = np.round(unit(own[start : start + step]) @ asked.T, 6) + 0.0
+                floor = least
+                if len(keys) > k:  # rows below the k best of these can't be among the k best of all
+                    floor = np.maximum(least, np.partition(np.where(np.isnan(scores), -np.inf, scores), len(keys) - k, axis=0)[len(keys) - k])
+                row, question = np.nonzero(scores >= floor)
                 for i, q in zip(row.tolist(), question.tolist(), strict=True):
                     held[q].append((-float(scores[i, q]), keys[i]))
                 for q in set(question.tolist()):
