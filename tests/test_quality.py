@@ -109,3 +109,25 @@ def test_chunk_use_against_plain(spark):
     assert got == want and any(r[5] for r in want)
     share = {r["answer_id"]: (r["chunks"], r["used_chunks"], r["utilisation"]) for r in evals.utilisation(spark.createDataFrame(list(got), "answer_id string, chunk_id int, words long, used_words long, longest_run long, used boolean")).collect()}
     assert share["none"] == (5, 0, 0.0) and all(u == round(k / n, 6) for n, k, u in share.values())
+
+
+def test_row_rules_are_counted_with_a_key(spark, tmp_path):
+    """A dataset with row rules and a reference is read once, and its null keys and dangling ones count as before."""
+    for name, rows in (("d", [(1, 5.0), (1, None), (2, 3.0), (9, None), (None, 1.0)]), ("p", [(1, 0.0), (2, 0.0), (2, 0.0)])):
+        spark.createDataFrame(rows, "k int, v double").write.parquet(f"{tmp_path}/{name}")
+    wanted = [*rules.not_null("d", "v"), rules.within("d", "v", 2.0, None), rules.references("d", "k", "p", "k")]
+    out = rules.check(wanted, lambda n: spark.read.parquet(f"{tmp_path}/{n}"), dt.date(2000, 1, 1))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert sorted(tuple(r) for r in out.collect()) == [("d", "k_in_p", "references", 5, 1), ("d", "v_not_null", "not_null", 5, 2), ("d", "v_within", "within", 5, 1)]
+    none = rules.check([*wanted, rules.unique("d", "k")], lambda n: spark.read.parquet(f"{tmp_path}/{n}").limit(0), dt.date(2000, 1, 1))
+    assert {(r["rows"], r["failed"]) for r in none.collect()} == {(0, 0)} and none.count() == 4
+
+
+def test_invoices_are_made_once_for_several_readers(spark):
+    from tidewater import more_queries, quality_queries
+
+    for build in (more_queries.actionable_accounts, quality_queries.dq_scorecard):
+        ctx = q.context(spark, DATA)
+        plan = build(ctx)._jdf.queryExecution().optimizedPlan().toString()
+        # only the rules of payments themselves read line items in the query; invoices are read from where they were written
+        assert plan.count("AS payment_amount") == (1 if build is quality_queries.dq_scorecard else 0), build

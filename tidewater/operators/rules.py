@@ -89,35 +89,40 @@ def _broken(rule: Rule, today: dt.date) -> Column:
 def check(rules: list[Rule], read: Callable[[str], DataFrame], today: dt.date) -> DataFrame:
     """(dataset, rule, kind, rows, failed) of every rule; ``read`` gives datasets by name.
 
-    A dataset's row rules, however many, are one aggregation over it.  A unique
-    key is one aggregation by key, which counts rows beyond the first.  A reference
-    is one anti-join of the values in use with the parent's keys.
+    A dataset's row rules, however many, are one aggregation over it; if it has a
+    unique key or a reference, they are counted with the first of these, by its
+    key.  A unique key is one aggregation by key, which counts rows beyond the
+    first.  A reference is one join of the values in use with the parent's keys.
     """
     names = list(dict.fromkeys((r.dataset, r.name) for r in rules))
     if len(names) != len(rules):
         raise ValueError("a dataset has two rules of one name")
     parts = []
 
-    def told(rule: Rule, rows: Column, failed: Column) -> Column:
-        return F.struct(F.lit(rule.dataset).alias("dataset"), F.lit(rule.name).alias("rule"), F.lit(rule.kind).alias("kind"), rows.cast("long").alias("rows"), F.coalesce(failed, F.lit(0)).cast("long").alias("failed"))
+    def told(rule: Rule, failed: Column) -> Column:
+        return F.struct(F.lit(rule.dataset).alias("dataset"), F.lit(rule.name).alias("rule"), F.lit(rule.kind).alias("kind"), F.coalesce("n", F.lit(0)).cast("long").alias("rows"), F.coalesce(failed, F.lit(0)).cast("long").alias("failed"))
 
     for dataset in dict.fromkeys(r.dataset for r in rules):
         df, own = read(dataset), [r for r in rules if r.dataset == dataset]
-        by_row = [r for r in own if r.kind not in ("references", "unique")]
-        if by_row:
-            counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(_broken(r, today)).alias(f"f{i}") for i, r in enumerate(by_row)])
-            parts.append(counts.select(F.explode(F.array(*[told(r, F.col("n"), F.col(f"f{i}")) for i, r in enumerate(by_row)])).alias("t")).select("t.*"))
-        for rule in own:
-            if rule.kind == "unique":
-                keys = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
-                parts.append(keys.agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("f")).select(told(rule, F.coalesce("n", F.lit(0)), F.col("f")).alias("t")).select("t.*"))
-            elif rule.kind == "references":
-                parent, key = rule.args
-                used = df.groupBy(F.col(rule.columns[0]).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-                known = read(parent).select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct().withColumn("_here", F.lit(True))
-                joined = used.join(known, F.col("_v") == F.col("_k"), "left")
-                missing = F.sum(F.when(F.col("_v").isNotNull() & F.col("_here").isNull(), F.col("n")))
-                parts.append(joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), missing.alias("f")).select(told(rule, F.col("n"), F.col("f")).alias("t")).select("t.*"))
+        by_row, by_key = ([r for r in own if (r.kind in ("references", "unique")) == keyed] for keyed in (False, True))
+        for rule in by_key or [None]:
+            counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(_broken(r, today)).alias(f"f{i}") for i, r in enumerate(by_row)]]
+            failed = [(r, F.col(f"f{i}")) for i, r in enumerate(by_row)]
+            by_row = []
+            if rule is None:
+                whole = df.agg(*counts)
+            else:
+                sums = [F.sum(name).alias(name) for name in ("n", *[f"f{i}" for i in range(len(failed))])]
+                if rule.kind == "unique":
+                    whole = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(rule.columns)]).agg(*counts).agg(*sums, F.sum(F.col("n") - 1).alias("f"))
+                else:
+                    parent, key = rule.args
+                    used = df.groupBy(F.col(rule.columns[0]).alias("_v")).agg(*counts)
+                    known = read(parent).select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct().withColumn("_here", F.lit(True))
+                    joined = used.join(known, F.col("_v") == F.col("_k"), "left")
+                    whole = joined.agg(*sums, F.sum(F.when(F.col("_v").isNotNull() & F.col("_here").isNull(), F.col("n"))).alias("f"))
+                failed.append((rule, F.col("f")))
+            parts.append(whole.select(F.explode(F.array(*[told(r, f) for r, f in failed])).alias("t")).select("t.*"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -19,6 +19,9 @@ from .streaming import flows
 
 def dq_rule_catalog(ctx: Context) -> DataFrame:
     """Every rule of the catalog, with the rows that break it."""
+    # the marts come first: they have the datasets that they share written, which the rules then read too
+    for name in dict.fromkeys(r.dataset for r in reversed(rules.CATALOG)):
+        ctx.read(name)
     return rules.check(rules.CATALOG, ctx.read, ctx.as_of)
 
 
