@@ -1,4 +1,5 @@
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
-from tidewater.operators import feed, search, vectors
+from tidewater.operators import feed, index, search, vectors
 from tidewater.operators.index import ChunkIndex
 from tidewater.staging import place
 
@@ -138,3 +139,21 @@ def test_many_questions_hold_little_at_once():
     scores = np.round(vectors.unit(rows) @ vectors.unit(rows[:1000]).T, 6) + 0.0
     assert got == {q: sorted(range(len(rows)), key=lambda i, q=q: (-scores[i, q], i))[:3] for q in range(1000)}
     assert peak < 64 << 20
+
+
+def test_words_of_a_batch_are_those_of_each_text():
+    """Postings and lengths come from all texts' bytes at once; no word crosses texts, and letters beyond ASCII count as they do in lower case."""
+    rng = random.Random(5)
+    own = ["", "Ab1 c", "ab1", "-", "d--D d", "Kelvin İx Ångström", "ß1中2", "end", "", "x" * 300, "", *["".join(rng.choices("aB1 -éKİ\U0001f600", k=rng.randint(0, 30))) for _ in range(400)]]
+    want = [[w for w in re.split("[^a-z0-9]+", t.lower()) if w] for t in own]
+    flags = [rng.random() < 0.5 for _ in own]
+    for start, kind in ((0, pa.string()), (7, pa.large_string())):  # a slice's buffers begin before its texts
+        keys = pa.array([f"k{i}" for i in range(len(own))])
+        batch = pa.RecordBatch.from_arrays([keys, pa.array(own, kind), pa.array(flags)], names=["key", "_t", "current"]).slice(start)
+        (told,) = index._lengths(iter([batch]))
+        assert told.to_pydict() == {"key": keys[start:].to_pylist(), "length": [len(w) for w in want[start:]], "current": flags[start:]}
+        (found,) = index._postings(iter([batch]))
+        got = {(t, k): m for t, ks, ms in zip(*[c.to_pylist() for c in found.columns], strict=True) for k, m in zip(ks, ms, strict=True)}
+        assert got == {(w, f"k{i}"): len(ws) << 32 | ws.count(w) << 1 | flags[i] for i, ws in enumerate(want) if i >= start for w in ws}
+    nothing = batch.slice(0, 0)
+    assert list(index._lengths(iter([nothing]))) == [] and list(index._postings(iter([nothing]))) == []

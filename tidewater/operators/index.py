@@ -17,14 +17,13 @@ neighbours of sampled vectors.  ``exact`` searches read all cells.
 from __future__ import annotations
 
 import math
-import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,56 +32,87 @@ from pyspark.sql import functions as F
 from ..sources.sinks import Ledger, delete_folder
 from ..staging import discard, reclaim, written
 from .feed import AFTER, BEFORE, CHANGE, DELETE, INSERT, VERSION
-from .search import asked_words, bm25, enough, fuse, ranks_among, top, words
+from .search import asked_words, bm25, enough, fuse, ranks_among, top
 from .vectors import cosines, nearest, unit
 
 #: Segments before a sync compacts them.
 MOST_SEGMENTS = 12
-#: The words of a text in lower case, as search.words() has them.
-WORD = re.compile("[a-z0-9]+")
 #: Vectors that cells are fitted on for each cell, and questions by which the number of cells to read is measured.
 SAMPLE_A_CELL, QUESTIONS = 64, 100
 
 
-#: What a word's posting row holds of the rows that have it.
-ENTRIES = "entries array<struct<key: {k}, current: boolean, length: int, count: int>>"
+#: What a word's posting row holds of the rows that have it: their keys and marks.  A mark has a row's length in words, how often it has the word, and whether it is current.
+ENTRIES = "keys array<{k}>, marks array<bigint>"
+
+#: Bytes in lower case, and those that words are made of.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_IN_WORD = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words of a batch's texts as search.words() has them, the number of each word's row, and how many words every row has."""
+    for letter, lower in (("\u212a", "k"), ("\u0130", "i\u0307")):  # the only letters beyond ASCII whose lower case has a letter of words
+        texts = pc.replace_substring(texts.cast(pa.large_string()), letter, lower)
+    _, cuts, data = texts.buffers()
+    cuts = np.frombuffer(cuts, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    own = _LOWER[np.frombuffer(data or b"", np.uint8)[cuts[0] : cuts[-1]]]
+    cuts = cuts - cuts[0]
+    inside = _IN_WORD[own]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = cuts[:-1][cuts[:-1] < len(own)]
+    begins[first] = inside[first]
+    starts = np.flatnonzero(begins)
+    row = np.searchsorted(cuts, starts, "right") - 1
+    ends = np.r_[np.flatnonzero(begins[inside]), np.count_nonzero(inside)].astype(np.int64)
+    found = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(own[inside]))
+    return found, row, np.bincount(row, minlength=len(texts))
+
+
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, length, ...) of (key, text, ...)."""
+    for b in batches:
+        if b.num_rows:
+            length = pa.array(_words(b.column(1))[2].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), length, *b.columns[2:]], names=[b.schema.names[0], "length", *b.schema.names[2:]])
+
+
+def _told(entries: DataFrame) -> DataFrame:
+    """Entries with what their marks say."""
+    mark = F.col("mark")
+    return entries.withColumns({"length": F.shiftright(mark, 32).cast("int"), "count": F.shiftright(mark.bitwiseAND((1 << 32) - 1), 1).cast("int"), "current": mark.bitwiseAND(1) == 1})
 
 
-def _entries(key: pa.Array, current: pa.Array, length: pa.Array, count: pa.Array, cuts: np.ndarray) -> pa.ListArray:
-    fields = pa.StructArray.from_arrays([key, current, length.cast(pa.int32()), count.cast(pa.int32())], names=["key", "current", "length", "count"])
-    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), fields)
+def _lists(cuts: np.ndarray, *values: pa.Array) -> list[pa.ListArray]:
+    return [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), v) for v in values]
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, entries) of (key, current, text): a row for each term of a batch, so that what is shuffled is entries, not words."""
+    """(term, keys, marks) of (key, text, current): a row for each term of a batch, so that what is shuffled is entries, not words."""
     for b in batches:
-        number: dict[str, int] = {}
-        terms, rows, counts, lengths = [], [], [], []
-        for i, text in enumerate(b.column(2).to_pylist()):
-            found = WORD.findall(text.lower())
-            lengths.append(len(found))
-            own = Counter(found)
-            terms += [number.setdefault(w, len(number)) for w in own]
-            rows += [i] * len(own)
-            counts += own.values()
-        if not terms:
+        if not b.num_rows:
             continue
-        term, row = np.array(terms), np.array(rows)
-        order = np.argsort(term, kind="stable")
-        term, row = term[order], pa.array(row[order])
-        cuts = np.searchsorted(term, np.arange(len(number) + 1))
-        entries = _entries(b.column(0).take(row), b.column(1).take(row), pa.array(lengths, pa.int32()).take(row), pa.array(counts, pa.int32()).take(pa.array(order)), cuts)
-        yield pa.RecordBatch.from_arrays([pa.array(list(number)), entries], names=["term", "entries"])
+        found, row, length = _words(b.column(1))
+        if not len(found):
+            continue
+        coded = found.dictionary_encode()
+        both, count = np.unique(coded.indices.to_numpy().astype(np.int64) * b.num_rows + row, return_counts=True)
+        term, row = np.divmod(both, b.num_rows)
+        current = b.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        marks = pa.array((length[row].astype(np.int64) << 32) | (count << 1) | current[row])
+        cuts = np.searchsorted(term, np.arange(len(coded.dictionary) + 1))
+        yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), *_lists(cuts, b.column(0).take(pa.array(row)), marks)], names=["term", "keys", "marks"])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_bucket, term, entries) of single entries sorted by bucket and term; a term's run ends with its batch, so no row grows without bound."""
+    """(_bucket, term, keys, marks) of single entries sorted by bucket and term; a term's run ends with its batch, so no row grows without bound."""
     for b in batches:
         if b.num_rows:
             term = np.array(b.column(1).to_pylist(), object)
             starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
             at = pa.array(starts)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), _entries(*[b.column(i) for i in range(2, 6)], np.r_[starts, b.num_rows])], names=["_bucket", "term", "entries"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *_lists(np.r_[starts, b.num_rows], b.column(2), b.column(3))], names=["_bucket", "term", "keys", "marks"])
 
 
 @dataclass
@@ -114,17 +144,19 @@ class ChunkIndex:
         return self.ledger.last().get("version", 0)
 
     def sync(self, feed: DataFrame, version: int) -> None:
-        """Take up the changes that lead to a version of the source; one that the index has already changes nothing."""
+        """Take up the changes that lead to a version of the source; one that the index has already changes nothing.
+
+        The feed is read once each for lengths, words, vectors and the keys that go: its texts are not written once more.
+        """
         state = self.ledger.last()
         if version <= state.get("version", 0):
             return
         columns = dict.fromkeys([self.key, self.text, self.vector, *([self.current] if self.current else []), *self.attributes, CHANGE])
-        own = written(feed.select(*columns))
+        own = feed.select(*columns)
         added = own.where(F.col(CHANGE).isin(INSERT, AFTER)).drop(CHANGE)
         gone = own.where(F.col(CHANGE).isin(BEFORE, DELETE)).select(F.col(self.key).alias("key"))
         segments = state.get("segments", [])
         self._put(state, added, gone, segments, version)
-        discard(own)
         reclaim(self.spark)  # what was shuffled for the segment
         if len(segments) + 1 > MOST_SEGMENTS:
             self.compact()
@@ -133,15 +165,18 @@ class ChunkIndex:
         flag = F.coalesce(F.col(self.current), F.lit(False)) if self.current else F.lit(True)
         rows = added.select(F.col(self.key).alias("key"), F.coalesce(F.col(self.text), F.lit("")).alias("_t"), F.col(self.vector).cast("array<double>").alias("vector"), flag.alias("current"), *[F.col(a).alias(f"a_{a}") for a in self.attributes])
         place = f"{self.path}/s={uuid.uuid4().hex}"
-        rows.select("key", F.size(words("_t")).alias("length"), "current", *[f"a_{a}" for a in self.attributes]).write.option("compression", "zstd").parquet(f"{place}/rows")
-        gone.distinct().write.parquet(f"{place}/gone")
+        counted = rows.select("key", "_t", "current", *[f"a_{a}" for a in self.attributes])
+        kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counted.schema.fields[2:])
         kind = rows.schema["key"].dataType.simpleString()
-        terms = rows.select("key", "current", "_t").mapInArrow(_postings, f"term string, {ENTRIES.format(k=kind)}").withColumn("_bucket", self._bucket(F.col("term")))
+        counted.mapInArrow(_lengths, f"key {kind}, length int, {kept}").write.option("compression", "zstd").parquet(f"{place}/rows")
+        gone.distinct().write.parquet(f"{place}/gone")
+        terms = rows.select("key", "_t", "current").mapInArrow(_postings, f"term string, {ENTRIES.format(k=kind)}").withColumn("_bucket", self._bucket(F.col("term")))
         terms = terms.repartition("_bucket", F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(4))).sortWithinPartitions("_bucket", "term")
         terms.write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{place}/postings")
-        vectors = rows.where("vector is not null").select("key", "current", "vector")
+        vectors = written(rows.where("vector is not null").select("key", "current", "vector"))
         state = state | self._fitted(state, vectors)
         self._deal(self._placed(state, vectors), "_cell", "key").write.option("compression", "zstd").partitionBy("_cell").parquet(f"{place}/vectors")
+        discard(vectors)
         record = {k: state[k] for k in ("model", "centres", "probes") if k in state} | {"version": version}
         record["segments"] = [*before, {"place": place, "number": max((s["number"] for s in before), default=0) + 1}]
         self.ledger.put(record | {"totals": self._totals(record["segments"])})
@@ -194,7 +229,7 @@ class ChunkIndex:
             return
         place = f"{self.path}/s={uuid.uuid4().hex}"
         self._live("rows", old).write.option("compression", "zstd").parquet(f"{place}/rows")
-        entries = self._deal(self._live("postings", old), "_bucket", "term").select("_bucket", "term", "key", "current", "length", "count")
+        entries = self._deal(self._live("postings", old), "_bucket", "term").select("_bucket", "term", "key", "mark")
         kind = entries.schema["key"].dataType.simpleString()
         entries.mapInArrow(_gathered, f"_bucket int, term string, {ENTRIES.format(k=kind)}").write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{place}/postings")
         self._deal(self._live("vectors", old), "_cell", "key").write.option("compression", "zstd").partitionBy("_cell").parquet(f"{place}/vectors")
@@ -222,7 +257,7 @@ class ChunkIndex:
         for s in segments:
             own = self._table(kind, s)
             own = own if where is None else own.where(where)
-            own = own.select("_bucket", "term", F.inline("entries")) if kind == "postings" else own
+            own = own.select("_bucket", "term", F.inline(F.arrays_zip("keys", "marks")).alias("key", "mark")) if kind == "postings" else own
             own = own.withColumn("_s", F.lit(s["number"]))
             entries = own if entries is None else entries.unionByName(own)
             if s["number"] > segments[0]["number"]:
@@ -255,7 +290,7 @@ class ChunkIndex:
         asked = asked_words(query)
         if not asked:
             return self._live("rows").where(F.lit(False)).select(F.col("key").alias(self.key), F.col("length").alias("_n")), 0
-        found = self._live("postings", where=F.col("term").isin(asked) & F.col("_bucket").isin(self._buckets_of(asked)))
+        found = _told(self._live("postings", where=F.col("term").isin(asked) & F.col("_bucket").isin(self._buckets_of(asked))))
         found = found.where("current") if only_current else found
         if chosen is not None:
             found = found.join(chosen.select(F.col(self.key).alias("_k")), F.col("key") == F.col("_k"), "left_semi")
