@@ -82,3 +82,25 @@ def test_consumer_sees_each_change_once(spark):
     again.poll(take)
     again.poll(take)
     assert seen == [(2, [(1, "insert"), (2, "insert")]), (3, [(1, "delete")])]
+
+
+def test_many_changes_go_to_their_rows_by_place(spark, monkeypatch):
+    """However many keys changed, whole rows are not shuffled: the same feed, without a sort-merge join."""
+    n = 70_000  # more than one mark has in a file
+    base = spark.range(n).selectExpr("nullif(id, 5) AS id", "concat('t', id % 7) AS v", "id AS _metadata")
+    table = feed.VersionedTable(spark, place(spark), ["id"])
+    table.write(base.coalesce(1))
+    table.write(base.where("id IS NULL OR id % 10 <> 3").withColumn("v", F.expr("CASE WHEN id % 2 = 0 THEN concat(v, '!') WHEN id IS NULL THEN 'n' ELSE v END")).unionByName(spark.range(n, n + 9).selectExpr("id", "'new' AS v", "id AS _metadata")).repartition(3))
+    want = told(table.changes(1), "id", "v", "_metadata", "_change")
+    assert len(want) > 2 * 35_000
+    monkeypatch.setattr(feed, "FEW", 0)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = table.changes(1)
+        assert told(many, "id", "v", "_metadata", "_change") == want
+        assert "SortMergeJoin" not in many._jdf.queryExecution().toString()
+        monkeypatch.setattr(feed, "MARKS", 0)
+        assert told(table.changes(1), "id", "v", "_metadata", "_change") == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
