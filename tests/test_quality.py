@@ -131,3 +131,16 @@ def test_invoices_are_made_once_for_several_readers(spark):
         plan = build(ctx)._jdf.queryExecution().optimizedPlan().toString()
         # only the rules of payments themselves read line items in the query; invoices are read from where they were written
         assert plan.count("AS payment_amount") == (1 if build is quality_queries.dq_scorecard else 0), build
+
+
+def test_steps_that_are_no_targets_need_not_be_written(spark):
+    """Without steps, payments are summed within the invoices: the same invoices and counts, and no table of payments."""
+    told = {}
+    for steps in (True, False):
+        ctx = q.context(spark, DATA)
+        log = RunLog(spark, place(spark), "conformed")
+        paths = materialize(Context(spark, ctx.source, ctx.as_of), ["silver_invoice"], place(spark), log, steps=steps)
+        assert set(paths) == {"silver_customer", "silver_invoice"} | ({"silver_payment"} if steps else set())
+        (counts,) = [r["details"].split('"data_quality"')[1] for r in log.events().where("message LIKE 'silver_invoice:%'").collect()]
+        told[steps] = counts, sorted(map(str, spark.read.parquet(paths["silver_invoice"]).collect()))
+    assert told[True] == told[False] and told[True][1]

@@ -137,11 +137,13 @@ def order(targets: list[str], context: Context) -> list[str]:
     return out
 
 
-def materialize(context: Context, targets: list[str], folder: str, log: RunLog | None = None) -> dict[str, str]:
+def materialize(context: Context, targets: list[str], folder: str, log: RunLog | None = None, steps: bool = True) -> dict[str, str]:
     """Write datasets in dependency order as Parquet; each is read back before those that need it, so nothing is computed twice.
 
-    With a ``log``, this is a run of it: every dataset's rows, seconds and
-    expectations are noted, counted by the job that writes it.
+    Without ``steps``, of datasets that are no targets only shared ones are written:
+    the others' columns that nothing reads are then never computed.  With a ``log``,
+    this is a run of it: the rows, seconds and expectations of every dataset that is
+    written are noted, counted by the job that writes it.
     """
     paths = {}
     with log.run(f"materialize {', '.join(targets)}") if log else contextlib.nullcontext():
@@ -151,6 +153,9 @@ def materialize(context: Context, targets: list[str], folder: str, log: RunLog |
             path = f"{folder}/{DATASETS[name].layer}/{name}"
             # built anew, over datasets that are already written
             context._built.pop(name)
+            if not (steps or name in targets or DATASETS[name].shared):
+                context.read(name)
+                continue
             context.counted = log is not None
             try:
                 began = time.monotonic()
